@@ -1,0 +1,23 @@
+"""Whole-table versions on plain Parquet: read one version, write the next."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def version_path(root: str, version: int) -> str:
+    return f"{root.rstrip('/')}/version={version}"
+
+
+def read_version(spark: SparkSession, root: str, version: int, schema) -> DataFrame:
+    """Rows of a version; version 0 is the empty table."""
+    if version == 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(version_path(root, version))
+
+
+def write_version(df: DataFrame, root: str, version: int) -> None:
+    """Write a version. It never touches the version being read, and a repeated write replaces itself."""
+    if version < 1:
+        raise ValueError("versions start at 1")
+    df.write.mode("overwrite").parquet(version_path(root, version))
