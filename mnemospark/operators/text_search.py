@@ -72,8 +72,12 @@ def query_terms(queries: DataFrame, query_id: str = "query_id", text: str = "tex
 
 
 def bm25_scores(queries: DataFrame, index: TextIndex, *, query_id: str = "query_id",
-                text: str = "text", fields: Sequence[str] | None = None) -> DataFrame:
-    """``(query_id, id, score)`` for every document that shares a term with the query."""
+                text: str = "text", fields: Sequence[str] | None = None,
+                keep_ids: DataFrame | None = None) -> DataFrame:
+    """``(query_id, id, score)`` for every document that shares a term with the query.
+
+    Statistics cover the whole index; ``keep_ids`` drops documents before they are scored.
+    """
     terms = query_terms(queries, query_id, text)
     postings = index.postings
     if fields is not None:
@@ -88,6 +92,8 @@ def bm25_scores(queries: DataFrame, index: TextIndex, *, query_id: str = "query_
     weighted = terms.join(weights, "term")
     gain = F.col("idf") * F.col("tf") * (K1 + 1) / (
         F.col("tf") + K1 * (1 - B + B * F.col("doc_len") / F.col("avg_len")))
+    if keep_ids is not None:
+        postings = postings.join(keep_ids.select("id"), "id", "left_semi")
     return (postings.join(weighted, ["field", "term"])
             .groupBy("query_id", "id").agg(rounded(F.sum(gain)).alias("score")))
 
@@ -106,9 +112,7 @@ def bm25_topk(queries: DataFrame, corpus: DataFrame | TextIndex, k: int | None =
     else:
         index = build_text_index(corpus, fields, id_col=id_col, only_terms=query_terms(queries, query_id, text))
         wanted = None
-    scored = bm25_scores(queries, index, query_id=query_id, text=text, fields=wanted)
-    if keep_ids is not None:
-        scored = scored.join(keep_ids.select("id"), "id", "left_semi")
+    scored = bm25_scores(queries, index, query_id=query_id, text=text, fields=wanted, keep_ids=keep_ids)
     hits = top_k(scored, k).select("query_id", "id", "rank", "score")
     if not include_scores:
         hits = hits.drop("score")
