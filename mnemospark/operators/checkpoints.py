@@ -138,10 +138,8 @@ def lineage(checkpoints: DataFrame, starts: DataFrame) -> DataFrame:
         further = reach.join(jump.withColumnRenamed("_from", "checkpoint_id"), [*pair, "checkpoint_id"]).select(
             *pair, "start_id", F.col("_to").alias("checkpoint_id"), (F.col("distance") + span).alias("distance"))
         reach = durable(reach.unionByName(further))
-        second = jump.select(*pair, F.col("_from").alias("_mid"), F.col("_to").alias("_end"))
-        jump = durable(jump.join(second, (jump["_to"] == second["_mid"]) & (jump["thread_id"] == second["thread_id"])
-                                 & (jump["checkpoint_ns"] == second["checkpoint_ns"]))
-                       .select(jump["thread_id"], jump["checkpoint_ns"], "_from", F.col("_end").alias("_to")))
+        second = jump.select(*pair, F.col("_from").alias("_to"), F.col("_to").alias("_end"))
+        jump = durable(jump.join(second, [*pair, "_to"]).select(*pair, "_from", F.col("_end").alias("_to")))
         span *= 2
     return reach.join(known, KEY, "left_semi")
 

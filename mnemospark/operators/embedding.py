@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Callable, Iterator, Sequence
 
@@ -33,22 +34,27 @@ def with_retry(embedder: Embedder, texts: list[str], sleep: Callable[[float], No
     return embedder(texts)
 
 
-def token_buckets(text: Column | str, dims: int) -> Column:
-    """Feature number of every token: the first 8 hex digits of its MD5, modulo ``dims``."""
-    return F.transform(tokens(text), lambda t: (
-        F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint") % F.lit(dims)).cast("int"))
+def _features(words: pa.Array, dims: int) -> np.ndarray:
+    """Feature number of each word: the first 8 hex digits of its MD5, modulo ``dims``.
+
+    Each distinct word of the batch is hashed once.
+    """
+    coded = words.dictionary_encode()
+    known = np.array([int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % dims
+                      for w in coded.dictionary.to_pylist()], dtype=np.int64)
+    return known[coded.indices.to_numpy(zero_copy_only=False)]
 
 
 def hashed_embedding(text: Column | str, dims: int = 64) -> Column:
     """Token counts hashed to ``dims`` features, at unit length; empty text is the zero vector.
 
-    Tokens are hashed in the JVM; one ``bincount`` per Arrow batch makes the vectors.
+    Text is cut into tokens in the JVM; one ``bincount`` per Arrow batch makes the vectors.
     """
     def counts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for buckets in batches:
-            n = len(buckets)
-            rows = np.repeat(np.arange(n), np.diff(buckets.offsets.to_numpy()))
-            flat = buckets.flatten().to_numpy()
+        for toks in batches:
+            n = len(toks)
+            rows = np.repeat(np.arange(n), np.diff(toks.offsets.to_numpy()))
+            flat = _features(toks.flatten(), dims)
             m = np.bincount(rows * dims + flat, minlength=n * dims).reshape(n, dims).astype(np.float64)
             length = np.linalg.norm(m, axis=1, keepdims=True)
             m = np.divide(m, length, out=m, where=length > 0)
@@ -56,7 +62,7 @@ def hashed_embedding(text: Column | str, dims: int = 64) -> Column:
                                            pa.array(m.ravel(), pa.float64()))
 
     counts.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return arrow_udf(counts, "array<double>")(F.coalesce(token_buckets(text, dims), F.array().cast("array<int>")))
+    return arrow_udf(counts, "array<double>")(F.coalesce(tokens(text), F.array().cast("array<string>")))
 
 
 def embed(df: DataFrame, text_col: str, embedder: Embedder | None = None, dims: int = 64, *,

@@ -87,7 +87,7 @@ def match_prefix(prefix: Sequence[str], ns: str = "namespace") -> Column:
     out = F.size(ns) >= len(prefix)
     for i, part in enumerate(prefix):
         if part != "*":
-            out = out & (F.try_element_at(F.col(ns), F.lit(i + 1)) == part)
+            out = out & (F.get(F.col(ns), F.lit(i)) == part)
     return out
 
 
@@ -96,7 +96,7 @@ def match_suffix(suffix: Sequence[str], ns: str = "namespace") -> Column:
     out = F.size(ns) >= len(suffix)
     for i, part in enumerate(suffix):
         if part != "*":
-            out = out & (F.try_element_at(F.col(ns), F.lit(i - len(suffix))) == part)
+            out = out & (F.get(F.col(ns), F.size(ns) - (len(suffix) - i)) == part)
     return out
 
 

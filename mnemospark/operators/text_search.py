@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mnemospark.functions.text import distinct_tokens, tokens
 from mnemospark.operators.ranking import rounded, top_k
@@ -14,6 +14,8 @@ from mnemospark.operators.ranking import rounded, top_k
 K1 = 1.2
 B = 0.75
 
+TERM_BOUND = 1_000_000  # most query terms that travel to every task
+
 
 @dataclass(frozen=True)
 class TextIndex:
@@ -24,6 +26,7 @@ class TextIndex:
 
     postings: DataFrame
     stats: DataFrame
+    fields: tuple[str, ...]
 
     def save(self, root: str, buckets: int = 0) -> None:
         """Write both tables; ``buckets`` range-clusters postings by term so files skip by min/max."""
@@ -34,43 +37,70 @@ class TextIndex:
         self.stats.write.mode("overwrite").parquet(f"{root}/stats")
 
     @staticmethod
-    def load(spark, root: str) -> "TextIndex":
-        return TextIndex(spark.read.parquet(f"{root}/postings"), spark.read.parquet(f"{root}/stats"))
+    def load(spark: SparkSession, root: str) -> "TextIndex":
+        stats = spark.read.parquet(f"{root}/stats")
+        fields = tuple(sorted(r["field"] for r in stats.select("field").collect()))  # one row per field
+        return TextIndex(spark.read.parquet(f"{root}/postings"), stats, fields)
+
+    def statistic(self, name: str) -> Column:
+        """``n_docs`` or ``avg_len`` of the posting's field, as scalar subqueries rather than a join."""
+        out = F.lit(None).cast("double")
+        for field in self.fields:
+            value = self.stats.filter(F.col("field") == field).select(F.col(name).cast("double")).scalar()
+            out = value if len(self.fields) == 1 else F.when(F.col("field") == field, value).otherwise(out)
+        return out
 
 
 def _fields(corpus: DataFrame, fields: Sequence[str], keyword_fields: Sequence[str], id_col: str) -> DataFrame:
-    """One row per document and field, with its token array; one scan for all fields."""
+    """One row per document and field, with its token array; one scan for all fields.
+
+    The text itself is shuffled, by id, before it is cut: it is several times smaller than its
+    exploded tokens, and everything per document afterwards stays in its partition.
+    """
+    used = list(dict.fromkeys([*fields, *keyword_fields]))
+    placed = corpus.select(F.col(id_col).alias("_id"), *[F.col(f"`{f}`").cast("string").alias(f) for f in used]) \
+        .repartition("_id")
     parts = [F.struct(F.lit(f).alias("field"), tokens(f"`{f}`").alias("toks")) for f in fields]
-    parts += [F.struct(F.lit(f).alias("field"), F.array(F.col(f"`{f}`").cast("string")).alias("toks"))
-              for f in keyword_fields]
+    parts += [F.struct(F.lit(f).alias("field"), F.array(F.col(f"`{f}`")).alias("toks")) for f in keyword_fields]
     if len(parts) == 1:
-        rows = corpus.select(F.col(id_col).alias("id"), parts[0].alias("p"))
+        rows = placed.select(F.col("_id").alias("id"), parts[0].alias("p"))
     else:
-        rows = corpus.select(F.col(id_col).alias("id"), F.explode(F.array(*parts)).alias("p"))
-    return rows.select("id", "p.field", "p.toks", F.size("p.toks").alias("doc_len")).filter("doc_len > 0")
+        rows = placed.select(F.col("_id").alias("id"), F.explode(F.array(*parts)).alias("p"))
+    return rows.select("id", "p.field", "p.toks", F.size("p.toks").alias("doc_len"))
 
 
 def build_text_index(corpus: DataFrame, fields: Sequence[str], *, keyword_fields: Sequence[str] = (),
                      id_col: str = "id", only_terms: DataFrame | None = None) -> TextIndex:
     """Index ``fields`` word by word and ``keyword_fields`` as whole values.
 
-    Documents are shuffled once, by id; counting terms needs no second shuffle. ``only_terms``
-    drops other terms before that shuffle.
+    Documents are shuffled once, by id; counting terms needs no second shuffle. ``only_terms(term)``,
+    distinct, keeps the postings of those terms only.
     """
     docs = _fields(corpus, fields, keyword_fields, id_col)
-    stats = docs.groupBy("field").agg(F.count("*").alias("n_docs"), F.avg("doc_len").alias("avg_len"))
-    words = docs.select("id", "field", "doc_len", F.explode("toks").alias("term"))
+    filled = F.when(F.col("doc_len") > 0, F.col("doc_len"))
+    stats = docs.groupBy("field").agg(F.count(filled).alias("n_docs"), F.avg(filled).alias("avg_len"))
+    # explode_outer: a plain explode makes the optimizer test the token array before the shuffle too,
+    # which would cut every text a second time.
+    words = docs.select("id", "field", "doc_len", F.explode_outer("toks").alias("term")).filter("term IS NOT NULL")
     if only_terms is not None:
-        words = words.join(only_terms.select("term").distinct(), "term", "left_semi")
-    postings = (words.repartition("id").groupBy("id", "field", "term", "doc_len")
-                .agg(F.count("*").alias("tf")))
-    return TextIndex(postings.select("id", "field", "term", "tf", "doc_len"), stats)
+        words = words.join(only_terms, "term", "left_semi")
+    postings = words.groupBy("id", "field", "term", "doc_len").agg(F.count("*").alias("tf"))
+    return TextIndex(postings.select("id", "field", "term", "tf", "doc_len"), stats, tuple([*fields, *keyword_fields]))
 
 
 def query_terms(queries: DataFrame, query_id: str = "query_id", text: str = "text") -> DataFrame:
     return queries.select(F.col(query_id).alias("query_id"), F.explode(distinct_tokens(text)).alias("term"))
 
 
+def _sized(terms: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Broadcast hint for tables with at most one row per query term and field, if the terms are few.
+
+    The check runs on the queries alone. Above the bound nothing is hinted and Spark joins by
+    shuffle, splitting the partitions of very common terms.
+    """
+    return F.broadcast if terms.limit(TERM_BOUND + 1).count() <= TERM_BOUND else (lambda df: df)
+
+
 def bm25_scores(queries: DataFrame, index: TextIndex, *, query_id: str = "query_id",
                 text: str = "text", fields: Sequence[str] | None = None,
                 keep_ids: DataFrame | None = None) -> DataFrame:
@@ -79,22 +109,22 @@ def bm25_scores(queries: DataFrame, index: TextIndex, *, query_id: str = "query_
     Statistics cover the whole index; ``keep_ids`` drops documents before they are scored.
     """
     terms = query_terms(queries, query_id, text)
+    sized = _sized(terms)
     postings = index.postings
     if fields is not None:
         postings = postings.filter(F.col("field").isin(*fields))
     # Document frequencies of the asked terms only; the semi join keeps the rest out of the count.
-    asked = postings.join(terms.select("term").distinct(), "term", "left_semi")
+    asked = postings.join(sized(terms.select("term").distinct()), "term", "left_semi")
     frequency = asked.groupBy("field", "term").agg(F.count("*").alias("df"))
-    weights = frequency.join(index.stats, "field").select(
-        "field", "term", "avg_len",
-        F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
-    # One row per query term with its weight: a small table beside the postings.
-    weighted = terms.join(weights, "term")
-    gain = F.col("idf") * F.col("tf") * (K1 + 1) / (
-        F.col("tf") + K1 * (1 - B + B * F.col("doc_len") / F.col("avg_len")))
+    # One row per query term and field with its weight: a small table beside the postings.
+    weighted = frequency.join(sized(terms), "term").select(
+        "query_id", "field", "term", "df")
     if keep_ids is not None:
         postings = postings.join(keep_ids.select("id"), "id", "left_semi")
-    return (postings.join(weighted, ["field", "term"])
+    idf = F.log(1 + (index.statistic("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    tf, length = F.col("tf"), F.col("doc_len") / index.statistic("avg_len")
+    gain = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length))
+    return (postings.join(sized(weighted), ["field", "term"])
             .groupBy("query_id", "id").agg(rounded(F.sum(gain)).alias("score")))
 
 
@@ -110,7 +140,9 @@ def bm25_topk(queries: DataFrame, corpus: DataFrame | TextIndex, k: int | None =
     if isinstance(corpus, TextIndex):
         index, wanted = corpus, list(fields) if fields else None
     else:
-        index = build_text_index(corpus, fields, id_col=id_col, only_terms=query_terms(queries, query_id, text))
+        terms = query_terms(queries, query_id, text)
+        index = build_text_index(corpus, fields, id_col=id_col,
+                                 only_terms=_sized(terms)(terms.select("term").distinct()))
         wanted = None
     scored = bm25_scores(queries, index, query_id=query_id, text=text, fields=wanted, keep_ids=keep_ids)
     hits = top_k(scored, k).select("query_id", "id", "rank", "score")

@@ -8,6 +8,7 @@ from mnemospark.operators import chunking, listing
 from mnemospark.plans import fragments as fr
 from mnemospark.plans.registry import query
 from mnemospark.plans.sync import CHUNK_SCHEMA, chunk_objects, sync
+from mnemospark.session import durable
 from mnemospark.streaming import events
 
 _PIECES = r"regexp_extract_all(text, '\s*\S+\s*\z|\s*\S+|\A\s+\z')"
@@ -130,9 +131,11 @@ _CHUNKS = f"""ck AS (SELECT path || '#' || w AS id, path AS source_path, w, line
 
 
 def chunk_table(t, vectors: bool):
+    """Chunks of all documents; with vectors as a written table, which a search reads several times."""
     ids = F.concat_ws("#", "source_path", F.col("chunk_index").cast("string"))
     if vectors:
-        return chunk_objects(fr.objects(t), limit=100, overlap=20).withColumn("id", ids)
+        made = chunk_objects(fr.objects(t).repartition("path"), limit=100, overlap=20)
+        return durable(made.withColumn("id", ids))
     cut = chunking.chunk_tokens(t.documents.select(fr.object_path().alias("source_path"), "text"), 100, 20)
     return cut.withColumn("id", ids)
 

@@ -219,8 +219,8 @@ def _(t):
 
 @query("k4_get_checkpoint", f"""WITH {_CK}, {_WR},
 last AS (SELECT thread_id, checkpoint_ns, max(checkpoint_id) AS checkpoint_id FROM ck GROUP BY ALL),
-both AS (SELECT * FROM last UNION SELECT thread_id, checkpoint_ns, checkpoint_id FROM ck WHERE event_id % 10 = 0)
-SELECT thread_id, checkpoint_ns, checkpoint_id, channel FROM both LEFT JOIN wr USING (thread_id, checkpoint_ns, checkpoint_id)""")
+pair AS (SELECT * FROM last UNION SELECT thread_id, checkpoint_ns, checkpoint_id FROM ck WHERE event_id % 10 = 0)
+SELECT thread_id, checkpoint_ns, checkpoint_id, channel FROM pair LEFT JOIN wr USING (thread_id, checkpoint_ns, checkpoint_id)""")
 def _(t):
     rows = saved(t)
     asked = rows.select("thread_id", "checkpoint_ns", F.lit(None).cast("string").alias("checkpoint_id")).distinct().unionByName(

@@ -9,6 +9,7 @@ from mnemospark.operators import chunking, embedding, hybrid, mmr, parents, text
 from mnemospark.operators.ranking import first_per_key, top_k
 from mnemospark.plans import fragments as fr
 from mnemospark.plans.registry import query
+from mnemospark.session import durable
 
 V1_HITS = f"""
 {fr.CENTROIDS},
@@ -244,7 +245,7 @@ pa AS (SELECT query_id, doc_id AS id, max(score) AS score FROM hits JOIN ch USIN
 rp AS ({fr.ranked('pa')})
 SELECT query_id, id, rank, score, lang FROM rp JOIN documents ON id = doc_id""")
 def _(t):
-    chunks = parents.split_children(t.documents, 400, id_col="doc_id")
+    chunks = durable(parents.split_children(t.documents.repartition("doc_id"), 400, id_col="doc_id"))
     hits = text_search.bm25_topk(fr.text_queries(t), chunks, 10)
     found = parents.parent_documents(hits, chunks, t.documents, k=10, parent_id="doc_id")
     return found.select("query_id", "id", "rank", "score", "lang")
