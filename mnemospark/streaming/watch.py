@@ -12,11 +12,12 @@ from mnemospark.sources.objects import scan_objects
 from mnemospark.sources.versions import read_version, write_version
 
 POLL_SECONDS = 10
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def arrivals(spark: SparkSession, root: str) -> DataFrame:
     """Stream of new and changed files below ``root``."""
-    return (spark.readStream.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return (spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("recursiveFileLookup", "true").load(root)
             .select("path", "modificationTime", "length"))
 
 

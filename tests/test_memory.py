@@ -26,9 +26,10 @@ def test_upsert_can_set_null(spark):
     assert rows(tables.upsert(base, spark.createDataFrame([("a", None)], "k string, v int"), ["k"], ["v"])) == [("a", None)]
 
 
-def test_small_updates_do_not_shuffle_the_base(spark):
+def test_small_updates_do_not_shuffle_the_base(spark, tmp_path):
     base = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_orderkey", "o_orderstatus")
-    up = spark.createDataFrame([(1, "Z")], "o_orderkey bigint, o_orderstatus string")
+    spark.createDataFrame([(1, "Z")], "o_orderkey bigint, o_orderstatus string").write.parquet(str(tmp_path / "up"))
+    up = spark.read.parquet(str(tmp_path / "up"))
     plan = tables.upsert(base, up, ["o_orderkey"], ["o_orderstatus"])._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
 
