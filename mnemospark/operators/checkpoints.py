@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from mnemospark.functions.values import metadata_equals, typed_metadata
 from mnemospark.operators.ranking import first_per_key
-from mnemospark.operators.tables import insert_new, upsert
+from mnemospark.operators.tables import insert_new, narrowed, upsert
 from mnemospark.session import durable
 
 KEY = ["thread_id", "checkpoint_ns", "checkpoint_id"]
@@ -66,7 +66,7 @@ def with_writes(checkpoints: DataFrame, writes: DataFrame) -> DataFrame:
     writes is not gathered into one value.
     """
     pending = writes.select(*KEY, "task_id", "idx", "channel", F.col("value").alias("write_value"))
-    return checkpoints.join(pending, KEY, "left")
+    return checkpoints.join(narrowed(pending, checkpoints, KEY), KEY, "left")
 
 
 def list_checkpoints(checkpoints: DataFrame, *, thread_id: str | None = None,
@@ -128,6 +128,7 @@ def lineage(checkpoints: DataFrame, starts: DataFrame) -> DataFrame:
     is written out. Cycles cannot arise: an id is only followed while it gets smaller.
     """
     pair = ["thread_id", "checkpoint_ns"]
+    checkpoints = narrowed(checkpoints, starts, pair)
     jump = durable(checkpoints.filter("parent_checkpoint_id < checkpoint_id").select(
         *pair, F.col("checkpoint_id").alias("_from"), F.col("parent_checkpoint_id").alias("_to")))
     known = checkpoints.select(*KEY)

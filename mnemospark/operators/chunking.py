@@ -73,21 +73,21 @@ def chunk_tokens(df: DataFrame, limit: int = TOKEN_LIMIT, overlap: int = TOKEN_O
     if page_col is None:
         numbered = chunks.withColumn("chunk_index", F.col("_w"))
     else:
-        numbered = number_across_pages(chunks, key)
+        per_page = base.groupBy(key, F.coalesce("page_number", F.lit(0)).alias("_page")).agg(F.sum(count).alias("_in_page"))
+        numbered = number_across_pages(chunks, per_page, key)
     return numbered.select(key, *carry, "chunk_index", "page_number", "char_start",
                            (F.col("char_start") + F.length("content")).alias("char_end"),
                            "line_start", "content")
 
 
-def number_across_pages(chunks: DataFrame, key: str) -> DataFrame:
-    """``chunk_index`` over the pages of a source, in page order.
+def number_across_pages(chunks: DataFrame, per_page: DataFrame, key: str) -> DataFrame:
+    """``chunk_index`` over the pages of a source, in page order, from chunk counts per page.
 
     Running totals go over blocks of pages first and over the pages of one block second, so no
     task ever holds all pages of a very large source.
     """
     page = F.coalesce(F.col("page_number"), F.lit(0))
-    per_page = (chunks.groupBy(key, page.alias("_page")).agg(F.count("*").alias("_in_page"))
-                .withColumn("_block", F.floor(F.col("_page") / PAGE_BLOCK)))
+    per_page = per_page.withColumn("_block", F.floor(F.col("_page") / PAGE_BLOCK))
     per_block = per_page.groupBy(key, "_block").agg(F.sum("_in_page").alias("_in_block"))
     block_start = per_block.select(key, "_block", F.coalesce(
         F.sum("_in_block").over(W.partitionBy(key).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)),

@@ -10,6 +10,7 @@ from mnemospark.operators.hybrid import rank_fusion
 from mnemospark.operators.ranking import first_per_key, top_k
 from mnemospark.operators.text_search import TextIndex, bm25_topk
 from mnemospark.operators.vector_search import vector_topk
+from mnemospark.session import few
 
 LS_LIMIT = 1000
 GLOB_LIMIT = 200
@@ -94,7 +95,7 @@ def grep_hybrid(queries: DataFrame, chunks: DataFrame, path: str = "", glob_patt
             vector_leg = top_k(vector_leg.drop("rank").join(keep, "id", "left_semi"), None)
         legs["vector"], weights["vector"] = vector_leg, 0.5
     fused = rank_fusion(legs, weights)
-    placed = fused.join(chunks.select("id", "source_path", "line_start", "content"), "id")
+    placed = few(fused).join(chunks.select("id", "source_path", "line_start", "content"), "id")
     once = dedupe_matches(placed, [F.asc("rank")], ("query_id", "source_path", "line_start"))
     again = F.row_number().over(W.partitionBy("query_id").orderBy("rank"))
     return (once.withColumn("rank", again).filter(F.col("rank") <= limit)

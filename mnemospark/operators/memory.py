@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from mnemospark.functions.values import encode_list
-from mnemospark.operators.tables import delete_keys, insert_new, lookup_in_order, upsert
+from mnemospark.operators.tables import delete_keys, insert_new, lookup_in_order, narrowed, upsert
 from mnemospark.operators.vector_search import above_threshold, vector_topk
+from mnemospark.session import few
 
 # ---- chat history: session_id, seq, message ------------------------------------------------
 
@@ -46,7 +47,8 @@ def cache_update(cache: DataFrame, new: DataFrame, *, seq: str | None = None) ->
 
 def cache_lookup(cache: DataFrame, asked: DataFrame) -> DataFrame:
     """Asked prompts with their cached value; a miss has a null ``return_val``."""
-    return asked.join(cache.select("prompt", "llm", "return_val"), ["prompt", "llm"], "left")
+    key = ["prompt", "llm"]
+    return asked.join(narrowed(cache, asked, key).select(*key, "return_val"), key, "left")
 
 
 def cache_clear(cache: DataFrame, **equals: str) -> DataFrame:
@@ -70,7 +72,7 @@ def semantic_cache_lookup(queries: DataFrame, cache: DataFrame, threshold: float
     """Nearest cached row with the same ``llm_string``, if it scores at least ``threshold``."""
     nearest = vector_topk(queries, cache, 1, metric=metric, within=["llm_string"])
     hits = above_threshold(nearest, threshold).select("query_id", "id", "score")
-    return hits.join(cache.select("id", "return_val"), "id")
+    return few(hits).join(cache.select("id", "return_val"), "id")
 
 
 # ---- document store: key, page_content, metadata -------------------------------------------

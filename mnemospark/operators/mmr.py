@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from mnemospark.operators.vector_search import vector_topk
+from mnemospark.session import few
 
 
 def _unit_rows(values: pd.Series) -> np.ndarray:
@@ -41,7 +42,7 @@ def mmr(queries: DataFrame, corpus: DataFrame, k: int = 4, fetch_k: int = 20,
                           id_col=id_col, vector_col=vector_col, query_vector=query_vector)
     vectors = corpus.select(F.col(id_col).alias("id"), F.col(vector_col).alias("_v"))
     asked = queries.select("query_id", F.col(query_vector).alias("_q"))
-    candidates = fetched.join(vectors, "id").join(asked, "query_id")
+    candidates = few(fetched).join(vectors, "id").join(asked, "query_id")
     out = T.StructType([fetched.schema["query_id"], fetched.schema["id"],
                         T.StructField("rank", T.IntegerType()), T.StructField("score", T.DoubleType())])
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from mnemospark.functions.filters import as_predicate
 from mnemospark.operators.chunking import chunk_chars
 from mnemospark.operators.ranking import top_k
+from mnemospark.session import few
 
 
 def split_children(parents: DataFrame, chunk_size: int = 400, overlap: int = 0, *,
@@ -32,8 +33,8 @@ def parent_documents(hits: DataFrame, chunks: DataFrame, parents: DataFrame, *,
     predicate = as_predicate(parent_filter)
     if predicate is not None:
         parents = parents.filter(predicate)
-    best = (hits.join(chunks.select("id", "doc_id"), "id")
+    best = (few(hits).join(chunks.select("id", "doc_id"), "id")
             .groupBy("query_id", "doc_id").agg(F.max("score").alias("score")))
-    found = best.withColumnRenamed("doc_id", "id").join(
+    found = few(best.withColumnRenamed("doc_id", "id")).join(
         parents.withColumnRenamed(parent_id, "id"), "id")
     return top_k(found, k)

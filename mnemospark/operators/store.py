@@ -15,8 +15,9 @@ from mnemospark.functions.filters import value_equals
 from mnemospark.functions.paths import parents
 from mnemospark.operators.embedding import hashed_embedding
 from mnemospark.operators.hybrid import MAX_RERANK, rerank, term_overlap
-from mnemospark.operators.tables import delete_keys, last_per_key, upsert
+from mnemospark.operators.tables import delete_keys, last_per_key, narrowed, upsert
 from mnemospark.operators.vector_search import vector_topk
+from mnemospark.session import few
 
 KEY = ["ns_str", "key"]
 
@@ -66,7 +67,7 @@ def store_apply(items: DataFrame, ops: DataFrame, sep: str = "/") -> tuple[DataF
     """
     keyed = check_namespaces(ops, sep).withColumn("ns_str", F.array_join("namespace", sep))
     gets = keyed.filter(F.col("op") == "get").select("seq", *KEY)
-    reads = gets.join(items.withColumn("_found", F.lit(True)), KEY, "left").withColumn(
+    reads = gets.join(narrowed(items, gets, KEY).withColumn("_found", F.lit(True)), KEY, "left").withColumn(
         "found", F.coalesce("_found", F.lit(False))).drop("_found")
     writes = last_per_key(keyed.filter(F.col("op").isin("put", "delete")).select(
         *KEY, "seq", "op", "namespace", "value", "at"), KEY, "seq")
@@ -131,7 +132,7 @@ def store_search(items: DataFrame, prefix: Sequence[str] = (), *,
         hits = rerank(hits, queries, bodies, scorer, k=reach)
     hits = hits.filter(F.col("rank") > offset) if offset else hits
     key = F.from_json("id", "ns_str string, key string")
-    placed = hits.select("query_id", "rank", "score", key["ns_str"].alias("ns_str"), key["key"].alias("key"))
+    placed = few(hits.select("query_id", "rank", "score", key["ns_str"].alias("ns_str"), key["key"].alias("key")))
     return placed.join(kept.drop("embedding"), KEY)
 
 

@@ -70,9 +70,18 @@ def insert_new(base: DataFrame, rows: DataFrame, keys: Sequence[str], *, seq: st
     return upsert(base, rows, keys, [], others, seq=seq)
 
 
+def narrowed(table: DataFrame, asked: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of a large table that an outer join from ``asked`` can meet.
+
+    A left join cannot broadcast its left side; this semi join can, so few asked keys leave the
+    table where it is and only the matching rows go into the left join.
+    """
+    return table.join(asked.select(*keys), list(keys), "left_semi")
+
+
 def lookup_in_order(asked: DataFrame, table: DataFrame, key: str, *, pos: str = "pos") -> DataFrame:
     """``mget``: one row per asked position, nulls and ``found = false`` for missing keys."""
-    body = table.withColumn("_found", F.lit(True))
+    body = narrowed(table, asked, [key]).withColumn("_found", F.lit(True))
     return (asked.join(body, key, "left")
             .withColumn("found", F.coalesce(F.col("_found"), F.lit(False))).drop("_found"))
 

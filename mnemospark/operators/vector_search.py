@@ -233,8 +233,8 @@ def filtered_vector_search(structured: Sequence[Mapping[str, Any]], vectors: Dat
     passing = F.array_compact(F.array(*[F.when(p, F.lit(n)) for n, p in enumerate(predicates)]))
     tagged = corpus.withColumn("_filter", F.explode(passing))
     widest = max(r[2] for r in rows)
-    hits = vector_topk(vectors.join(plan, "query_id"), tagged, widest, within=["_filter"], **options)
-    return hits.join(plan.select("query_id", "_k"), "query_id").filter("rank <= _k").drop("_k")
+    hits = vector_topk(vectors.join(F.broadcast(plan), "query_id"), tagged, widest, within=["_filter"], **options)
+    return hits.join(F.broadcast(plan.select("query_id", "_k")), "query_id").filter("rank <= _k").drop("_k")
 
 
 def above_threshold(hits: DataFrame, threshold: float | None) -> DataFrame:
@@ -303,5 +303,8 @@ def ann_topk(queries: DataFrame, cells: DataFrame, pivots: np.ndarray, k: int =
 
     q = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("vector"))
     probes = q.mapInArrow(probe, T.StructType([*q.schema.fields, T.StructField("cell", T.IntegerType())]))
+    # At most one row per pivot; on a table partitioned by cell, only the probed folders are read.
+    probed = [r["cell"] for r in probes.select("cell").distinct().toLocalIterator()]
+    cells = cells.filter(F.col("cell").isin(probed))
     return vector_topk(probes, cells, k, metric=metric, id_col=id_col, vector_col=vector_col,
                        within=["cell"])

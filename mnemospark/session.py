@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+SMALL_ROWS = 1_000_000  # most rows of a narrow table that travel to every task
 
 
 def local_session(cpus: str | int = "*", app: str = "mnemospark", memory: str = "8g",
@@ -47,6 +49,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return made
 
 
+def few(hits: DataFrame) -> DataFrame:
+    """Search results about to meet a large table: written out, counted, and broadcast if they are few.
+
+    Spark estimates a result from the table it was searched in, and would shuffle that table for
+    the join. The count is exact; beyond ``SMALL_ROWS`` the join is left to Spark.
+    """
+    written = durable(hits)
+    return F.broadcast(written) if written.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else written
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Materialise ``df`` on reliable storage so that lost executors cost no recomputation."""
     ensure_checkpoint_dir(df.sparkSession)

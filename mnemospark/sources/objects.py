@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mnemospark.functions.paths import extension
 from mnemospark.functions.text import occurrences, replace_first
+from mnemospark.operators.tables import narrowed
 
 MAX_BYTES = 64 * 1024 * 1024  # fixed value: largest object that is read
 
@@ -76,7 +77,7 @@ def bulk_replace_text(df: DataFrame, old: str, new: str, replace_all: bool = Fal
 
 def read_objects(asked: DataFrame, objects: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:
     """``(pos, path, content, error)`` in asked order; missing and too large paths carry an error."""
-    joined = asked.join(objects.select("path", "length", "content"), "path", "left")
+    joined = asked.join(narrowed(objects, asked, ["path"]).select("path", "length", "content"), "path", "left")
     error = (F.when(F.col("length").isNull(), "file_not_found")
              .when(F.col("length") > max_bytes, "too_large"))
     return joined.select("pos", "path", F.when(error.isNull(), F.col("content")).alias("content"), error.alias("error"))
