@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from mnemospark.functions.paths import (basename, first_segment, folder_prefix, matches_glob, relative, under)
 from mnemospark.functions.text import contains_ignore_case
-from mnemospark.operators.hybrid import rank_fusion
+from mnemospark.operators.hybrid import fused_scores
 from mnemospark.operators.ranking import first_per_key, top_k
 from mnemospark.operators.text_search import TextIndex, bm25_topk
 from mnemospark.operators.vector_search import vector_topk
@@ -92,11 +92,10 @@ def grep_hybrid(queries: DataFrame, chunks: DataFrame, path: str = "", glob_patt
     if "vector" in queries.columns:
         vector_leg = vector_topk(queries, chunks, 2 * limit)
         if narrowed:
-            vector_leg = top_k(vector_leg.drop("rank").join(keep, "id", "left_semi"), None)
+            vector_leg = top_k(vector_leg.drop("rank").join(keep, "id", "left_semi"), 2 * limit)
         legs["vector"], weights["vector"] = vector_leg, 0.5
-    fused = rank_fusion(legs, weights)
-    placed = few(fused).join(chunks.select("id", "source_path", "line_start", "content"), "id")
-    once = dedupe_matches(placed, [F.asc("rank")], ("query_id", "source_path", "line_start"))
-    again = F.row_number().over(W.partitionBy("query_id").orderBy("rank"))
-    return (once.withColumn("rank", again).filter(F.col("rank") <= limit)
-            .select("query_id", "rank", "source_path", "line_start", "content", "score"))
+    fused = few(fused_scores(legs, weights).select("query_id", "id", "score"))
+    placed = fused.join(chunks.select("id", "source_path", "line_start", "content"), "id")
+    best_first = [F.desc("score"), F.asc("id")]
+    once = dedupe_matches(placed, best_first, ("query_id", "source_path", "line_start"))
+    return top_k(once, limit).select("query_id", "rank", "source_path", "line_start", "content", "score")
