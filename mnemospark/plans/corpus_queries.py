@@ -32,7 +32,7 @@ def _token_chunks(source: str, limit: int, overlap: int, keep: str) -> str:
 @query("c1_chunk_tokens", f"""SELECT doc_id, w::INT AS chunk_index, char_start, char_end, line_start, content
 FROM ({_token_chunks('documents', 100, 20, 'doc_id')})""")
 def _(t):
-    return chunking.chunk_tokens(t.documents, 100, 20, key="doc_id").drop("page_number")
+    return chunking.chunk_tokens(t.spread("documents", "doc_id", "text"), 100, 20, key="doc_id").drop("page_number")
 
 
 @query("w4_chunk_index_across_pages", f"""SELECT conv_id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn, w) - 1)::INT AS chunk_index,
@@ -134,9 +134,10 @@ def chunk_table(t, vectors: bool):
     """Chunks of all documents; with vectors as a written table, which a search reads several times."""
     ids = F.concat_ws("#", "source_path", F.col("chunk_index").cast("string"))
     if vectors:
-        made = chunk_objects(fr.objects(t).repartition("path"), limit=100, overlap=20)
+        made = chunk_objects(fr.objects(t), limit=100, overlap=20)
         return durable(made.withColumn("id", ids))
-    cut = chunking.chunk_tokens(t.documents.select(fr.object_path().alias("source_path"), "text"), 100, 20)
+    texts = t.spread("documents", "doc_id", "source", "lang", "text")
+    cut = chunking.chunk_tokens(texts.select(fr.object_path().alias("source_path"), "text"), 100, 20)
     return cut.withColumn("id", ids)
 
 

@@ -116,7 +116,8 @@ OBJECT_PATH = "source || '/' || lang || '/' || doc_id || '.txt'"
 def objects(t: Tables) -> DataFrame:
     """Documents as objects."""
     content = F.col("text").cast("binary")
-    return t.documents.select(object_path().alias("path"), F.md5(content).alias("etag"),
+    texts = t.spread("documents", "doc_id", "source", "lang", "text")
+    return texts.select(object_path().alias("path"), F.md5(content).alias("etag"),
                               F.length(content).cast("bigint").alias("length"), content.alias("content"))
 
 

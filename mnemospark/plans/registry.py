@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from mnemospark.session import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -19,6 +21,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str, *columns: str) -> DataFrame:
+        """Columns of a table, dealt out over the cores if its files have too few splits."""
+        return spread(getattr(self, name).select(*columns))
+
 
 def query(name: str, sql: str | None = None):
     """Register a function of ``Tables``; ``sql`` is the same result in ANSI SQL."""

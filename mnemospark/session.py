@@ -60,6 +60,16 @@ def few(hits: DataFrame) -> DataFrame:
     return F.broadcast(written) if written.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else written
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A file scan dealt out over all cores when it has fewer splits than that; else unchanged.
+
+    For heavy work per row on few or unsplittable files. Only for plain scans: asking a plan
+    with shuffles for its partitions would run it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Materialise ``df`` on reliable storage so that lost executors cost no recomputation."""
     ensure_checkpoint_dir(df.sparkSession)
