@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from mnemospark.functions.filters import as_predicate
 from mnemospark.functions.vectors import METRICS
 from mnemospark.operators.ranking import SCORE_DIGITS, top_k
+from mnemospark.session import durable
 
 QUERY_BLOCK = 4096      # most query vectors held by one task
 SHARD_ROWS = 100_000    # corpus rows per shard when queries come in several blocks
@@ -87,14 +88,29 @@ class _TopK:
         self.floor[full] = self.s[ends[full] - 1]
 
 
-def _keyed(table: pa.Table | pa.RecordBatch, within: Sequence[str]) -> np.ndarray | None:
-    """One comparable key per row, or ``None`` when every query meets every row."""
+def _column(table: pa.Table | pa.RecordBatch, name: str) -> pa.Array:
+    column = table.column(name)
+    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+
+
+def _groups(table: pa.Table | pa.RecordBatch, within: Sequence[str]) -> Iterator[tuple[Any, np.ndarray | slice]]:
+    """Row numbers per key; one group of everything when every query meets every row."""
     if not within:
-        return None
-    parts = [table.column(c).to_pylist() for c in within]
-    keys = np.empty(len(parts[0]), dtype=object)
-    keys[:] = list(zip(*parts))
-    return keys
+        yield None, slice(0, table.num_rows)
+        return
+    coded = [_column(table, c).dictionary_encode() for c in within]
+    values = [c.dictionary.to_pylist() for c in coded]
+    codes = np.zeros(table.num_rows, dtype=np.int64)
+    for c, known in zip(coded, values):
+        codes = codes * len(known) + c.indices.to_numpy(zero_copy_only=False)
+    order = np.argsort(codes, kind="stable")
+    keys, first = np.unique(codes[order], return_index=True)
+    for key, rows in zip(keys.tolist(), np.split(order, first[1:])):
+        parts = []
+        for known in reversed(values):
+            key, at = divmod(key, len(known))
+            parts.append(known[at])
+        yield tuple(reversed(parts)), rows
 
 
 def _ids(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -102,17 +118,6 @@ def _ids(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return np.array(values.tolist()) if values.dtype == object else values
 
 
-def _groups(keys: np.ndarray | None, n: int) -> Iterator[tuple[Any, np.ndarray | slice]]:
-    if keys is None:
-        yield None, slice(0, n)
-        return
-    places: dict[Any, list[int]] = {}
-    for row, key in enumerate(keys):
-        places.setdefault(key, []).append(row)
-    for key, rows in places.items():
-        yield key, np.array(rows)
-
-
 def _emit(found: dict[Any, tuple[np.ndarray, _TopK]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     for query_ids, top in found.values():
         if top.i is not None and len(top.q):
@@ -122,9 +127,12 @@ def _emit(found: dict[Any, tuple[np.ndarray, _TopK]], schema: pa.Schema) -> Iter
                  pa.array(top.s, pa.float64())], schema=schema)
 
 
-def _query_blocks(q: pa.Table, within: Sequence[str], k: int, metric: str):
-    vectors, ids, keys = _matrix(q.column("_v")), _ids(q.column("query_id")), _keyed(q, within)
-    return {key: (ids[rows], vectors[rows]) for key, rows in _groups(keys, len(vectors))} if len(vectors) else {}
+def _query_blocks(q: pa.Table, within: Sequence[str]) -> dict[Any, tuple[np.ndarray, np.ndarray]]:
+    """Query ids and vectors per key."""
+    if not q.num_rows:
+        return {}
+    vectors, ids = _matrix(q.column("_v")), _ids(q.column("query_id"))
+    return {key: (ids[rows], vectors[rows]) for key, rows in _groups(q, within)}
 
 
 def _scan(queries: dict, within: Sequence[str], k: int, metric: str, schema: pa.Schema):
@@ -134,8 +142,8 @@ def _scan(queries: dict, within: Sequence[str], k: int, metric: str, schema: pa.
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids, m, keys = _ids(batch.column("id")), None, _keyed(batch, within)
-            for key, rows in _groups(keys, batch.num_rows):
+            ids, m = _ids(batch.column("id")), None
+            for key, rows in _groups(batch, within):
                 if key in found:
                     m = _matrix(batch.column("_v")) if m is None else m
                     found[key][1].add(ids[rows], m[rows])
@@ -148,7 +156,7 @@ def _block_scan(within: Sequence[str], k: int, metric: str, schema: pa.Schema):
     def run(q: pa.Table, c: pa.Table) -> pa.Table:
         if not q.num_rows or not c.num_rows:
             return schema.empty_table()
-        body = _scan(_query_blocks(q, within, k, metric), within, k, metric, schema)
+        body = _scan(_query_blocks(q, within), within, k, metric, schema)
         return pa.Table.from_batches(list(body(iter(c.combine_chunks().to_batches()))), schema=schema)
     return run
 
@@ -182,10 +190,8 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 4, *, metric: st
     if predicate is not None:
         corpus = corpus.filter(predicate)
     keys = list(within)
-    q = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("_v"), *keys) \
-        .filter(F.col("_v").isNotNull())
-    c = corpus.select(F.col(id_col).alias("id"), F.col(vector_col).alias("_v"), *keys) \
-        .filter(F.col("_v").isNotNull())
+    q = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("_v"), *keys).dropna()
+    c = corpus.select(F.col(id_col).alias("id"), F.col(vector_col).alias("_v"), *keys).dropna()
     out = T.StructType([T.StructField("query_id", q.schema["query_id"].dataType),
                         T.StructField("id", c.schema["id"].dataType),
                         T.StructField("score", T.DoubleType())])
@@ -194,10 +200,11 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 4, *, metric: st
 
     head = q.limit(query_block + 1).toArrow()  # at most one block and one row reach the driver
     if head.num_rows <= query_block:
-        body = _scan(_query_blocks(head, keys, k, metric), keys, k, metric, schema)
+        body = _scan(_query_blocks(head, keys), keys, k, metric, schema)
         partial = c.mapInArrow(body, out)
     else:
         # More queries than one task may hold: blocks x shards, joined on their numbers.
+        q = durable(q)
         n_blocks = -(-q.count() * 5 // (query_block * 4))
         n_shards = max(1, -(-c.count() // SHARD_ROWS))
         blocks = (q.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)))

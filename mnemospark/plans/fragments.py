@@ -13,9 +13,6 @@ def toks(expr: str) -> str:
     return rf"list_filter(regexp_split_to_array(lower({expr}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
 
 
-COSINE = "list_cosine_similarity({a}::DOUBLE[], {b}::DOUBLE[])"
-
-
 def cos_score(a: str, b: str) -> str:
     return f"round((1 + list_cosine_similarity({a}::DOUBLE[], {b}::DOUBLE[])) / 2, 6)"
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -10,6 +11,7 @@ from mnemospark.functions.paths import basename
 from mnemospark.operators.chunking import TOKEN_LIMIT, TOKEN_OVERLAP, chunk_tokens
 from mnemospark.operators.embedding import Embedder, embed
 from mnemospark.operators.listing import diff_listing
+from mnemospark.session import durable, sized
 from mnemospark.sources.objects import MAX_BYTES, text_from_objects
 
 CHUNK_SCHEMA = ("source_path string, chunk_index int, content string, embedding array<double>, "
@@ -38,22 +40,26 @@ def chunk_objects(objects: DataFrame, *, limit: int = TOKEN_LIMIT, overlap: int
 
 def sync(objects: DataFrame, chunks: DataFrame, *, prefix: str = "", dry_run: bool = False,
          max_bytes: int = MAX_BYTES, limit: int = TOKEN_LIMIT, overlap: int = TOKEN_OVERLAP,
-         embedder: Embedder | None = None, dims: int = 64) -> SyncResult:
+         embedder: Embedder | None = None, dims: int = 64,
+         load: Callable[[DataFrame], DataFrame] | None = None) -> SyncResult:
     """Bring the chunk table in line with the objects ``(path, etag, length, content)``.
 
     New and changed objects are re-chunked and replace all their old chunks; chunks of vanished
     objects go; unchanged objects are neither read nor moved. Too large objects count as failed
-    and keep no chunks. Running it twice changes nothing.
+    and keep no chunks. Running it twice changes nothing. ``load(paths)`` fetches the objects to
+    process, where a listing is cheaper than a scan with content.
     """
     seen = objects.filter(F.col("path").startswith(prefix)) if prefix else objects
     mine = chunks.filter(F.col("source_path").startswith(prefix)) if prefix else chunks
-    changes = diff_listing(seen, mine.select(F.col("source_path").alias("path"), "etag"))
-    todo = changes.filter(F.col("change").isin("created", "updated")).select("path")
-    stale = changes.filter(F.col("change").isin("updated", "deleted")).select(F.col("path").alias("source_path"))
-    pending = seen.join(todo, "path", "left_semi")
+    # The comparison holds paths and ETags only; it is written once and drives everything below.
+    compared = diff_listing(seen, mine.select(F.col("source_path").alias("path"), "etag"))
+    changes = durable(compared.join(seen.select("path", "length"), "path", "left"))
+    todo = sized(changes.filter(F.col("change").isin("created", "updated")).select("path"))
+    stale = sized(changes.filter(F.col("change").isin("updated", "deleted")).select(F.col("path").alias("source_path")))
+    pending = load(todo) if load is not None else seen.join(todo, "path", "left_semi")
     fitting = pending.filter(F.col("length") <= max_bytes)
     fresh = chunk_objects(fitting, limit=limit, overlap=overlap, embedder=embedder, dims=dims)
-    counts = changes.join(seen.select("path", "length"), "path", "left").agg(
+    counts = changes.agg(
         F.count(F.col("etag")).alias("seen"),
         F.sum(F.when(F.col("change") == "unchanged", 1).otherwise(0)).alias("skipped"),
         F.sum(F.when(F.col("change").isin("created", "updated") & (F.col("length") > max_bytes), 1).otherwise(0)).alias("failed"),

@@ -56,8 +56,12 @@ def few(hits: DataFrame) -> DataFrame:
     Spark estimates a result from the table it was searched in, and would shuffle that table for
     the join. The count is exact; beyond ``SMALL_ROWS`` the join is left to Spark.
     """
-    written = durable(hits)
-    return F.broadcast(written) if written.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else written
+    return sized(durable(hits))
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """Broadcast hint for a narrow table that is cheap to count, if it is small."""
+    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
 
 
 def spread(scan: DataFrame) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mnemospark.functions.paths import extension
 from mnemospark.functions.text import occurrences, replace_first
 from mnemospark.operators.tables import narrowed
 
+MAX_NAMED = 10_000  # most files that are read by name
 MAX_BYTES = 64 * 1024 * 1024  # fixed value: largest object that is read
 
 # Extensions read as UTF-8 text, and those needing a caller's parser.
@@ -15,21 +18,35 @@ TEXT_EXTENSIONS = (".txt", ".md", ".rst", ".csv")
 PARSER_EXTENSIONS = (".pdf", ".docx", ".doc", ".xlsx", ".xls", ".pptx", ".ppt")
 
 
-def scan_objects(spark: SparkSession, root: str, prefix: str = "", *, with_content: bool = True) -> DataFrame:
-    """``(path, etag, length, content)`` of all files below ``root``; paths are relative to it.
+def scan_objects(spark: SparkSession, root: str, prefix: str = "", *, with_content: bool = True,
+                 stat_etag: bool = False, paths: list[str] | None = None) -> DataFrame:
+    """``(path, etag, length, content)`` of all files below ``root``, or of ``paths``; relative to it.
 
-    Without content, the ETag is made of length and modification time and no file is opened.
+    The ETag is the MD5 of the content, or with ``stat_etag`` (and without content) made of length
+    and modification time, so that a listing opens no file.
     """
     base = root.rstrip("/")
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base))
+    reader = spark.read.format("binaryFile")
+    if paths is None:
+        files = reader.option("recursiveFileLookup", "true").load(base)
+    else:
+        files = reader.load([f"{base}/" + re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in paths])
     full = F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B")))
     path = F.substring(full, F.instr(full, base) + F.lit(len(base) + 1), F.lit(2**31 - 1))
-    etag = (F.md5("content") if with_content else
-            F.md5(F.concat_ws(":", F.col("length").cast("string"), F.col("modificationTime").cast("string"))))
+    stat = F.md5(F.concat_ws(":", F.col("length").cast("string"), F.col("modificationTime").cast("string")))
+    etag = F.md5("content") if with_content and not stat_etag else stat
     out = files.select(path.alias("path"), etag.alias("etag"), "length", *(["content"] if with_content else []))
     return out.filter(F.col("path").startswith(prefix)) if prefix else out
 
 
+def load_objects(spark: SparkSession, root: str, wanted: DataFrame) -> DataFrame:
+    """Objects of the ``wanted(path)`` rows: read by name if they are few, else picked from a scan."""
+    named = [r["path"] for r in wanted.limit(MAX_NAMED + 1).collect()]
+    if 0 < len(named) <= MAX_NAMED:
+        return scan_objects(spark, root, stat_etag=True, paths=named)
+    return scan_objects(spark, root, stat_etag=True).join(wanted, "path", "left_semi")
+
+
 def within_size(objects: DataFrame, max_bytes: int = MAX_BYTES) -> tuple[DataFrame, DataFrame]:
     """Objects that may be read, and those that are too large (to be counted as failed)."""
     return objects.filter(F.col("length") <= max_bytes), objects.filter(F.col("length") > max_bytes)

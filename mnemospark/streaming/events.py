@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from mnemospark.operators.tables import last_per_key
 from mnemospark.plans.sync import CHUNK_SCHEMA, chunk_objects
+from mnemospark.session import durable, few, sized
 from mnemospark.sources.versions import read_version, write_version
 
 _RECORDS = "struct<Records:array<struct<eventName:string,s3:struct<object:struct<key:string>>>>>"
@@ -40,13 +41,13 @@ def apply_events(chunks: DataFrame, events: DataFrame, objects: DataFrame, *, se
     Only the last event of a path counts. An upsert whose (path, ETag) is already present, or whose
     object has gone, changes nothing; otherwise all chunks of the path are replaced.
     """
-    last = last_per_key(events.filter(F.col("action").isin("upsert", "delete")).select("path", "action", seq), ["path"], seq)
+    last = durable(last_per_key(events.filter(F.col("action").isin("upsert", "delete")).select("path", "action", seq), ["path"], seq))
     removed = last.filter("action = 'delete'").select("path")
-    current = objects.join(last.filter("action = 'upsert'").select("path"), "path", "left_semi")
-    stored = chunks.select(F.col("source_path").alias("path"), "etag").distinct()
-    changed = current.join(stored, ["path", "etag"], "left_anti")
+    touched = sized(last.filter("action = 'upsert'").select("path"))
+    stored = chunks.select(F.col("source_path").alias("path"), "etag").join(touched, "path", "left_semi").distinct()
+    changed = objects.join(touched, "path", "left_semi").join(stored, ["path", "etag"], "left_anti")
     fresh = chunk_objects(changed, **chunking)
-    stale = changed.select("path").unionByName(removed).select(F.col("path").alias("source_path"))
+    stale = few(changed.select("path").unionByName(removed).select(F.col("path").alias("source_path")))
     return chunks.join(stale, "source_path", "left_anti").unionByName(fresh)
 
 

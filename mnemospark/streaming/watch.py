@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from mnemospark.plans.sync import CHUNK_SCHEMA, sync
-from mnemospark.sources.objects import scan_objects
+from mnemospark.sources.objects import load_objects, scan_objects
 from mnemospark.sources.versions import read_version, write_version
 
 POLL_SECONDS = 10
@@ -27,11 +27,12 @@ def watch_objects(spark: SparkSession, root: str, table: str, checkpoint: str, *
     """Keep the chunk table at ``table`` in line with ``root``.
 
     File arrivals trigger a batch; the batch compares the whole listing with the table, so
-    deletions, which a file source does not report, are found as well.
+    deletions, which a file source does not report, are found as well. Only changed files are opened.
     """
     def run(_: DataFrame, batch_id: int) -> None:
-        objects = scan_objects(spark, root)
-        done = sync(objects, read_version(spark, table, batch_id, CHUNK_SCHEMA), **options)
+        listing = scan_objects(spark, root, stat_etag=True)
+        done = sync(listing, read_version(spark, table, batch_id, CHUNK_SCHEMA),
+                    load=lambda wanted: load_objects(spark, root, wanted), **options)
         write_version(done.chunks, table, batch_id + 1)
         if on_change is not None:
             on_change(done.changes.filter(F.col("change") != "unchanged"))

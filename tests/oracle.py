@@ -84,7 +84,7 @@ def main() -> int:
             got = queries[name](spark, args.d).toArrow()
             mid = time.time()
             if name in sql:
-                problem = compare(got, con.execute(sql[name]).to_arrow_table())
+                problem = compare(got, con.sql(sql[name]).to_arrow_table())
             else:
                 problem = None if got.num_rows else "no rows"
         except Exception as exc:  # noqa: BLE001

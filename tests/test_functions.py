@@ -185,3 +185,13 @@ def test_objects_on_disk(spark, tmp_path):
     assert got == {0: (bytearray(b"x"), None), 1: (None, "file_not_found"), 2: (None, "too_large")}
     objects.write_objects(found, str(tmp_path / "out"))
     assert rows(spark.read.parquet(str(tmp_path / "out")).filter("folder = 'docs'"), "path") == ["docs/a b+c.txt"]
+
+
+def test_objects_read_by_name(spark, tmp_path, monkeypatch):
+    for name in ("a[1].txt", "b{x}.txt", "c d.txt", "e.txt"):
+        (tmp_path / name).write_text(name)
+    wanted = spark.createDataFrame([("a[1].txt",), ("b{x}.txt",), ("c d.txt",)], "path string")
+    named = rows(objects.load_objects(spark, str(tmp_path), wanted), "path", "etag")
+    assert [p for p, _ in named] == ["a[1].txt", "b{x}.txt", "c d.txt"]
+    monkeypatch.setattr(objects, "MAX_NAMED", 1)
+    assert rows(objects.load_objects(spark, str(tmp_path), wanted), "path", "etag") == named

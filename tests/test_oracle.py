@@ -18,7 +18,7 @@ def con():
 def test_query(spark, con, name):
     got = QUERIES[name](spark, FOLDER).toArrow()
     if name in SQL:
-        assert compare(got, con.execute(SQL[name]).to_arrow_table()) is None
+        assert compare(got, con.sql(SQL[name]).to_arrow_table()) is None
     else:
         assert got.num_rows > 0
 
