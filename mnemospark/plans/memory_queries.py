@@ -87,13 +87,13 @@ def _(t):
 
 @query("m3_store_vector_search", f"""WITH {fr.CENTROIDS},
 sc AS (SELECT query_id, 'vectors/' || label AS ns_str, CAST(vec_id AS VARCHAR) AS key, '{{"ns_str":"vectors/' || label || '","key":"' || vec_id || '"}}' AS id,
-  {fr.cos_score('vector', 'embedding')} AS score FROM cen, embeddings WHERE label % 2 = 0)
+  {fr.cos_score('vector', 'embedding')} AS score FROM cen, embeddings WHERE label < 5)
 SELECT query_id, rank, score, ns_str, key FROM (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id))::INT AS rank FROM sc) WHERE rank > 2 AND rank <= 7""")
 def _(t):
     rows = t.embeddings.select(F.array(F.lit("vectors"), F.col("label").cast("string")).alias("namespace"), F.col("vec_id").cast("string").alias("key"),
-                               F.to_json(F.struct((F.col("label") % 2 == 0).alias("even"))).alias("value"), "embedding")
+                               F.to_json(F.struct((F.col("label") < 5).alias("low"))).alias("value"), "embedding")
     kept = store.with_namespace_keys(rows)
-    return store.store_search(kept, ("vectors",), filter={"even": True}, limit=5, offset=2, queries=fr.centroids(t)).select("query_id", "rank", "score", "ns_str", "key")
+    return store.store_search(kept, ("vectors",), filter={"low": True}, limit=5, offset=2, queries=fr.centroids(t)).select("query_id", "rank", "score", "ns_str", "key")
 
 
 @query("m3_store_reranked", f"""WITH dv AS (SELECT conv_id, turn, text, {fr.hashed('text')} AS v FROM conversations),
@@ -175,11 +175,11 @@ _WR = """wr AS (SELECT 'user ' || user_id AS thread_id, event_type AS checkpoint
   unnest(['out', '__error__']) AS channel, unnest([0, -1]) AS idx, props AS value FROM events WHERE value > 20)"""
 
 
-@query("k1_put_checkpoint", f"""WITH {_CK} SELECT thread_id, checkpoint_ns, checkpoint_id, CASE WHEN event_id % 3 = 0 THEN 'v2' ELSE 'json' END AS type FROM ck
+@query("k1_put_checkpoint", f"""WITH {_CK} SELECT thread_id, checkpoint_ns, checkpoint_id, CASE WHEN checkpoint_ns = 'purchase' THEN 'v2' ELSE 'json' END AS type FROM ck
 UNION ALL SELECT 'order', o_orderstatus, CAST(o_orderkey AS VARCHAR), 'v2' FROM orders""")
 def _(t):
     old = saved(t)
-    changed = old.filter(F.col("checkpoint_id").cast("bigint") % 3 == 0).withColumn("type", F.lit("v2"))
+    changed = old.filter(F.col("checkpoint_ns") == "purchase").withColumn("type", F.lit("v2"))
     added = t.orders.select(F.lit("order").alias("thread_id"), F.col("o_orderstatus").alias("checkpoint_ns"), F.col("o_orderkey").cast("string").alias("checkpoint_id"),
                             F.lit("v2").alias("type"))
     new = changed.unionByName(added, allowMissingColumns=True)
@@ -219,12 +219,12 @@ def _(t):
 
 @query("k4_get_checkpoint", f"""WITH {_CK}, {_WR},
 last AS (SELECT thread_id, checkpoint_ns, max(checkpoint_id) AS checkpoint_id FROM ck GROUP BY ALL),
-pair AS (SELECT * FROM last UNION SELECT thread_id, checkpoint_ns, checkpoint_id FROM ck WHERE event_id % 10 = 0)
+pair AS (SELECT * FROM last UNION SELECT thread_id, checkpoint_ns, checkpoint_id FROM ck WHERE checkpoint_ns = 'error')
 SELECT thread_id, checkpoint_ns, checkpoint_id, channel FROM pair LEFT JOIN wr USING (thread_id, checkpoint_ns, checkpoint_id)""")
 def _(t):
     rows = saved(t)
     asked = rows.select("thread_id", "checkpoint_ns", F.lit(None).cast("string").alias("checkpoint_id")).distinct().unionByName(
-        rows.filter(F.col("checkpoint_id").cast("bigint") % 10 == 0).select("thread_id", "checkpoint_ns", "checkpoint_id"))
+        rows.filter(F.col("checkpoint_ns") == "error").select("thread_id", "checkpoint_ns", "checkpoint_id"))
     return checkpoints.get_checkpoint(rows, asked, writes_of(t)).select("thread_id", "checkpoint_ns", "checkpoint_id", "channel")
 
 
@@ -304,13 +304,13 @@ def _(t):
 
 def _cache(t):
     old = t.conversations.filter("role = 'user'").select(F.col("text").alias("prompt"), F.lit("m1").alias("llm"), F.array("role").alias("generations"), (F.col("conv_id") * 1000 + F.col("turn")).alias("seq"))
-    new = t.conversations.select(F.col("text").alias("prompt"), F.lit("m1").alias("llm"), F.array(F.lit("again"), F.col("conv_id").cast("string")).alias("generations"), (F.col("conv_id") * 1000 + F.col("turn")).alias("seq"))
+    new = t.conversations.filter("turn >= 2").select(F.col("text").alias("prompt"), F.lit("m1").alias("llm"), F.array(F.lit("again"), F.col("conv_id").cast("string")).alias("generations"), (F.col("conv_id") * 1000 + F.col("turn")).alias("seq"))
     empty = t.spark.createDataFrame([], "prompt string, llm string, return_val string")
-    return memory.cache_update(memory.cache_update(empty, old, seq="seq"), new.filter("seq % 2 = 0"), seq="seq")
+    return memory.cache_update(memory.cache_update(empty, old, seq="seq"), new, seq="seq")
 
 
 _CACHE = """old AS (SELECT text AS prompt, '["user"]' AS return_val FROM conversations WHERE role = 'user' GROUP BY text),
-new AS (SELECT text AS prompt, '["again","' || arg_max(conv_id, conv_id * 1000 + turn) || '"]' AS return_val FROM conversations WHERE (conv_id * 1000 + turn) % 2 = 0 GROUP BY text),
+new AS (SELECT text AS prompt, '["again","' || arg_max(conv_id, conv_id * 1000 + turn) || '"]' AS return_val FROM conversations WHERE turn >= 2 GROUP BY text),
 cache AS (SELECT coalesce(old.prompt, new.prompt) AS prompt, 'm1' AS llm, coalesce(new.return_val, old.return_val) AS return_val FROM old FULL OUTER JOIN new ON old.prompt = new.prompt)"""
 
 

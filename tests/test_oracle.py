@@ -16,7 +16,10 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    got = QUERIES[name](spark, FOLDER).toArrow()
+    df = QUERIES[name](spark, FOLDER)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [op for op in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython") if op in plan]
+    got = df.toArrow()
     if name in SQL:
         assert compare(got, con.sql(SQL[name]).to_arrow_table()) is None
     else:
