@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from mnemospark.llm import bpe
+from mnemospark.llm import bpe, quality
 
 QUERIES, ORACLES = {}, {}
 TOKENIZER = "word_bpe_49k.json"
@@ -33,3 +33,8 @@ def op1(spark, folder):
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
+@query("op10_quality")
+def op10(spark, folder):
+    return quality.judge(table(spark, folder, "documents")).drop("d2")
