@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from mnemospark.llm import bpe, quality
+from mnemospark.llm import bpe, mixing, quality
 
 QUERIES, ORACLES = {}, {}
 TOKENIZER = "word_bpe_49k.json"
@@ -38,3 +38,8 @@ def op1(spark, folder):
 @query("op10_quality")
 def op10(spark, folder):
     return quality.judge(table(spark, folder, "documents")).drop("d2")
+
+
+@query("op5_mixing")
+def op5(spark, folder):
+    return mixing.mix(table(spark, folder, "documents")).drop("places")
