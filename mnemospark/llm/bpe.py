@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-WORD_CACHE = 600_000  # words whose ids a Python worker remembers; it starts anew when full
+WORD_CACHE = 250_000  # words whose ids a Python worker remembers; it starts anew when full
 HEAD = 3  # letters by which the longest token is looked up
 ROWS_PER_PIECE = 256  # texts encoded at a time, so that results stay small
 # White space and the word pattern of the tokenizer file.
