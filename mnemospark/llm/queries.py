@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from mnemospark.llm import bpe, mixing, pii, quality
+from mnemospark.llm import bpe, mixing, near_dedup, pii, quality
 
 QUERIES, ORACLES = {}, {}
 TOKENIZER = "word_bpe_49k.json"
@@ -52,3 +52,8 @@ def op9(spark, folder):
     count = lambda kind: F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
     joined = lambda col: F.array_join(F.transform(col, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     return found.select("doc_id", *map(count, pii.KINDS), F.sha2(joined(F.filter("spans", lambda s: s["base"])), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+@query("op3_near_dedup")
+def op3(spark, folder):
+    return near_dedup.near_classes(table(spark, folder, "documents"))
