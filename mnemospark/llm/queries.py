@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from mnemospark.llm import bpe, mixing, near_dedup, pii, quality
+from mnemospark.llm import bpe, mixing, multi_index, near_dedup, pii, quality, url_filter
 
 QUERIES, ORACLES = {}, {}
 TOKENIZER = "word_bpe_49k.json"
@@ -57,3 +57,14 @@ def op9(spark, folder):
 @query("op3_near_dedup")
 def op3(spark, folder):
     return near_dedup.near_classes(table(spark, folder, "documents"))
+
+
+@query("op4_url_filter")
+def op4(spark, folder):
+    return url_filter.judge(table(spark, folder, "pages"))
+
+
+@query("op7_multi_index")
+def op7(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    return multi_index.search(vectors, vectors.where(F.col("vec_id") % 100 == 0))
