@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from mnemospark.llm import bpe, mixing, multi_index, near_dedup, pii, quality, url_filter
+from mnemospark.llm import bpe, mixing, multi_index, near_dedup, pii, quality, toxicity, url_filter
 
 QUERIES, ORACLES = {}, {}
 TOKENIZER = "word_bpe_49k.json"
@@ -68,3 +68,9 @@ def op4(spark, folder):
 def op7(spark, folder):
     vectors = table(spark, folder, "embeddings")
     return multi_index.search(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+@query("op8_toxicity")
+def op8(spark, folder):
+    docs = table(spark, folder, "documents")
+    return toxicity.judge(docs, toxicity.fit(docs, table(spark, folder, "labels")))
