@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from mnemospark.llm import bpe, mixing, multi_index, near_dedup, pii, quality, toxicity, url_filter
+from mnemospark.llm import bpe, mixing, multi_index, near_dedup, pii, quality, repeats, toxicity, url_filter
 
 QUERIES, ORACLES = {}, {}
 TOKENIZER = "word_bpe_49k.json"
@@ -74,3 +74,8 @@ def op7(spark, folder):
 def op8(spark, folder):
     docs = table(spark, folder, "documents")
     return toxicity.judge(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
+@query("op2_repeats")
+def op2(spark, folder):
+    return repeats.repeated_passages(table(spark, folder, "documents"))

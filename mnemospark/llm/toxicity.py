@@ -97,7 +97,7 @@ def label_model(votes: np.ndarray, known: np.ndarray, rounds: int = 40) -> tuple
             cov = rest.T @ rest / max(1, n)
             spread = np.sqrt(np.maximum(np.diag(cov), 1e-9))
             corr = cov / spread[:, None] / spread
-            weight = 1 / (1 + np.where(np.abs(corr) > 0.1, np.abs(corr), 0).sum(1) - np.abs(np.diag(corr)))
+            weight = 1 / (1 + np.abs(corr - np.diag(np.diag(corr))).max(1))  # a twin halves the say
     return post, rates, corr
 
 
