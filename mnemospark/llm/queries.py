@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from mnemospark.llm import bpe, mixing, multi_index, near_dedup, pii, quality, repeats, toxicity, url_filter
+from mnemospark.llm import bpe, mixing, multi_index, near_dedup, pii, quality, repeats, toxicity, url_filter, warc
 
 QUERIES, ORACLES = {}, {}
 TOKENIZER = "word_bpe_49k.json"
@@ -79,3 +79,25 @@ def op8(spark, folder):
 @query("op2_repeats")
 def op2(spark, folder):
     return repeats.repeated_passages(table(spark, folder, "documents"))
+
+
+OP6_SQL = r"""
+WITH pages_ AS (SELECT page_id, url, html, '"' || md5(coalesce(html, '')) || '"' AS tag, 'day ' || (page_id // 100)::VARCHAR AS day,
+  CASE WHEN regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) || '://'
+    || regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), CASE WHEN url ILIKE 'http://%' THEN ':80$' WHEN url ILIKE 'https://%' THEN ':443$' ELSE 'x^' END, '')
+    || CASE WHEN starts_with(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)', 1), '/') THEN '' ELSE '/' END
+    || regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)', 1) ELSE url END AS key FROM pages),
+responses AS (SELECT page_id * 2 AS id, key, page_id * 10 AS at, CASE WHEN page_id % 3 <> 0 THEN tag END AS etag, day, html FROM pages_ WHERE page_id % 11 <> 0),
+revisits AS (SELECT page_id * 2 + 1 AS id, key, page_id * 10 + 75 AS at, CASE WHEN page_id % 5 = 0 THEN '"other"' WHEN page_id % 3 <> 0 THEN tag END AS etag, day FROM pages_),
+paired AS (SELECT v.id, v.etag, v.day, r.id AS rid, r.etag AS retag, r.day AS rday, r.html,
+  row_number() OVER (PARTITION BY v.id ORDER BY r.at DESC, r.id DESC) AS n FROM revisits v LEFT JOIN responses r ON r.key = v.key AND r.at <= v.at),
+judged AS (SELECT *, rid IS NOT NULL AND CASE WHEN etag IS NOT NULL AND retag IS NOT NULL THEN etag = retag ELSE day = rday END AS ok FROM paired WHERE n = 1)
+SELECT id AS record_id, rid AS refers_to, ok AS resolved, CASE WHEN ok THEN sha256(html) END AS body_sha256,
+  CASE WHEN ok THEN 'content-type=text/html,date=later,expires=never,server=a' ELSE 'Date=later,Expires=never,Server=b' END AS headers FROM judged"""
+
+
+@query("op6_warc_revisits", OP6_SQL)
+def op6(spark, folder):
+    resolved = warc.resolve(warc.crawl_of(table(spark, folder, "pages")))
+    headers = F.array_join(F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ",")
+    return resolved.select("record_id", "refers_to", "resolved", F.sha2("body", 256).alias("body_sha256"), headers.alias("headers"))
