@@ -125,24 +125,26 @@ def lineage(checkpoints: DataFrame, starts: DataFrame) -> DataFrame:
     """``(thread_id, checkpoint_ns, start_id, checkpoint_id, distance)`` up the parent links.
 
     Pointers are doubled each round, so a chain of n checkpoints takes log2(n) rounds; every round
-    is written out. Cycles cannot arise: an id is only followed while it gets smaller.
+    is written out. Parents are followed whatever their ids; a cycle ends where an id would repeat.
     """
     pair = ["thread_id", "checkpoint_ns"]
     checkpoints = narrowed(checkpoints, starts, pair)
-    jump = durable(checkpoints.filter("parent_checkpoint_id < checkpoint_id").select(
+    jump = durable(checkpoints.filter("parent_checkpoint_id IS NOT NULL").select(
         *pair, F.col("checkpoint_id").alias("_from"), F.col("parent_checkpoint_id").alias("_to")))
     known = checkpoints.select(*KEY)
     reach = starts.select(*KEY).join(known, KEY, "left_semi").select(
         *pair, F.col("checkpoint_id").alias("start_id"), "checkpoint_id", F.lit(0).alias("distance"))
     reach, span = durable(reach), 1
-    while not jump.isEmpty():
+    longest = checkpoints.groupBy(*pair).count().agg(F.max("count")).first()[0] or 0
+    while span <= longest and not jump.isEmpty():
         further = reach.join(jump.withColumnRenamed("_from", "checkpoint_id"), [*pair, "checkpoint_id"]).select(
             *pair, "start_id", F.col("_to").alias("checkpoint_id"), (F.col("distance") + span).alias("distance"))
         reach = durable(reach.unionByName(further))
         second = jump.select(*pair, F.col("_from").alias("_to"), F.col("_to").alias("_end"))
         jump = durable(jump.join(second, [*pair, "_to"]).select(*pair, "_from", F.col("_end").alias("_to")))
         span *= 2
-    return reach.join(known, KEY, "left_semi")
+    nearest = reach.groupBy(*pair, "start_id", "checkpoint_id").agg(F.min("distance").alias("distance"))
+    return nearest.join(known, KEY, "left_semi")
 
 
 def migrate_metadata(old: DataFrame, existing_new: DataFrame, *, dry_run: bool = False) -> tuple[DataFrame, DataFrame]:

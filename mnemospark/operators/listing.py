@@ -12,9 +12,9 @@ from mnemospark.operators.text_search import TextIndex, bm25_topk
 from mnemospark.operators.vector_search import vector_topk
 from mnemospark.session import few
 
-LS_LIMIT = 1000
-GLOB_LIMIT = 200
-GREP_LIMIT = 20
+
+def _first(ordered: DataFrame, limit: int | None) -> DataFrame:
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def diff_listing(listing: DataFrame, stored: DataFrame) -> DataFrame:
@@ -30,26 +30,26 @@ def diff_listing(listing: DataFrame, stored: DataFrame) -> DataFrame:
     return both.select("path", "etag", "stored_etag", change.alias("change"))
 
 
-def ls(chunks: DataFrame, path: str = "", *, limit: int = LS_LIMIT, path_col: str = "source_path") -> DataFrame:
+def ls(chunks: DataFrame, path: str = "", *, limit: int | None = None, path_col: str = "source_path") -> DataFrame:
     """Immediate children ``(path, is_dir)`` in order; folders end with ``/``."""
     prefix = folder_prefix(path)
     rest = relative(path_col, prefix)
-    children = (chunks.filter(under(path_col, prefix))
-                .select(first_segment(rest).alias("segment"), rest.contains("/").alias("deeper"))
-                .filter("segment <> ''")
-                .groupBy("segment").agg(F.max("deeper").alias("is_dir"))
-                .orderBy("segment").limit(limit))
+    children = _first(chunks.filter(under(path_col, prefix))
+                      .select(first_segment(rest).alias("segment"), rest.contains("/").alias("deeper"))
+                      .filter("segment <> ''")
+                      .groupBy("segment").agg(F.max("deeper").alias("is_dir"))
+                      .orderBy("segment"), limit)
     return children.select(F.concat(F.lit(prefix), F.col("segment"),
                                     F.when(F.col("is_dir"), "/").otherwise("")).alias("path"), "is_dir")
 
 
-def glob(chunks: DataFrame, pattern: str, path: str = "", *, limit: int = GLOB_LIMIT,
+def glob(chunks: DataFrame, pattern: str, path: str = "", *, limit: int | None = None,
          path_col: str = "source_path") -> DataFrame:
     """Distinct paths below ``path`` whose relative part matches, in order."""
     prefix = folder_prefix(path)
-    return (chunks.filter(under(path_col, prefix) & (F.col(path_col) != "")
-                          & matches_glob(relative(path_col, prefix), pattern))
-            .select(F.col(path_col).alias("path")).distinct().orderBy("path").limit(limit))
+    return _first(chunks.filter(under(path_col, prefix) & (F.col(path_col) != "")
+                                & matches_glob(relative(path_col, prefix), pattern))
+                  .select(F.col(path_col).alias("path")).distinct().orderBy("path"), limit)
 
 
 def _in_scope(path: str, glob_pattern: str) -> Column:
@@ -67,20 +67,20 @@ def dedupe_matches(hits: DataFrame, order: list[Column], keys: tuple[str, ...] =
 
 
 def grep_literal(chunks: DataFrame, pattern: str, path: str = "", glob_pattern: str = "", *,
-                 limit: int = GREP_LIMIT) -> DataFrame:
+                 limit: int | None = None) -> DataFrame:
     """Chunks holding the literal, ignoring case: ``(source_path, line_start, content)``."""
     found = chunks.filter(_in_scope(path, glob_pattern) & contains_ignore_case("content", pattern))
     once = dedupe_matches(found.select("source_path", "line_start", "chunk_index", "content"),
                           [F.asc("chunk_index")])
-    return once.orderBy("source_path", "line_start").limit(limit).select("source_path", "line_start", "content")
+    return _first(once.orderBy("source_path", "line_start"), limit).select("source_path", "line_start", "content")
 
 
 def grep_hybrid(queries: DataFrame, chunks: DataFrame, path: str = "", glob_pattern: str = "", *,
-                index: TextIndex | None = None, limit: int = GREP_LIMIT) -> DataFrame:
-    """Text and vector legs fused with equal weights, deduplicated per line, then limited.
+                index: TextIndex | None = None, limit: int) -> DataFrame:
+    """Text and vector legs fused with equal weights, deduplicated per line, then the first ``limit`` per query.
 
-    ``chunks(id, source_path, line_start, content, embedding)``. The vector leg ranks all chunks
-    first and is narrowed to the path afterwards, so a path filter can leave fewer hits.
+    ``chunks(id, source_path, line_start, content, embedding)``. Both legs rank the chunks in scope
+    only; the vector leg gives the nearest ``2 * limit``.
     Without a ``vector`` column in ``queries`` only the text leg runs.
     """
     scope = _in_scope(path, glob_pattern)
@@ -90,10 +90,7 @@ def grep_hybrid(queries: DataFrame, chunks: DataFrame, path: str = "", glob_patt
                          fields=["content"], keep_ids=keep)
     legs, weights = {"fulltext": text_leg}, {"fulltext": 0.5}
     if "vector" in queries.columns:
-        vector_leg = vector_topk(queries, chunks, 2 * limit)
-        if narrowed:
-            vector_leg = top_k(vector_leg.drop("rank").join(keep, "id", "left_semi"), 2 * limit)
-        legs["vector"], weights["vector"] = vector_leg, 0.5
+        legs["vector"], weights["vector"] = vector_topk(queries, chunks, 2 * limit, pre_filter=scope if narrowed else None), 0.5
     fused = few(fused_scores(legs, weights).select("query_id", "id", "score"))
     placed = fused.join(chunks.select("id", "source_path", "line_start", "content"), "id")
     best_first = [F.desc("score"), F.asc("id")]

@@ -24,12 +24,12 @@ def messages(history: DataFrame, history_size: int | None = None) -> DataFrame:
     The limit is taken per partition before the shuffle, so a very long session does not move.
     """
     if history_size is None:
-        return history
+        return history.orderBy("session_id", "seq")
     if history_size <= 0:
         return history.limit(0)
     newest = W.partitionBy("session_id").orderBy(F.desc("seq"))
     return (history.withColumn("_n", F.row_number().over(newest))
-            .filter(F.col("_n") <= history_size).drop("_n"))
+            .filter(F.col("_n") <= history_size).drop("_n").orderBy("session_id", "seq"))
 
 
 def clear_sessions(history: DataFrame, sessions: DataFrame) -> DataFrame:
@@ -101,14 +101,18 @@ def yield_keys(docs: DataFrame, prefix: str | None = None) -> DataFrame:
 
 
 def ledger_update(ledger: DataFrame, namespace: str, keys: DataFrame, now: float | Column, *,
-                  time_at_least: float | None = None) -> DataFrame:
-    """Record ``keys(key[, group_id])`` as indexed now; a clock behind ``time_at_least`` is an error."""
+                  time_at_least: float | None = None, seq: str | None = None) -> DataFrame:
+    """Record ``keys(key[, group_id][, seq])`` as indexed now; a clock behind ``time_at_least`` is an error.
+
+    Of a repeated key the pair with the highest ``seq`` counts; without one, the largest group.
+    """
     if time_at_least is not None and isinstance(now, (int, float)) and now < time_at_least:
         raise ValueError("the clock is behind the given time")
     at = now if isinstance(now, Column) else F.lit(float(now))
     group = F.col("group_id") if "group_id" in keys.columns else F.lit(None).cast("string")
-    rows = keys.select(F.lit(namespace).alias("namespace"), "key", group.alias("group_id"), at.alias("updated_at")) \
-        .dropDuplicates(["key"])
+    last = F.max(F.struct(F.col(seq).alias("seq") if seq else F.lit(0).alias("seq"), group.alias("group_id")))
+    rows = keys.groupBy("key").agg(last["group_id"].alias("group_id")) \
+        .select(F.lit(namespace).alias("namespace"), "key", "group_id", at.alias("updated_at"))
     return upsert(ledger, rows, ["namespace", "key"], ["group_id", "updated_at"])
 
 

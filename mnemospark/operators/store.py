@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from mnemospark.functions.filters import value_equals
 from mnemospark.functions.paths import parents
 from mnemospark.operators.embedding import hashed_embedding
-from mnemospark.operators.hybrid import MAX_RERANK, rerank, term_overlap
+from mnemospark.operators.hybrid import rerank, term_overlap
 from mnemospark.operators.tables import delete_keys, last_per_key, narrowed, upsert
 from mnemospark.operators.vector_search import vector_topk
 from mnemospark.session import few
@@ -83,26 +83,25 @@ def _as_variant(items: DataFrame, col: str = "value") -> Column:
     return F.parse_json(F.col(col)) if isinstance(items.schema[col].dataType, T.StringType) else F.col(col)
 
 
+def _path_at(ns: str, start: Column, path: Sequence[str]) -> Column:
+    """The parts of ``ns`` from ``start`` on equal the path, part by part; ``*`` equals any."""
+    wanted = F.array(*[F.lit(None if p == "*" else p) for p in path]).cast("array<string>")
+    cut = F.slice(ns, F.greatest(start, F.lit(0)) + 1, len(path))
+    return (F.size(ns) >= len(path)) & F.forall(F.zip_with(cut, wanted, lambda have, want: want.isNull() | (have == want)), lambda same: same)
+
+
 def match_prefix(prefix: Sequence[str], ns: str = "namespace") -> Column:
     """Namespace starts with the path; ``*`` stands for any one part."""
-    out = F.size(ns) >= len(prefix)
-    for i, part in enumerate(prefix):
-        if part != "*":
-            out = out & (F.get(F.col(ns), F.lit(i)) == part)
-    return out
+    return _path_at(ns, F.lit(0), prefix)
 
 
 def match_suffix(suffix: Sequence[str], ns: str = "namespace") -> Column:
     """Namespace ends with the path; ``*`` stands for any one part."""
-    out = F.size(ns) >= len(suffix)
-    for i, part in enumerate(suffix):
-        if part != "*":
-            out = out & (F.get(F.col(ns), F.size(ns) - (len(suffix) - i)) == part)
-    return out
+    return _path_at(ns, F.size(ns) - len(suffix), suffix)
 
 
 def store_search(items: DataFrame, prefix: Sequence[str] = (), *,
-                 filter: Mapping[str, Any] | None = None, limit: int | None = 10, offset: int = 0,
+                 filter: Mapping[str, Any] | None = None, limit: int | None = None, offset: int = 0,
                  queries: DataFrame | None = None, metric: str = "cosine",
                  rerank_field: str | None = None, num_docs_to_rerank: int | None = None,
                  oversampling_factor: int = 10,
@@ -122,9 +121,7 @@ def store_search(items: DataFrame, prefix: Sequence[str] = (), *,
     if limit is None:
         raise ValueError("a vector search needs a limit")
     reach = limit + offset
-    if rerank_field is not None and reach > MAX_RERANK:
-        raise ValueError(f"limit must not exceed {MAX_RERANK} when reranking")
-    pool = num_docs_to_rerank or min(reach * oversampling_factor, MAX_RERANK)
+    pool = num_docs_to_rerank or reach * oversampling_factor
     named = kept.withColumn("id", F.to_json(F.struct(*KEY)))
     hits = vector_topk(queries, named, pool if rerank_field is not None else reach, metric=metric)
     if rerank_field is not None:
@@ -138,7 +135,7 @@ def store_search(items: DataFrame, prefix: Sequence[str] = (), *,
 
 def list_namespaces(items: DataFrame, *, prefix: Sequence[str] | None = None,
                     suffix: Sequence[str] | None = None, max_depth: int | None = None,
-                    limit: int | None = 100, offset: int = 0) -> DataFrame:
+                    limit: int | None = None, offset: int = 0) -> DataFrame:
     """Distinct namespaces that match, cut to ``max_depth``; deduplicated before the limit."""
     kept = items
     if prefix:

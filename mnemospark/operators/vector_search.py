@@ -50,7 +50,8 @@ def _scores(metric: str, q: np.ndarray, m: np.ndarray) -> np.ndarray:
     else:
         # Differences, not the expanded product: near-equal long vectors keep their digits.
         s = 1.0 / (1.0 + np.stack([np.linalg.norm(m - one, axis=1) for one in q]))
-    return np.round(s, SCORE_DIGITS)
+    # Null-like components (NaN, infinity) score 0 by every metric and cannot push out others.
+    return np.round(np.where(np.isfinite(s), s, 0.0), SCORE_DIGITS)
 
 
 class _TopK:

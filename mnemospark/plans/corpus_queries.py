@@ -101,26 +101,26 @@ _P = f"(SELECT page_id, {fr.URL_PATH} AS p FROM pages)"
 
 
 @query("c5_ls", f"""SELECT s || CASE WHEN d THEN '/' ELSE '' END AS path, d AS is_dir FROM (
-  SELECT string_split(p, '/')[1] AS s, bool_or(contains(p, '/')) AS d FROM {_P} GROUP BY 1 ORDER BY 1 LIMIT 1000)""")
+  SELECT string_split(p, '/')[1] AS s, bool_or(contains(p, '/')) AS d FROM {_P} GROUP BY 1)""")
 def _(t):
     return listing.ls(fr.url_paths(t))
 
 
 @query("c5_ls_folder", f"""SELECT 'src1/' || s || CASE WHEN d THEN '/' ELSE '' END AS path, d AS is_dir FROM (
   SELECT string_split(substr(p, 6), '/')[1] AS s, bool_or(contains(substr(p, 6), '/')) AS d
-  FROM (SELECT {fr.OBJECT_PATH} AS p FROM documents) WHERE starts_with(p, 'src1/') GROUP BY 1 ORDER BY 1 LIMIT 1000)""")
+  FROM (SELECT {fr.OBJECT_PATH} AS p FROM documents) WHERE starts_with(p, 'src1/') GROUP BY 1)""")
 def _(t):
     return listing.ls(fr.objects(t), "src1", path_col="path")
 
 
 @query("c6_glob", f"""SELECT DISTINCT p AS path FROM (SELECT {fr.OBJECT_PATH} AS p FROM documents)
-WHERE regexp_matches(p, '^src[12][^/]*/(en|fr)/[^/]*7\\.txt$') ORDER BY 1 LIMIT 200""")
+WHERE regexp_matches(p, '^src[12][^/]*/(en|fr)/[^/]*7\\.txt$')""")
 def _(t):
     return listing.glob(fr.objects(t), "src[12]*/{en,fr}/*7.txt", path_col="path")
 
 
 @query("c6_glob_below", f"""SELECT DISTINCT p AS path FROM (SELECT {fr.OBJECT_PATH} AS p FROM documents)
-WHERE regexp_matches(p, '^src3/([^/]+/)*[0-9]?[0-9][^/]\\.txt$') ORDER BY 1 LIMIT 200""")
+WHERE regexp_matches(p, '^src3/([^/]+/)*[0-9]?[0-9][^/]\\.txt$')""")
 def _(t):
     return listing.glob(fr.objects(t), "**/{?,??,???}.txt", "src3/", path_col="path").filter(
         ~F.element_at(F.split("path", "/"), -1).rlike(r"^.\.txt$"))
@@ -143,8 +143,7 @@ def chunk_table(t, vectors: bool):
 
 @query("c7_grep_literal", f"""WITH {_CHUNKS} SELECT source_path, line_start, content FROM (
   SELECT *, row_number() OVER (PARTITION BY source_path, line_start ORDER BY w) AS o FROM ck
-  WHERE contains(lower(content), 'and the') AND regexp_matches(source_path, '/[^/]*[0-4]\\.txt$')) WHERE o = 1
-ORDER BY source_path, line_start LIMIT 20""")
+  WHERE contains(lower(content), 'and the') AND regexp_matches(source_path, '/[^/]*[0-4]\\.txt$')) WHERE o = 1""")
 def _(t):
     return listing.grep_literal(chunk_table(t, False), "And The", glob_pattern="*[0-4].txt")
 
@@ -155,8 +154,9 @@ d AS (SELECT id, 'content' AS field, content AS text FROM ck), {fr.bm25('gq', 'd
 tl AS ({fr.ranked('(SELECT bm.* FROM bm JOIN ck USING (id) WHERE starts_with(source_path, ' + chr(39) + 'src1/' + chr(39) + '))')}),
 cv AS (SELECT id, source_path, {fr.hashed('content')} AS v FROM ck),
 vs AS (SELECT query_id, id, source_path, {fr.cos_score('vector', 'v')} AS score FROM gq, cv),
-v0 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS o FROM vs) WHERE o <= 40),
-vl AS ({fr.ranked('(SELECT * FROM v0 WHERE starts_with(source_path, ' + chr(39) + 'src1/' + chr(39) + '))')}),
+v0 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS o FROM vs
+       WHERE starts_with(source_path, 'src1/')) WHERE o <= 40),
+vl AS ({fr.ranked('v0')}),
 u AS (SELECT query_id, id, 0.5::DOUBLE / (rank + 60) AS s FROM tl UNION ALL SELECT query_id, id, 0.5::DOUBLE / (rank + 60) FROM vl),
 fu AS (SELECT query_id, id, round(sum(s), 6) AS score FROM u GROUP BY query_id, id),
 fr AS ({fr.ranked('fu')}),
@@ -166,7 +166,7 @@ SELECT * FROM (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER
 def _(t):
     from mnemospark.operators.embedding import hashed_embedding
     asked = fr.text_queries(t).withColumn("vector", hashed_embedding("text", 64))
-    return listing.grep_hybrid(asked, chunk_table(t, True), "src1/")
+    return listing.grep_hybrid(asked, chunk_table(t, True), "src1/", limit=20)
 
 
 # ---- object events ------------------------------------------------------------------------

@@ -11,7 +11,6 @@ from mnemospark.functions.text import occurrences, replace_first
 from mnemospark.operators.tables import narrowed
 
 MAX_NAMED = 10_000  # most files that are read by name
-MAX_BYTES = 64 * 1024 * 1024  # fixed value: largest object that is read
 
 # Extensions read as UTF-8 text, and those needing a caller's parser.
 TEXT_EXTENSIONS = (".txt", ".md", ".rst", ".csv")
@@ -47,9 +46,14 @@ def load_objects(spark: SparkSession, root: str, wanted: DataFrame) -> DataFrame
     return scan_objects(spark, root, stat_etag=True).join(wanted, "path", "left_semi")
 
 
-def within_size(objects: DataFrame, max_bytes: int = MAX_BYTES) -> tuple[DataFrame, DataFrame]:
+def too_large(max_bytes: int | None) -> Column:
+    """Whether an object exceeds the caller's cap; never without one."""
+    return F.lit(False) if max_bytes is None else F.col("length") > max_bytes
+
+
+def within_size(objects: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Objects that may be read, and those that are too large (to be counted as failed)."""
-    return objects.filter(F.col("length") <= max_bytes), objects.filter(F.col("length") > max_bytes)
+    return objects.filter(~too_large(max_bytes)), objects.filter(too_large(max_bytes))
 
 
 def utf8(content: Column | str) -> Column:
@@ -92,11 +96,11 @@ def bulk_replace_text(df: DataFrame, old: str, new: str, replace_all: bool = Fal
     return df.withColumn("replaced", count).withColumn(text_col, text)
 
 
-def read_objects(asked: DataFrame, objects: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:
+def read_objects(asked: DataFrame, objects: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """``(pos, path, content, error)`` in asked order; missing and too large paths carry an error."""
     joined = asked.join(narrowed(objects, asked, ["path"]).select("path", "length", "content"), "path", "left")
     error = (F.when(F.col("length").isNull(), "file_not_found")
-             .when(F.col("length") > max_bytes, "too_large"))
+             .when(too_large(max_bytes), "too_large"))
     return joined.select("pos", "path", F.when(error.isNull(), F.col("content")).alias("content"), error.alias("error"))
 
 

@@ -13,27 +13,27 @@ OUTPUT = "key string, value string, previous string"
 
 
 class LatestValue(StatefulProcessor):
-    """Latest value per key; a key not written for ``ttl_ms`` is forgotten. A null value deletes."""
+    """Latest value per key by ``seq``; a key not written for ``ttl_ms`` is forgotten.
+
+    A null value deletes; its ``seq`` stays, so that an older write that comes later changes nothing.
+    """
 
     def __init__(self, ttl_ms: int | None):
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.value = handle.getValueState("value", "value string", self.ttl_ms)
+        self.value = handle.getValueState("value", "seq bigint, value string", self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        before = self.value.get()[0] if self.value.exists() else None
+        at, before = self.value.get() if self.value.exists() else (None, None)
         last = None
         for batch in rows:
             newest = batch.loc[batch["seq"].idxmax()]
             if last is None or newest["seq"] > last["seq"]:
                 last = newest
-        if last is None:
+        if last is None or (at is not None and int(last["seq"]) <= at):
             return
-        if last["value"] is None:
-            self.value.clear()
-        else:
-            self.value.update((last["value"],))
+        self.value.update((int(last["seq"]), last["value"]))
         yield pd.DataFrame({"key": [key[0]], "value": [last["value"]], "previous": [before]})
 
     def close(self) -> None:

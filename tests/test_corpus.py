@@ -71,7 +71,7 @@ def test_grep_is_literal_and_deduplicated(chunks):
 
 def test_grep_without_vectors_uses_text(spark, chunks):
     asked = spark.createDataFrame([("q", "grade twice report")], "query_id string, text string")
-    got = listing.grep_hybrid(asked, chunks, "docs").orderBy("rank").collect()
+    got = listing.grep_hybrid(asked, chunks, "docs", limit=20).orderBy("rank").collect()
     assert {(r["source_path"], r["line_start"]) for r in got} == {("docs/report.pdf", 0), ("docs/report.pdf", 42)} and len(got) == 2
 
 
@@ -138,3 +138,15 @@ def test_events_apply_once(spark):
     assert rows(once, "source_path", "content") == [("docs/a", " beta"), ("docs/a", "alpha")]
     twice = events.apply_events(once, seq, objs, limit=1, overlap=0)
     assert rows(twice, "source_path", "content") == rows(once, "source_path", "content")
+
+
+def test_sync_tells_what_was_written_and_settles(spark):
+    objects = spark.createDataFrame([("a.txt", "e1", 5, b"hello"), ("b.pdf", "e2", 3, b"%PD"), ("c.txt", "e3", 0, b""), ("big.txt", "e4", 900, b"x" * 900)],
+                                    "path string, etag string, length long, content binary")
+    empty = spark.createDataFrame([], CHUNK_SCHEMA)
+    first = sync(objects, empty, max_bytes=500)
+    seen, skipped, failed, processed, written = first.report.first()
+    assert (seen, skipped, failed, processed, written) == (4, 0, 2, 1, 1)
+    assert rows(first.files, "path", "status") == [("a.txt", "done"), ("b.pdf", "failed"), ("big.txt", "failed"), ("c.txt", "empty")]
+    again = sync(objects, first.chunks, max_bytes=500, files=first.files)
+    assert tuple(again.report.first()) == (4, 4, 0, 0, 0) and again.chunks.count() == 1

@@ -195,3 +195,19 @@ def test_objects_read_by_name(spark, tmp_path, monkeypatch):
     assert [p for p, _ in named] == ["a[1].txt", "b{x}.txt", "c d.txt"]
     monkeypatch.setattr(objects, "MAX_NAMED", 1)
     assert rows(objects.load_objects(spark, str(tmp_path), wanted), "path", "etag") == named
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Tokyo"])
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_instants_mean_the_same_in_every_zone(spark, zone, kind):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        at = F.timestamp_seconds(F.lit(1_700_000_000)) if kind == "timestamp" else F.lit("2023-11-14 22:13:20").cast("timestamp_ntz")
+        df = spark.range(1).select(at.alias("ts"))
+        count = lambda spec: df.filter(filters.filter_to_column({"ts": spec})).count()
+        mark = lambda text: {"type": "datetime", "datetime": text}
+        assert count({"$gte": mark("2023-11-14T22:13:20Z")}) == 1 and count({"$gt": mark("2023-11-14T22:13:20Z")}) == 0
+        assert count({"$lt": mark("2023-11-15T07:13:21+09:00")}) == 1 and count({"$in": [mark("2023-11-14T22:13:20Z")]}) == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

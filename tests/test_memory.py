@@ -1,6 +1,7 @@
 """Keyed tables: upsert, store, checkpoints, history, caches, document store, ledger."""
 
 import datetime as dt
+import json
 
 import pytest
 from conftest import rows
@@ -43,7 +44,15 @@ def test_delete_rules(spark):
 
 # ---- store ----------------------------------------------------------------------------------
 
-NAMESPACES = [("a", "b", "c"), ("a", "b", "d", "e"), ("a", "b", "d", "i"), ("a", "b", "f"), ("a", "c", "f"), ("b", "a", "f"), ("users", "123"), ("users", "456", "settings"), ("admin", "users", "789")]
+NAMESPACES = [("lab", room, tool) for room in ("north", "south") for tool in ("scope", "oven", "press")] + [("lab", "south", "oven", "spare"), ("yard", "scope"), ("yard",)]
+
+
+def model(prefix=(), suffix=(), max_depth=None, limit=None, offset=0):
+    """Namespaces that the arguments select, in plain Python."""
+    fits = lambda part, want: len(part) == len(want) and all(w in ("*", p) for p, w in zip(part, want))
+    hit = [ns for ns in NAMESPACES if fits(ns[:len(prefix)], prefix) and fits(ns[len(ns) - len(suffix):] if len(ns) >= len(suffix) else (), suffix)]
+    cut = sorted({ns[:max_depth] if max_depth else ns for ns in hit})[offset:]
+    return cut if limit is None else cut[:limit]
 
 
 def item_rows(spark, data):
@@ -51,13 +60,13 @@ def item_rows(spark, data):
     return store.with_namespace_keys(df).drop("namespace_prefix")
 
 
-@pytest.mark.parametrize("kwargs, count", [
-    (dict(prefix=("a", "b")), 4), (dict(suffix=("f",)), 3), (dict(prefix=("a",), suffix=("f",)), 2), (dict(prefix=("a", "b"), max_depth=3), 3),
-    (dict(prefix=("a", "*", "f")), 2), (dict(suffix=("*", "f")), 3), (dict(prefix=("nonexistent",)), 0), (dict(), 9), (dict(limit=4), 4), (dict(offset=7), 2),
-    (dict(prefix=("users", "*", "*")), 1), (dict(suffix=("users", "*")), 2)])
-def test_list_namespaces(spark, kwargs, count):
-    items = item_rows(spark, [(ns, f"k{i}", "{}") for i, ns in enumerate(NAMESPACES)] + [(("a", "b", "c"), "again", "{}")])
-    assert store.list_namespaces(items, **kwargs).count() == count
+@pytest.mark.parametrize("kwargs", [
+    dict(), dict(prefix=("lab",)), dict(prefix=("lab", "*", "oven")), dict(suffix=("scope",)), dict(suffix=("*", "oven")), dict(prefix=("yard",), suffix=("scope",)),
+    dict(prefix=("lab", "south"), max_depth=2), dict(prefix=("cellar",)), dict(limit=3), dict(offset=7), dict(limit=2, offset=1), dict(suffix=("lab", "north", "oven", "spare", "x"))])
+def test_list_namespaces(spark, kwargs):
+    items = item_rows(spark, [(ns, f"k{i}", "{}") for i, ns in enumerate(NAMESPACES + NAMESPACES[:2])])
+    got = [tuple(r["namespace"]) for r in store.list_namespaces(items, **kwargs).collect()]
+    assert got == model(**kwargs)
 
 
 def ops(spark, *steps):
@@ -106,18 +115,16 @@ def test_store_search_filters(spark):
 
 
 def test_store_semantic_search(spark):
-    data = [(("a",), "id_foo", '{"product":"oranges","metadata":{"available":true,"grade":"A"}}'), (("a", "b"), "id_bar", '{"product":"apples","metadata":{"available":false}}'),
-            (("a", "b", "c"), "id_baz", '{"product":"pears","metadata":{"available":false}}')]
-    items = store.index_text(item_rows(spark, data), "product", 16)
-    asked = spark.createDataFrame([("q", "pears")], "query_id string, text string").withColumn("vector", hashed_embedding("text", 16))
-    found = store.store_search(items, ("a",), queries=asked).orderBy("rank").collect()
-    assert found[0]["key"] == "id_baz" and len(found) == 3
-    assert store.store_search(items, ("a", "b"), queries=asked).count() == 2
-    assert rows(store.store_search(items, ("a",), queries=asked, filter={"metadata.available": True}), "key") == ["id_foo"]
-    ranked = store.store_search(items, ("a",), queries=asked, limit=2, rerank_field="product").orderBy("rank").collect()
-    assert [r["key"] for r in ranked][0] == "id_baz" and ranked[0]["score"] == 1.0 and len(ranked) == 2
-    with pytest.raises(ValueError):
-        store.store_search(items, ("a",), queries=asked, limit=1001, rerank_field="product")
+    tools = [(("shed",), "t1", "steel hammer", 12), (("shed", "wall"), "t2", "copper kettle", 3), (("shed", "wall", "left"), "t3", "wooden ladder", 3), (("barn",), "t4", "wooden ladder", 1)]
+    items = store.index_text(item_rows(spark, [(ns, k, json.dumps({"name": name, "stock": {"count": n}})) for ns, k, name, n in tools]), "name", 16)
+    asked = spark.createDataFrame([("q", "wooden ladder")], "query_id string, text string").withColumn("vector", hashed_embedding("text", 16))
+    found = store.store_search(items, ("shed",), queries=asked, limit=9).orderBy("rank").collect()
+    assert [r["key"] for r in found][0] == "t3" and {r["key"] for r in found} == {"t1", "t2", "t3"}
+    assert rows(store.store_search(items, ("shed", "wall"), queries=asked, limit=9), "key") == ["t2", "t3"]
+    assert rows(store.store_search(items, ("shed",), queries=asked, filter={"stock.count": 12}, limit=9), "key") == ["t1"]
+    ranked = store.store_search(items, ("shed",), queries=asked, limit=2, rerank_field="name").orderBy("rank").collect()
+    assert ranked[0]["key"] == "t3" and ranked[0]["score"] == 1.0 and len(ranked) == 2
+    assert store.store_search(items, ("shed",), queries=asked, limit=5000, rerank_field="name").count() == 3
 
 
 def test_opting_out_of_the_index_keeps_rows_aligned(spark):
@@ -152,26 +159,35 @@ def test_expiry(spark):
 CK = ("thread_id string, checkpoint_ns string, checkpoint_id string, parent_checkpoint_id string, type string, checkpoint binary, metadata map<string,string>, created_at timestamp")
 
 
+RUNS = [("alpha", "", "c05", None, dict(phase="plan", depth=0)), ("alpha", "", "c06", "c05", dict(phase="act", depth=1)), ("alpha", "sub", "c07", None, {}),
+        ("beta", "", "c01", None, dict(phase="plan", depth=0)), ("beta", "", "c09", "c01", dict(phase="plan", depth=4))]
+
+
 def saved(spark):
-    typed = lambda **kv: {k: '{"type":"json","value":%s}' % v for k, v in kv.items()}
-    return spark.createDataFrame([
-        ("thread-1", "", "1", None, "json", b"{}", typed(source='"\\"input\\""', step='"2"'), T0),
-        ("thread-2", "", "2", "1", "json", b"{}", typed(source='"\\"loop\\""', step='"1"', writes='"{\\"foo\\":\\"bar\\"}"'), T0),
-        ("thread-2", "inner", "3", None, "json", b"{}", {}, T0)], CK)
+    typed = lambda kv: {k: json.dumps({"type": "json", "value": json.dumps(v)}) for k, v in kv.items()}
+    return spark.createDataFrame([(t, ns, c, parent, "json", b"{}", typed(m), T0) for t, ns, c, parent, m in RUNS], CK)
 
 
 def test_list_checkpoints(spark):
     ck = saved(spark)
     find = lambda **k: rows(checkpoints.list_checkpoints(ck, **k), "checkpoint_id")
-    assert find(metadata={"source": '"input"'}) == ["1"]
-    assert find(metadata={"step": "1", "writes": '{"foo":"bar"}'}) == ["2"]
-    assert find() == ["1", "2", "3"] and find(metadata={"source": '"update"', "step": "1"}) == []
-    assert find(thread_id="thread-2") == ["2", "3"] and find(thread_id="thread-2", checkpoint_ns="") == ["2"]
-    assert find(before="3") == ["1", "2"] and find(limit=1) == ["3"]
+    where = lambda test: sorted(r[2] for r in RUNS if test(r))
+    assert find() == where(lambda r: True) and find(thread_id="alpha") == where(lambda r: r[0] == "alpha")
+    assert find(thread_id="alpha", checkpoint_ns="sub") == ["c07"] and find(before="c06") == where(lambda r: r[2] < "c06") and find(limit=2) == ["c07", "c09"]
+    assert find(metadata={"phase": '"plan"'}) == where(lambda r: r[4].get("phase") == "plan")
+    assert find(metadata={"phase": '"plan"', "depth": "4"}) == ["c09"] and find(metadata={"phase": '"rest"'}) == []
     with pytest.raises(ValueError):
         find(metadata={"$where": "1"})
 
 
+def test_lineage_follows_any_id_and_ends_in_cycles(spark):
+    chain = [("t", "", str(i), str(i - 1) if i > 1 else None) for i in range(1, 13)] + [("loop", "", "a", "c"), ("loop", "", "b", "a"), ("loop", "", "c", "b")]
+    ck = spark.createDataFrame(chain, "thread_id string, checkpoint_ns string, checkpoint_id string, parent_checkpoint_id string")
+    starts = spark.createDataFrame([("t", "", "12"), ("loop", "", "b")], "thread_id string, checkpoint_ns string, checkpoint_id string")
+    got = rows(checkpoints.lineage(ck, starts), "thread_id", "checkpoint_id", "distance")
+    assert got == sorted([("t", str(i), 12 - i) for i in range(1, 13)] + [("loop", "b", 0), ("loop", "a", 1), ("loop", "c", 2)], key=str)
+
+
 def writes(spark, *data):
     return spark.createDataFrame([(t, "", c, task, i, "", ch, "json", v, T0) for t, c, task, i, ch, v in data],
                                  "thread_id string, checkpoint_ns string, checkpoint_id string, task_id string, idx int, task_path string, channel string, type string, value string, created_at timestamp")
@@ -192,22 +208,22 @@ def test_put_writes(spark):
 
 
 def test_get_checkpoint_and_delete(spark):
-    ck, wr = saved(spark), writes(spark, ("thread-1", "1", "a", 0, "c", "v1"), ("thread-2", "2", "a", 0, "c", "v2"), ("thread-2", "2", "a", 1, "c", "v3"))
-    asked = spark.createDataFrame([("thread-2", "", None), ("thread-1", "", "1"), ("thread-1", "", "404")], "thread_id string, checkpoint_ns string, checkpoint_id string")
-    assert rows(checkpoints.get_checkpoint(ck, asked, wr), "thread_id", "write_value") == [("thread-1", "v1"), ("thread-2", "v2"), ("thread-2", "v3")]
-    gone = spark.createDataFrame([("thread-1",)], "thread_id string")
-    assert rows(checkpoints.delete_threads(ck, gone), "checkpoint_id") == ["2", "3"] and rows(checkpoints.delete_threads(wr, gone), "value") == ["v2", "v3"]
+    ck, wr = saved(spark), writes(spark, ("alpha", "c05", "job", 0, "log", "one"), ("beta", "c09", "job", 0, "log", "two"), ("beta", "c09", "job", 1, "log", "three"))
+    asked = spark.createDataFrame([("beta", "", None), ("alpha", "", "c05"), ("alpha", "", "c99")], "thread_id string, checkpoint_ns string, checkpoint_id string")
+    assert rows(checkpoints.get_checkpoint(ck, asked, wr), "checkpoint_id", "write_value") == [("c05", "one"), ("c09", "three"), ("c09", "two")]
+    gone = spark.createDataFrame([("alpha",)], "thread_id string")
+    assert rows(checkpoints.delete_threads(ck, gone), "checkpoint_id") == ["c01", "c09"] and rows(checkpoints.delete_threads(wr, gone), "value") == ["three", "two"]
 
 
 def test_put_checkpoint_replaces(spark):
-    new = saved(spark).filter("checkpoint_id = '2'").withColumn("type", F.lit("msgpack"))
-    assert rows(checkpoints.put_checkpoint(saved(spark), new), "checkpoint_id", "type") == [("1", "json"), ("2", "msgpack"), ("3", "json")]
+    new = saved(spark).filter("checkpoint_id = 'c06'").withColumn("type", F.lit("msgpack"))
+    assert rows(checkpoints.put_checkpoint(saved(spark), new), "checkpoint_id", "type") == sorted((r[2], "msgpack" if r[2] == "c06" else "json") for r in RUNS)
 
 
 def test_time_travel_and_fork(spark):
-    origin = checkpoints.time_travel(saved(spark), {"step": "1"})
-    forked = checkpoints.fork(origin, F.lit("9"))
-    assert rows(forked, "thread_id", "checkpoint_id", "parent_checkpoint_id") == [("thread-2", "9", "2")]
+    origin = checkpoints.time_travel(saved(spark), {"phase": '"plan"'})  # the newest of each thread
+    forked = checkpoints.fork(origin, F.concat(F.lit("fork-"), F.col("thread_id")))
+    assert rows(forked, "thread_id", "checkpoint_id", "parent_checkpoint_id") == [("alpha", "fork-alpha", "c05"), ("beta", "fork-beta", "c09")]
 
 
 def test_lineage_of_a_long_chain(spark):
@@ -221,8 +237,8 @@ def test_lineage_of_a_long_chain(spark):
 
 def test_migration_skips_done_rows(spark):
     legacy = saved(spark).withColumn("metadata", F.create_map(F.lit("step"), F.lit("1")))
-    added, report = checkpoints.migrate_metadata(legacy, saved(spark).filter("checkpoint_id = '1'"))
-    assert rows(report) == [(3, 2)] and rows(added.select(F.col("metadata")["step"].alias("s"))) == ['{"type":"json","value":"1"}'] * 2
+    added, report = checkpoints.migrate_metadata(legacy, saved(spark).filter("checkpoint_id = 'c05'"))
+    assert rows(report) == [(5, 4)] and rows(added.select(F.col("metadata")["step"].alias("s"))) == ['{"type":"json","value":"1"}'] * 4
     assert checkpoints.migrate_metadata(legacy, legacy.limit(0), dry_run=True)[0].count() == 0
 
 
@@ -255,26 +271,36 @@ def test_semantic_cache(spark, threshold, hits):
 
 
 def test_docstore(spark):
-    docs = spark.createDataFrame([(str(i), f"page {i}", "m") for i in range(30)], "key string, page_content string, metadata string")
-    assert memory.yield_keys(docs, "2").count() == 11 and memory.yield_keys(docs, "2.").count() == 0 and memory.yield_keys(docs).count() == 30
-    left = memory.mdelete(docs, memory.yield_keys(docs, "2"))
-    asked = spark.createDataFrame([(0, "8"), (1, "16"), (2, "24"), (3, "9")], "pos int, key string")
-    assert rows(memory.mget(left, asked), "pos", "found") == [(0, True), (1, True), (2, False), (3, True)]
-    again = memory.mset(docs, spark.createDataFrame([("1", "other", "n"), ("new", "p", "n")], docs.schema))
-    assert again.count() == 31 and rows(again.filter("key = '1'"), "page_content") == ["page 1"]
+    names = [f"{shelf}/{n}" for shelf in ("maps", "mappings", "charts") for n in range(7)]
+    docs = spark.createDataFrame([(k, f"about {k}", "m") for k in names], "key string, page_content string, metadata string")
+    for prefix in ("maps", "map", "charts/3", "none", None):
+        assert rows(memory.yield_keys(docs, prefix)) == sorted(k for k in names if k.startswith(prefix or ""))
+    left = memory.mdelete(docs, memory.yield_keys(docs, "maps/"))
+    asked = spark.createDataFrame(list(enumerate(["charts/0", "maps/2", "charts/0", "nowhere"])), "pos int, key string")
+    assert rows(memory.mget(left, asked), "pos", "found") == [(0, True), (1, False), (2, True), (3, False)]
+    again = memory.mset(docs, spark.createDataFrame([("maps/1", "other", "n"), ("fresh", "p", "n")], docs.schema))
+    assert again.count() == len(names) + 1 and rows(again.filter("key = 'maps/1'"), "page_content") == ["about maps/1"]
 
 
 def test_ledger(spark):
-    stamp = lambda y, m=1: dt.datetime(y, m, 1, tzinfo=dt.timezone.utc).timestamp()
-    ledger = spark.createDataFrame([("ns", f"key{i}", "group1" if i == 4 else None, stamp(2020 + i)) for i in range(1, 5)] + [("other", "key9", "group1", stamp(2024))],
-                                   "namespace string, key string, group_id string, updated_at double")
-    keys = lambda **k: rows(memory.ledger_list_keys(ledger, "ns", **k))
-    assert keys() == ["key1", "key2", "key3", "key4"] and keys(after=stamp(2022, 2)) == ["key3", "key4"] and keys(before=stamp(2022, 2)) == ["key1", "key2"]
-    assert keys(after=stamp(2021, 2), before=stamp(2023, 2)) == ["key2", "key3"] and keys(group_ids=["group1", "group2"]) == ["key4"] and keys(limit=2) == ["key1", "key2"]
-    asked = spark.createDataFrame([(0, "key1"), (1, "key9")], "pos int, key string")
-    assert rows(memory.ledger_exists(ledger, "ns", asked), "pos", "found") == [(0, True), (1, False)]
-    newer = memory.ledger_update(ledger, "ns", spark.createDataFrame([("key1",), ("key7",)], "key string"), stamp(2030))
-    assert rows(memory.ledger_list_keys(newer, "ns", after=stamp(2029))) == ["key1", "key7"] and newer.count() == 6
-    assert rows(memory.ledger_delete(ledger, "ns", spark.createDataFrame([("key1",), ("key9",)], "key string")), "key") == ["key2", "key3", "key4", "key9"]
+    noted = [("inbox", f"mail-{c}", g, 100.0 * n) for n, (c, g) in enumerate(zip("abcdef", ["x", None, "y", "x", None, "z"]))] + [("outbox", "mail-z", "x", 50.0)]
+    ledger = spark.createDataFrame(noted, "namespace string, key string, group_id string, updated_at double")
+    keys = lambda **k: rows(memory.ledger_list_keys(ledger, "inbox", **k))
+    inbox = lambda test: sorted(r[1] for r in noted if r[0] == "inbox" and test(r))
+    assert keys() == inbox(lambda r: True) and keys(after=200.0) == inbox(lambda r: r[3] > 200) and keys(before=200.0) == inbox(lambda r: r[3] < 200)
+    assert keys(after=50.0, before=450.0, group_ids=["x", "y"]) == inbox(lambda r: 50 < r[3] < 450 and r[2] in ("x", "y")) and len(keys(limit=4)) == 4
+    asked = spark.createDataFrame([(0, "mail-c"), (1, "mail-z")], "pos int, key string")
+    assert rows(memory.ledger_exists(ledger, "inbox", asked), "pos", "found") == [(0, True), (1, False)]
+    put = spark.createDataFrame([("mail-a", "late", 7), ("mail-a", "early", 2), ("mail-q", None, 1)], "key string, group_id string, at int")
+    newer = memory.ledger_update(ledger, "inbox", put, 900.0, seq="at")
+    assert rows(newer.filter("updated_at = 900"), "key", "group_id") == [("mail-a", "late"), ("mail-q", None)] and newer.count() == len(noted) + 1
+    gone = spark.createDataFrame([("mail-b",), ("mail-z",)], "key string")
+    assert rows(memory.ledger_delete(ledger, "inbox", gone), "key") == sorted({r[1] for r in noted} - {"mail-b"})
     with pytest.raises(ValueError):
-        memory.ledger_update(ledger, "ns", asked, 5.0, time_at_least=6.0)
+        memory.ledger_update(ledger, "inbox", asked, 5.0, time_at_least=6.0)
+
+
+def test_history_comes_in_order(spark):
+    said = spark.createDataFrame([(s, n, f"{s}{n}") for n in (3, 1, 2) for s in ("b", "a")], "session_id string, seq int, message string")
+    assert [r["message"] for r in memory.messages(said).collect()] == ["a1", "a2", "a3", "b1", "b2", "b3"]
+    assert [r["message"] for r in memory.messages(said, 2).collect()] == ["a2", "a3", "b2", "b3"]

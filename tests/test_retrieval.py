@@ -10,12 +10,13 @@ from mnemospark.operators import hybrid, mmr, parents, text_search, vector_searc
 from mnemospark.operators.embedding import (QuotaExhausted, RateLimited, add_texts, embed, with_retry)
 from mnemospark.operators.ranking import number_all, top_k
 
-SENTENCES = ["In 2023, I visited Paris", "In 2022, I visited New York", "In 2021, I visited New Orleans", "Sandwiches are beautiful. Sandwiches are fine."]
+#: Notes of a harbour; the last shares no word with the others.
+NOTES = ["The red boat came with salt", "The blue boat came with timber", "A boat with copper wire waits at the far northern pier", "Gulls sleep. Gulls wake."]
 
 
 @pytest.fixture(scope="module")
 def sentences(spark):
-    df = spark.createDataFrame([(str(i), s) for i, s in enumerate(SENTENCES)], "id string, text string")
+    df = spark.createDataFrame([(str(i), s) for i, s in enumerate(NOTES)], "id string, text string")
     return embed(df, "text", dims=32).cache()
 
 
@@ -77,13 +78,22 @@ def test_hot_key_in_within(spark, random_vectors):
 
 
 def test_filter_applies_before_topk(spark):
-    """Metadata filters of the four-row fixture: c <= 0 finds nothing, c > 0 one row."""
-    corpus = spark.createDataFrame(
-        [("1", [1.0, 0.0], 1, None), ("2", [1.0, 0.1], None, None), ("3", [0.0, 1.0], None, 1), ("4", [0.5, 0.5], None, None)],
-        "id string, embedding array<double>, a int, c int")
+    """The nearest rows fail the filter; those that pass are still found."""
+    corpus = spark.createDataFrame([(f"r{i}", [1.0, i / 10], None if i % 3 else i) for i in range(12)], "id string, embedding array<double>, weight int")
     queries = spark.createDataFrame([("q", [1.0, 0.0])], "query_id string, vector array<double>")
-    assert vector_search.vector_topk(queries, corpus, 3, pre_filter={"c": {"$lte": 0}}).count() == 0
-    assert rows(vector_search.vector_topk(queries, corpus, 3, pre_filter={"c": {"$gt": 0}}), "id") == ["3"]
+    assert vector_search.vector_topk(queries, corpus, 2, pre_filter={"weight": {"$lt": 0}}).count() == 0
+    assert rows(vector_search.vector_topk(queries, corpus, 2, pre_filter={"weight": {"$gt": 3}}), "id") == ["r6", "r9"]
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dotProduct", "euclidean"])
+def test_nan_and_infinity_push_out_nobody(spark, metric):
+    good = [[1.0, 0.0], [0.8, 0.6], [0.0, 1.0]]
+    odd = [[float("nan"), 1.0], [float("inf"), 0.0], [float("nan"), float("nan")]]
+    corpus = spark.createDataFrame([(i, v) for i, v in enumerate(good + odd)], "id bigint, embedding array<double>").coalesce(1)
+    queries = spark.createDataFrame([("q", [1.0, 0.0])], "query_id string, vector array<double>")
+    for k in (1, 2):
+        got = vector_search.vector_topk(queries, corpus, k, metric=metric).orderBy("rank").collect()
+        assert [r["id"] for r in got] == [0, 1][:k]
 
 
 def test_width_mismatch(spark):
@@ -127,18 +137,17 @@ def test_ann_reads_probed_cells_only(spark, random_vectors, tmp_path):
 
 
 def test_mmr_repeats_text_last(spark):
-    """foo, foo, fou, foy: the first pick is foo, the second is not."""
-    texts = ["foo", "foo", "fou", "foy"]
-    distinct = sorted(set(texts), key=texts.index)
-    vec = {t: [1.0] * 4 + [float(distinct.index(t))] for t in distinct}
+    """Three equal rows: after the first, rows that differ come before its repetitions."""
+    texts, angle = ["ash", "ash", "oak", "ash", "elm"], {"ash": 0.0, "oak": 0.4, "elm": 0.9}
+    vec = {t: [float(np.cos(a)), float(np.sin(a))] for t, a in angle.items()}
     corpus = spark.createDataFrame([(i, t, vec[t]) for i, t in enumerate(texts)], "id bigint, text string, embedding array<double>")
-    queries = spark.createDataFrame([("q", vec["foo"])], "query_id string, vector array<double>")
-    got = mmr.mmr(queries, corpus, 10, lambda_mult=0.1).join(corpus, "id").orderBy("rank").collect()
-    assert len(got) == 4 and got[0]["text"] == "foo" and got[1]["text"] != "foo"
+    queries = spark.createDataFrame([("q", vec["ash"])], "query_id string, vector array<double>")
+    got = [r["text"] for r in mmr.mmr(queries, corpus, 9, lambda_mult=0.15).join(corpus, "id").orderBy("rank").collect()]
+    assert len(got) == 5 and got[0] == "ash" and got[1] != "ash"
 
 
 def test_text_search_ranks_match_first(spark, sentences):
-    got = text_search.bm25_topk(asked(spark, "When was the last time I visited new orleans?"), sentences, 4).orderBy("rank").collect()
+    got = text_search.bm25_topk(asked(spark, "which boat has copper wire?"), sentences, 4).orderBy("rank").collect()
     assert got[0]["id"] == "2"
     assert "3" not in [r["id"] for r in got]
 
@@ -147,33 +156,33 @@ def test_text_index_round_trip(spark, sentences, tmp_path):
     index = text_search.build_text_index(sentences, ["text"], keyword_fields=["id"])
     index.save(str(tmp_path / "ix"), buckets=2)
     loaded = text_search.TextIndex.load(spark, str(tmp_path / "ix"))
-    q = asked(spark, "visited new york")
+    q = asked(spark, "blue boat timber")
     direct = text_search.bm25_topk(q, sentences, None)
     stored = text_search.bm25_topk(q, loaded, None, fields=["text"])
     assert rows(direct) == rows(stored)
 
 
 def test_text_filter_comes_before_limit(spark, sentences):
-    keep = text_search.matching_ids(sentences, F.col("text").contains("York"))
-    assert rows(text_search.bm25_topk(asked(spark, "visited"), sentences, 1, keep_ids=keep), "id") == ["1"]
+    keep = text_search.matching_ids(sentences, F.col("text").contains("blue"))
+    assert rows(text_search.bm25_topk(asked(spark, "boat"), sentences, 1, keep_ids=keep), "id") == ["1"]
 
 
 def test_shuffled_terms_equal_broadcast_terms(spark, sentences, monkeypatch):
-    q = asked(spark, "visited new york sandwiches")
+    q = asked(spark, "blue boat gulls")
     few = rows(text_search.bm25_topk(q, sentences, 4))
     monkeypatch.setattr(text_search, "TERM_BOUND", 1)
     assert rows(text_search.bm25_topk(q, sentences, 4)) == few
 
 
-def test_weighted_fusion(spark, sentences):
-    q = asked(spark, "Sandwiches")
-    text_only = hybrid.hybrid_topk(q, sentences, 3, vector_weight=0.0)
-    assert text_only.count() == 3
-    assert text_only.filter("fulltext_score > 0").count() == 1 and text_only.filter("vector_score <> 0").count() == 0
-    balanced = hybrid.hybrid_topk(q, sentences, 3).agg(F.sum("score")).first()[0]
-    vector_only = hybrid.hybrid_topk(q, sentences, 3, fulltext_weight=0.0).agg(F.sum("score")).first()[0]
-    extra = text_only.agg(F.max("fulltext_score")).first()[0]
-    assert balanced == pytest.approx(vector_only + extra, abs=1e-3)
+@pytest.mark.parametrize("weights", [(1.0, 0.0), (0.0, 1.0), (0.3, 0.7)])
+def test_weighted_fusion(spark, sentences, weights):
+    """Each fused score is the weighted sum of the two legs' own reciprocal ranks."""
+    q = asked(spark, "gulls boat")
+    text, vector = weights
+    legs = [{r["id"]: 1 / (r["rank"] + 60) for r in leg.collect()} for leg in
+            (text_search.bm25_topk(q, sentences, 4), vector_search.vector_topk(q, sentences, 4))]
+    got = {r["id"]: r["score"] for r in hybrid.hybrid_topk(q, sentences, 4, fulltext_weight=text, vector_weight=vector).collect()}
+    assert got == {i: pytest.approx(text * legs[0].get(i, 0) + vector * legs[1].get(i, 0), abs=1e-6) for i in got} and len(got) == 4
 
 
 def test_reciprocal_rank_formula(spark):
@@ -183,14 +192,14 @@ def test_reciprocal_rank_formula(spark):
 
 
 def test_rerank_trims_and_overwrites(spark, sentences):
-    q = asked(spark, "visited New Orleans")
+    q = asked(spark, "copper boat wire")
     hits = text_search.bm25_topk(q, sentences, 3)
     got = hybrid.rerank(hits, q, sentences, num_docs=3, k=1).collect()
     assert [(r["id"], r["score"], r["rerank_score"]) for r in got] == [("2", 1.0, 1.0)]
     with pytest.raises(ValueError):
         hybrid.rerank(hits, q.drop("text"), sentences)
     with pytest.raises(ValueError):
-        hybrid.rerank(hits, q, sentences, num_docs=1001)
+        hybrid.rerank(hits, q, sentences, num_docs=0)
 
 
 def test_rerank_with_pandas_model(spark, sentences):
@@ -200,7 +209,7 @@ def test_rerank_with_pandas_model(spark, sentences):
     def length(query: pd.Series, text: pd.Series) -> pd.Series:
         return text.str.len().astype(float)
 
-    q = asked(spark, "visited")
+    q = asked(spark, "boat")
     hits = text_search.bm25_topk(q, sentences, 3)
     assert hybrid.rerank(hits, q, sentences, length, k=1).first()["id"] == "2"
 
