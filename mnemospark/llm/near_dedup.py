@@ -10,10 +10,11 @@ hash. Equal places are then an unbiased estimate of the weighted similarity. Poi
 time only up to a horizon after which no place can change; it is doubled while a place is empty.
 
 Steps: equal texts fall together by hash, one stays for them. Signatures are cut into ``BANDS`` bands;
-texts that share a band form a bucket, whose smallest id is compared exactly with every other member.
-A bucket whose members all match it is settled. The rest, whatever their number, go through a
-prefix join: two near texts share one of the rarest shingles of each, enough of which are taken
-that none can be lost. Pairs within a bucket are never spelled out. Links become classes.
+texts that share a band form a bucket, whose head is compared exactly with every other member. By the
+triangle inequality these similarities tell which members may have links that the head does not show.
+Those, whatever their number, go through a prefix join: two near texts share one of the rarest
+shingles of each, enough of which are taken that none can be lost. Pairs within a bucket are never spelled
+out. Links become classes.
 
 Null, empty and blank texts have no shingles and stay alone; texts of fewer words than a shingle are
 near only to equal word sequences. Rows with a null id are left out. Repeated ids count once.
@@ -163,20 +164,22 @@ def near_classes(docs: DataFrame, text_col: str = "text", key: str = "doc_id", s
     firsts = rows.where("text is not null").join(copies.select("id").distinct(), "id", "left_anti")
     banded = stage(firsts.mapInArrow(_bands, "id long, size long, bands array<long>").where("size > 0"), "near-bands")
     long = banded.select("id", "size", F.explode("bands").alias("band"))
-    # The smallest id of each bucket of two or more, then its pair with every other member.
-    heads = long.groupBy("band").agg(F.min(F.struct("id", "size")).alias("head"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    members = stage(long.join(heads.select("band", F.col("head.id").alias("a"), F.col("head.size").alias("size_a")), "band")
+    # Of each bucket of two or more, the text whose bands most others share is its head: near copies lie around it.
+    crowded = long.groupBy("band").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    shared = stage(long.join(crowded, "band"), "near-shared")
+    popular = shared.groupBy("id").agg(F.sum("members").alias("pop"))
+    heads = shared.join(popular, "id").groupBy("band").agg(F.max(F.struct("pop", (-F.col("id")).alias("least"), "id", "size")).alias("head"))
+    members = stage(shared.join(heads.select("band", F.col("head.id").alias("a"), F.col("head.size").alias("size_a")), "band")
                     .where("id <> a").select("band", "a", F.col("id").alias("b"), "size_a", F.col("size").alias("size_b")), "near-members")
+    ratio = F.least("size_a", "size_b") / F.greatest("size_a", "size_b")  # no similarity is larger
     pairs = members.groupBy("a", "b").agg(F.first("size_a").alias("size_a"), F.first("size_b").alias("size_b"))
-    possible = stage(pairs.where(F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b")), "near-pairs")
+    possible = stage(pairs.where(ratio >= similarity), "near-pairs")
     wanted = members.select(F.col("a").alias("id")).union(members.select(F.col("b").alias("id"))).distinct()
     kept = stage(firsts.join(wanted, "id").mapInArrow(_bags, "id long, bag array<long>"), "near-bags")
-    checked = stage(_verified(possible, kept).where(F.col("similarity") >= similarity), "near-checked")
-    # Buckets with a member that misses the head: all their texts meet once more by their rarest shingles.
-    missed = members.join(checked.select("a", "b"), ["a", "b"], "left_anti").select("band").distinct()
-    open_members = members.join(missed, "band")
-    rest = stage(open_members.select(F.col("a").alias("id"), F.col("size_a").alias("size")).union(open_members.select("b", "size_b")).distinct(), "near-rest")
+    compared = stage(_verified(possible, kept), "near-compared")
+    checked = compared.where(F.col("similarity") >= similarity)
     links = checked.select("a", "b")
+    rest = stage(_unsettled(members.join(compared, ["a", "b"], "left").select("band", "b", "size_b", F.coalesce("similarity", ratio).alias("s")), similarity), "near-rest")
     if not rest.isEmpty():
         links = links.union(_prefix_links(rest, kept, checked, similarity))
     classes = components(links)
@@ -187,20 +190,42 @@ def near_classes(docs: DataFrame, text_col: str = "text", key: str = "doc_id", s
     return named.join(sizes, "class").select(F.col("id").alias(key), "class", "size")
 
 
+def _unsettled(members: DataFrame, similarity: float) -> DataFrame:
+    """``(id, size)`` of texts that may have a link which their buckets' heads do not show.
+
+    ``members(band, b, size_b, s)`` holds the similarity ``s`` to the head. 1 - s is a metric: a text that
+    misses the head can be near a text that matches it only if their distances from the head differ by the
+    threshold's distance at most. Texts that miss the same head may be near each other.
+    """
+    slack = 1 - similarity
+    missed = F.col("s") < similarity
+    per = members.groupBy("band").agg(F.count(F.when(missed, 1)).alias("n"), F.max(F.when(missed, F.col("s"))).alias("best"),
+                                      F.min(F.when(~missed, F.col("s"))).alias("worst"))
+    close = per.withColumn("reach", F.col("best") >= F.coalesce(F.col("worst"), F.lit(2.0)) - slack - 1e-9).where("n > 1 or (n = 1 and reach)")
+    needed = missed | (F.col("reach") & (F.col("s") <= F.col("best") + slack + 1e-9))
+    return members.join(close, "band").where(needed).select(F.col("b").alias("id"), F.col("size_b").alias("size")).distinct()
+
+
 def _prefix_links(rest: DataFrame, kept: DataFrame, checked: DataFrame, similarity: float) -> DataFrame:
     """Links among ``rest`` by an exact prefix join: elements ordered by how many of these texts hold them.
 
-    Two bags at the threshold share an element among the first size - ceil(similarity * size) + 1 of each.
+    Near bags of sizes x >= y have at least similarity / (1 + similarity) * (x + y) common elements. So they share
+    an element among the first x - ceil(similarity * x) + 1 of the larger and the first
+    y - ceil(2 * similarity / (1 + similarity) * y) + 1 of the smaller. Elements that no other text holds come
+    first and only count: most texts of a common passage have nothing else in these places.
     """
     known = components(checked.select("a", "b"))  # texts of one class need no more links
     items = kept.join(rest, "id").select("id", "size", F.explode("bag").alias("e"))
     often = items.groupBy("e").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    # Elements of one text alone come first and match nobody: only their number counts.
-    shared = items.join(often, "e").groupBy("id", "size").agg(F.sort_array(F.collect_list(F.struct("n", "e"))).alias("es"))
-    take = F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1 - (F.col("size") - F.size("es"))
-    prefix = shared.select("id", "size", F.explode(F.slice("es", F.lit(1), F.greatest(F.lit(0), take.cast("int")))).alias("x")).select("id", "size", F.col("x.e").alias("e"))
-    prefix = stage(prefix.join(known, "id", "left").select("id", "size", "e", F.coalesce("class", "id").alias("class")), "near-prefix")
-    a, b = (prefix.select("e", F.col("id").alias(s), F.col("size").alias("size_" + s), F.col("class").alias("class_" + s)) for s in "ab")
-    pairs = a.join(b, "e").where((F.col("a") < F.col("b")) & (F.col("class_a") != F.col("class_b")) & (F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b")))
-    pairs = stage(pairs.select("a", "b", "size_a", "size_b").distinct(), "near-pairs")
+    shared = items.join(often, "e").groupBy("id", "size").agg(F.sort_array(F.collect_list(F.struct("n", "e"))).alias("es")).withColumn("common", F.size("es"))
+    length = lambda part: F.greatest(F.lit(0), F.col("common") - F.ceil(F.col("size") * part - 1e-9) + 1).cast("int")  # noqa: E731  of the prefix, less the lone elements
+    both = shared.withColumn("short", length(2 * similarity / (1 + similarity))).select("id", "size", "common", "short", F.posexplode(F.slice("es", F.lit(1), length(similarity))).alias("pos", "x"))
+    prefix = both.select("id", "size", "common", F.col("x.e").alias("e"), (F.col("pos") < F.col("short")).alias("short"))
+    prefix = stage(prefix.join(known, "id", "left").select("id", "size", "common", "e", "short", F.coalesce("class", "id").alias("class")), "near-prefix")
+    a, b = (prefix.select("e", "short", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "size", "common", "class")]) for s in "ab")
+    larger = F.struct("size_a", "id_a") > F.struct("size_b", "id_b")
+    enough = F.least("common_a", "common_b") >= similarity / (1 + similarity) * (F.col("size_a") + F.col("size_b")) - 1e-9
+    pairs = a.drop("short").join(b.where("short").drop("short"), "e").where(
+        larger & enough & (F.col("class_a") != F.col("class_b")) & (F.col("size_b") >= similarity * F.col("size_a")))
+    pairs = stage(pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), "size_a", "size_b").distinct(), "near-pairs")
     return _verified(pairs, kept).where(F.col("similarity") >= similarity).select("a", "b")
