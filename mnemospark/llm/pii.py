@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 KINDS = ("email", "ip", "card", "phone")
 WIDTH, STEP = 64, 32
-TRAIN_WINDOWS, ROUNDS, BATCH = 3000, 3, 64
+TRAIN_WINDOWS, ROUNDS, BATCH, LEAST_STEPS = 3000, 6, 64, 280  # few windows are read more often
 HIDDEN, EMBED = 16, 8
 CONFIDENCE = 0.9  # least probability of every label of an added span
 BLOCK = 1024  # windows that run through the network together
@@ -217,7 +217,7 @@ class Model:
         """Adam over shuffled batches."""
         rng, n = np.random.default_rng(seed), 0
         first, second = ({k: np.zeros_like(v) for k, v in self.weights.items()} for _ in range(2))
-        for _ in range(rounds):
+        for _ in range(max(rounds, -(-LEAST_STEPS * BATCH // max(1, len(ids))))):
             order = rng.permutation(len(ids))
             for at in range(0, len(ids), BATCH):
                 n += 1

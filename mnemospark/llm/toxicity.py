@@ -32,8 +32,9 @@ from mnemospark.llm.staging import stage, unit
 
 FIT_ROWS = 20_000
 MOST_FEATURES = 4096
-LEAST_TEXTS, LEAST_RATIO, LEAST_EVIDENCE = 3, 8.0, 30.0
+LEAST_TEXTS, LEAST_RATIO, LEAST_EVIDENCE = 3, 60.0, 30.0
 VOTERS = 16
+LEASTS = 4  # hashes by which copies are told
 TOKEN = re.compile(r"[^\W\d_]+")
 STARTS = (4, 5, 6)
 INSULTS = frozenset("idiot moron stupid scum trash worthless pathetic loser disgusting clown".split())  # a plain list of insults
@@ -79,9 +80,10 @@ def label_model(votes: np.ndarray, known: np.ndarray, rounds: int = 40) -> tuple
     """Posterior of the latent class for each row of votes, hit rates (2, voters), correlations.
 
     A voter fires (1) or abstains (0). Expectation maximisation starts from the ``known`` labels, which keep
-    half of the say in the rates, so that the classes cannot change their meaning. Voters
-    correlated within the classes are weighed down and the model is fitted again.
+    half of the say in the rates, so that the classes cannot change their meaning. That all abstain is
+    a vote as well. Voters correlated within the classes are weighed down and the model is fitted again.
     """
+    votes = np.hstack([votes, 1 - votes.max(1, keepdims=True)])
     n, m = votes.shape
     weight, corr = np.ones(m), np.eye(m)
     post = known.astype(float)
@@ -133,10 +135,15 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", key: str = "
             texts = [t.encode("utf-8") for t in batch.column("text").to_pylist()]
             values, counts = shingles.runs(*shingles.words(texts), 5)
             parts = np.split(values, np.cumsum(counts)[:-1])
-            yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("toxic"), pa.array([int(p.min()) >> 1 if len(p) else -1 for p in parts], pa.int64())], ["k", "toxic", "least"])
-
-    # Copies of a text would make all its words look toxic: one row for each smallest shingle.
-    single = stage(rows_of.select(F.col("k").cast("long").alias("k"), "text", "toxic").mapInArrow(least, "k long, toxic int, least long").groupBy("least").agg(F.min(F.struct("k", "toxic")).alias("s")).select("s.k", "s.toxic"), "toxic-rows")
+            least = [[int(shingles.mix(p + np.uint64(j)).min()) >> 1 if len(p) else -1 for j in range(LEASTS)] for p in parts]
+            yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("toxic"), pa.array(least, pa.list_(pa.int64()))], ["k", "toxic", "least"])
+
+    # Copies of a text would make all its words look toxic: a row stays if no row with a smaller id shares one of
+    # its smallest shingles by several hashes.
+    marked = stage(rows_of.select(F.col("k").cast("long").alias("k"), "text", "toxic").mapInArrow(least, "k long, toxic int, least array<long>"), "toxic-rows")
+    slots = marked.select("k", F.posexplode("least").alias("slot", "h"))
+    beaten = slots.join(slots.groupBy("slot", "h").agg(F.min("k").alias("first")), ["slot", "h"]).where("k > first").select("k").distinct()
+    single = stage(marked.join(beaten, "k", "left_anti").select("k", "toxic"), "toxic-single")
     texts = rows_of.select("k", "text").join(F.broadcast(single), "k").select("text", "toxic")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
