@@ -85,12 +85,16 @@ def test_keyed_state_remembers_the_last_value(spark, tmp_path):
 
 def test_an_older_write_in_a_later_batch_changes_nothing(spark, tmp_path):
     put(tmp_path, "1.json", ("a", 5, "new"), ("b", 5, None))
-    keyed(spark, tmp_path, "late_one", None).trigger(availableNow=True).start().awaitTermination(90)
-    put(tmp_path, "2.json", ("a", 4, "old"), ("b", 4, "old"), ("a", 6, "newer"))
-    keyed(spark, tmp_path, "late_two", None).trigger(availableNow=True).start().awaitTermination(90)
-    put(tmp_path, "3.json", ("a", 3, "oldest"), ("b", 2, "oldest"))
-    keyed(spark, tmp_path, "late_three", None).trigger(availableNow=True).start().awaitTermination(90)
-    assert rows(spark.table("late_two"), "key", "value", "previous") == [("a", "newer", "new")] and spark.table("late_three").count() == 0
+    query = keyed(spark, tmp_path, "late", None).start()
+    try:
+        query.processAllAvailable()
+        for name, rows_ in (("2.json", [("a", 4, "old"), ("b", 4, "old"), ("c", 1, "x")]), ("3.json", [("a", 6, "newer"), ("b", 2, "oldest")])):
+            put(tmp_path, name, *rows_)
+            query.processAllAvailable()
+    finally:
+        query.stop()
+    got = rows(spark.table("late"), "key", "value", "previous")
+    assert got == sorted([("a", "new", None), ("b", None, None), ("c", "x", None), ("a", "newer", "new")], key=str)
 
 
 def test_keyed_state_expires(spark, tmp_path):
