@@ -1,12 +1,11 @@
 """Personal data: fixed patterns, and a character BiLSTM with CRF transitions that adds spans.
 
-The network reads windows of ``WIDTH`` characters that overlap by half. It is trained in numpy on
-windows whose labelled spans are those of the patterns; ``TRAIN_WINDOWS`` bounds that sample. The
-spans decoded from all windows of a text are reconciled at once: among overlapping ones the set with the largest
-total confidence stays. Base spans always stay; a decoded span that touches one is dropped.
-
-A decoded span holds a digit or ``@``, else it is void. So windows without either are not run: they
-could only give void spans.
+The network is trained in numpy on windows of ``WIDTH`` characters that overlap by half, whose labelled
+spans are those of the patterns; ``TRAIN_WINDOWS`` bounds that sample. It then reads every text whole, in windows of
+``RUN`` characters that overlap by ``OVERLAP``. A span that a window's edge cuts is joined with its
+piece in the next window, however many windows it runs through. The spans of all windows of a text
+are reconciled at once: among overlapping ones the set with the largest total confidence stays. Base spans
+always stay; a decoded span that touches one is dropped.
 
 Null and empty texts have no spans. Offsets are code points. Equal rows give equal results; result
 columns replace columns of the same name; an empty table gives an untrained model that adds nothing.
@@ -22,12 +21,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from mnemospark.llm import shingles
+from mnemospark.llm.staging import stage
+
 KINDS = ("email", "ip", "card", "phone")
 WIDTH, STEP = 64, 32
+RUN, OVERLAP = 512, 64
 TRAIN_WINDOWS, ROUNDS, BATCH, LEAST_STEPS = 3000, 6, 64, 280  # few windows are read more often
 HIDDEN, EMBED = 16, 8
 CONFIDENCE = 0.9  # least probability of every label of an added span
-BLOCK = 1024  # windows that run through the network together
+BLOCK = 512  # windows that run through the network together
 
 # ---- patterns -------------------------------------------------------------------------------
 
@@ -101,14 +104,13 @@ def codes(text: str) -> np.ndarray:
 
 
 def windows(text: str) -> list[int]:
-    """Starts of the windows that hold a digit or ``@``."""
-    starts: dict[int, None] = {}
-    for m in TRIGGER.finditer(text):
-        k = m.start() // STEP
-        for start in ((k - 1) * STEP, k * STEP):
-            if start >= 0:
-                starts[start] = None
-    return list(starts)
+    """Starts of the windows of ``WIDTH`` that cover a text."""
+    return list(range(0, max(1, len(text) - STEP), STEP)) if text else []
+
+
+def runs(text: str) -> list[int]:
+    """Starts of the windows of ``RUN`` that cover a text."""
+    return list(range(0, max(1, len(text) - OVERLAP), RUN - OVERLAP)) if text else []
 
 
 def _sigmoid(x):
@@ -229,19 +231,53 @@ class Model:
         self.trained = len(ids) > 0
         return self
 
+    def scores(self, ids: np.ndarray) -> np.ndarray:
+        """``emissions`` without what training keeps: a table of the inputs' share, one tanh for all gates of a step."""
+        w, size, n = self.weights, HIDDEN, ids.shape[1]
+        half = np.concatenate([np.full(3 * size, 0.5), np.ones(size)]).astype(np.float32)  # sigmoid(x) = (1 + tanh(x / 2)) / 2
+        out = np.empty((n, TAGS, len(ids)), np.float32)
+        out[:] = w["out_b"][:, None]
+        chars = np.ascontiguousarray(ids.T)
+        for side, order, part in (("f", range(n), w["out"][:size]), ("b", range(n - 1, -1, -1), w["out"][size:])):
+            table = ((w["embed"] @ w["x" + side] + w["b" + side]) * half).astype(np.float32)
+            inner, outer = np.ascontiguousarray((w["h" + side] * half).T), np.ascontiguousarray(part.T)
+            h, c = np.zeros((2, size, len(ids)), np.float32)
+            for t in order:
+                g = inner @ h
+                g += table[chars[t]].T
+                np.tanh(g, out=g)
+                gate = g[:3 * size]
+                gate += 1
+                gate *= np.float32(0.5)
+                c *= gate[size:2 * size]
+                c += gate[:size] * g[3 * size:]
+                h = np.tanh(c)
+                h *= gate[2 * size:]
+                out[t] += outer @ h
+        return out.transpose(0, 2, 1)
+
+    def outside(self, e: np.ndarray) -> np.ndarray:
+        """Windows (B) whose best labels are surely all outside: no label gains what its scores lose, whatever stands around it."""
+        trans, first = self.weights["trans"], self.weights["first"]
+        into = np.maximum(trans[:, 1:].max(0) - trans[0, 0], first[1:] - first[0]) + max(0.0, float(trans[1:, 0].max() - trans[0, 0]))
+        return (e[:, :, 1:] - e[:, :, :1] + into).max((0, 2)) < 0
+
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Best labels (B, T) by the CRF and their probabilities."""
-        e, _ = self.emissions(ids)
+        return self.best(self.scores(ids))
+
+    def best(self, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``decode`` from scores (T, B, tags)."""
         prob = self.marginals(e)[0]
-        trans, n = self.weights["trans"], len(e)
-        score, steps = e[0] + self.weights["first"], np.empty((n, len(ids), TAGS), np.int8)
+        trans, n, size = self.weights["trans"], len(e), e.shape[1]
+        score, steps = e[0] + self.weights["first"], np.empty((n, size, TAGS), np.int8)
         for t in range(1, n):
             options = score[:, :, None] + trans
             steps[t] = options.argmax(1)
             score = options.max(1) + e[t]
-        best = np.empty((n, len(ids)), np.int64)
+        best = np.empty((n, size), np.int64)
         best[-1] = score.argmax(1)
-        rows = np.arange(len(ids))
+        rows = np.arange(size)
         for t in range(n - 1, 0, -1):
             best[t - 1] = steps[t][rows, best[t]]
         return best.T, np.take_along_axis(prob, best[:, :, None], 2)[:, :, 0].T
@@ -256,9 +292,59 @@ def labels(text: str, start: int, spans: list[tuple[str, int, int]]) -> np.ndarr
     return tags
 
 
-def padded(ids: np.ndarray, start: int) -> np.ndarray:
-    piece = ids[start:start + WIDTH]
-    return np.concatenate([piece, np.full(WIDTH - len(piece), CLASSES[10])]) if len(piece) < WIDTH else piece
+def padded(ids: np.ndarray, start: int, width: int = WIDTH) -> np.ndarray:
+    piece = ids[start:start + width]
+    return np.concatenate([piece, np.full(width - len(piece), CLASSES[10])]) if len(piece) < width else piece
+
+
+@dataclass
+class Piece:
+    """Part of a span in one window, with the probabilities of its labels."""
+
+    start: int
+    end: int
+    kind: int
+    prob: np.ndarray
+    before: bool  # it begins where the window does, within the text
+    after: bool  # it ends where the window does, within the text
+
+
+def cut_out(tags: np.ndarray, prob: np.ndarray, start: int, length: int) -> list[Piece]:
+    """Pieces of the window at ``start`` of a text of so many characters."""
+    out, t, width = [], 0, min(len(tags), length - start)
+    while t < width:
+        if tags[t] % 2 == 1:
+            end = t + 1
+            while end < width and tags[end] == tags[t] + 1:
+                end += 1
+            out.append(Piece(start + t, start + end, int(tags[t]) // 2, prob[t:end], t == 0 and start > 0, end == width and start + end < length))
+            t = end
+        else:
+            t += 1
+    return out
+
+
+def joined(pieces: list[Piece]) -> list[tuple[int, int, int, float]]:
+    """Spans (start, end, kind, confidence) from a text's pieces in the order of their windows.
+
+    A piece that begins with its window goes on the one that reaches into it from the window before; without such
+    a one it is void, since that window has seen the place. What both windows label counts with the larger probability.
+    """
+    out, cut = [], None
+    for p in pieces:
+        if p.before:
+            if cut is None or cut.kind != p.kind or not cut.start <= p.start < cut.end:
+                continue
+            prob = np.zeros(max(cut.end, p.end) - cut.start, p.prob.dtype)
+            prob[:len(cut.prob)] = cut.prob
+            at = p.start - cut.start
+            prob[at:at + len(p.prob)] = np.maximum(prob[at:at + len(p.prob)], p.prob)
+            p = Piece(cut.start, p.end, p.kind, prob[:p.end - cut.start], False, p.after)
+        if p.after:
+            cut = p
+        else:
+            out.append((p.start, p.end, p.kind, float(p.prob.min())))
+    return out
 
 
 def reconcile(spans: list[tuple[int, int, int, float]]) -> list[tuple[int, int, int, float]]:
@@ -282,51 +368,39 @@ def reconcile(spans: list[tuple[int, int, int, float]]) -> list[tuple[int, int,
 
 def added_spans(model: Model, texts: list[str], base: list[list[tuple[str, int, int]]]) -> list[list[tuple[str, int, int]]]:
     """Spans of the network that touch no base span, for each text."""
-    out: list[list] = [[] for _ in texts]
     if not model.trained:
-        return out
+        return [[] for _ in texts]
+    pieces: list[list[Piece]] = [[] for _ in texts]
     todo, parts = [], []
 
     def flush():
         if not parts:
             return
-        best, prob = model.decode(np.stack(parts))
-        for row in np.flatnonzero(best.any(1)).tolist():
-            i, start = todo[row]
-            tags, p = best[row], prob[row]
-            t = 0
-            while t < WIDTH:
-                if tags[t] % 2 == 1:
-                    end = t + 1
-                    while end < WIDTH and tags[end] == tags[t] + 1:
-                        end += 1
-                    # A span at the edge of a window may be cut; the next window holds it whole.
-                    if (t > 0 or start == 0) and end < WIDTH and p[t:end].min() >= CONFIDENCE and start + end <= len(texts[i]):
-                        out[i].append((start + t, start + end, int(tags[t]) // 2, float(p[t:end].min())))
-                    t = end
-                else:
-                    t += 1
+        e = model.scores(np.stack(parts))
+        rows = np.flatnonzero(~model.outside(e))
+        if len(rows):
+            for row, tags, prob in zip(rows.tolist(), *model.best(e[:, rows])):
+                i, start = todo[row]
+                pieces[i] += cut_out(tags, prob, start, len(texts[i]))
         todo.clear()
         parts.clear()
 
     for i, text in enumerate(texts):
-        starts = windows(text)
-        if not starts:
-            continue
         ids = codes(text)
-        for start in starts:
+        for start in runs(text):
             todo.append((i, start))
-            parts.append(padded(ids, start))
+            parts.append(padded(ids, start, RUN))
             if len(parts) == BLOCK:
                 flush()
     flush()
     result = []
-    for text, found, fixed in zip(texts, out, base):
+    for found, fixed in zip(pieces, base):
         fixed = sorted((a, b) for _, a, b in fixed)
+        starts = [a for a, _ in fixed]
         free = []
-        for a, b, k, score in found:
-            at = int(np.searchsorted([x for x, _ in fixed], b))
-            if TRIGGER.search(text, a, b) and not any(e > a for _, e in fixed[:at]):
+        for a, b, k, score in joined(found):
+            at = int(np.searchsorted(starts, b))
+            if score >= CONFIDENCE and not any(e > a for _, e in fixed[:at]):
                 free.append((a, b, k, score))
         result.append([(KINDS[k], a, b) for a, b, k, _ in reconcile(free)])
     return result
@@ -338,24 +412,40 @@ SPANS = "array<struct<kind:string,start:int,end:int,base:boolean>>"
 
 
 def train(docs: DataFrame, text_col: str = "text", key: str = "doc_id", sample: int = TRAIN_WINDOWS) -> Model:
-    """Fit on ``sample`` windows, the first in the order of a hash over all windows of all texts."""
+    """Fit on ``sample`` windows of all texts: half hold a span, a quarter only a digit or ``@``, a quarter neither.
+
+    Of each sort the first in the order of a hash are taken; a task hands on no more than could be among them.
+    """
+    most = (sample // 2, sample // 4, sample // 4)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[list] = [[] for _ in most]
+        bound = [2 ** 63] * len(most)
         for batch in batches:
-            rows: dict[str, list] = {"h": [], "ids": [], "tags": []}
             for k, text in zip(*(c.to_pylist() for c in batch.columns)):
-                starts, ids = windows(text), codes(text)
-                spans = base_spans(text) if starts else []
-                for start in starts:
-                    rows["h"].append(hash((k, start, 9)) if k is not None else start)
-                    rows["ids"].append(padded(ids, start).astype(np.int16).tobytes())
-                    rows["tags"].append(labels(text, start, spans).astype(np.int8).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(rows["h"], pa.int64()), pa.array(rows["ids"], pa.binary()), pa.array(rows["tags"], pa.binary())], ["h", "ids", "tags"])
-
-    texts = docs.where(F.col(text_col).rlike("[0-9@]")).select(F.xxhash64(key).alias("k"), F.col(text_col).alias("text"))
-    # Half of the windows with a span, so that the network sees all kinds.
-    rows = texts.mapInArrow(cut, "h long, ids binary, tags binary").withColumn("none", F.length(F.replace(F.hex("tags"), F.lit("0"), F.lit(""))) == 0)
-    taken = [r for none in (False, True) for r in rows.where(F.col("none") == none).orderBy("h", "ids").limit(sample // 2).collect()]
+                starts, spans = np.array(windows(text)), base_spans(text)
+                sort = np.full(len(starts), 2)
+                for m in TRIGGER.finditer(text):
+                    sort[max(0, m.start() // STEP - 1):m.start() // STEP + 1] = 1
+                for _, a, b in spans:
+                    sort[max(0, (a - WIDTH) // STEP + 1):(b - 1) // STEP + 1] = 0
+                with np.errstate(over="ignore"):
+                    h = shingles.mix(np.uint64(k & (2 ** 64 - 1)) + starts.astype(np.uint64) * shingles.ODD) >> np.uint64(1)
+                for n in np.flatnonzero(h < np.array(bound, np.uint64)[sort]).tolist():
+                    kept[sort[n]].append((int(h[n]), text, int(starts[n]), spans))
+            for s, rows in enumerate(kept):
+                if len(rows) > most[s]:
+                    rows.sort(key=lambda r: r[0])
+                    last = rows[most[s] - 1][0]
+                    kept[s] = [r for r in rows if r[0] <= last][:2 * most[s]]
+                    bound[s] = last + 1
+        rows = [(h, s, padded(codes(text[start:start + WIDTH]), 0).astype(np.int16).tobytes(), labels(text, start, spans).astype(np.int8).tobytes())
+                for s, some in enumerate(kept) for h, text, start, spans in some]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.binary()))], ["h", "sort", "ids", "tags"])
+
+    texts = docs.where(F.length(text_col) > 0).select(F.xxhash64(key, text_col).alias("k"), F.col(text_col).alias("text"))
+    rows = stage(texts.mapInArrow(cut, "h long, sort int, ids binary, tags binary"), "pii-windows")
+    taken = [r for s, n in enumerate(most) for r in rows.where(F.col("sort") == s).orderBy("h", "ids").limit(n).collect()]
     if not taken:
         return Model.fresh()
     ids = np.stack([np.frombuffer(r["ids"], np.int16) for r in taken]).astype(np.int64)

@@ -100,6 +100,46 @@ def test_network_gradient():
         assert (up - down) / 2e-2 == pytest.approx(grads[name].reshape(-1)[at], rel=0.05, abs=1e-3)
 
 
+class Capitals(pii.Model):
+    """Surely labels every run of capitals an email, whatever the window."""
+
+    def scores(self, ids):
+        capital = ids == pii.CLASSES[ord("A")]
+        first = capital & ~np.hstack([np.zeros((len(ids), 1), bool), capital[:, :-1]])
+        return 40 * np.eye(pii.TAGS, dtype=np.float32)[np.where(first, 1, np.where(capital, 2, 0))].transpose(1, 0, 2)
+
+
+def test_spans_of_any_length_are_added_wherever_they_stand():
+    model = Capitals(pii.Model.fresh().weights, trained=True)
+    for size in (5, 31, 40, 62, 63, 64, 65, 130, 449, 512, 1500):
+        places = [*range(0, 130, 13), *range(440, 520, 3), 895, 896]
+        texts = ["a " * (at // 2) + "." * (at % 2) + "N" * size + tail for at in places for tail in ("", " and so on" * 60)]
+        got = pii.all_spans(model, texts)
+        assert got == [[("email", at, at + size, False)] for at in places for _ in range(2)], size
+    # Base spans stay, and a span that touches one does not come in.
+    assert pii.all_spans(model, ["x a@b.example y NNN z AAA@b.example"]) == [[("email", 2, 13, True), ("email", 16, 19, False), ("email", 22, 35, True)]]
+
+
+def test_network_finds_written_out_addresses():
+    """Trained on long addresses without digit or @, it finds others like them at any place."""
+    rng = random.Random(6)
+    word = lambda low, high: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(low, high)))
+    address = lambda: f"<{word(9, 14)} AT {word(12, 22)} DOT {word(9, 14)}>"  # noqa: E731  40 to 61 characters
+    ids, tags = [], []
+    for _ in range(400):
+        before, found = " ".join(word(2, 9) for _ in range(rng.randint(0, 30))), address()
+        text = before + found + " ".join(word(2, 9) for _ in range(rng.randint(0, 30)))
+        for start in pii.windows(text):
+            ids.append(pii.padded(pii.codes(text), start))
+            tags.append(pii.labels(text, start, [("email", len(before), len(before) + len(found))]))
+    model = pii.Model.fresh().fit(np.stack(ids), np.stack(tags))
+    filler, right = " ".join(word(2, 9) for _ in range(400)), 0
+    for at in range(0, 1100, 11):
+        found = address()
+        right += pii.all_spans(model, [filler[:at] + found + filler[at:]]) == [[("email", at, at + len(found), False)]]
+    assert right >= 95, right
+
+
 def test_reconcile_takes_the_best_set():
     assert pii.reconcile([(0, 5, 0, 0.9), (4, 9, 1, 0.95), (9, 12, 2, 0.9)]) == [(4, 9, 1, 0.95), (9, 12, 2, 0.9)]
     assert pii.reconcile([(0, 9, 0, 0.99), (0, 4, 1, 0.9), (4, 9, 1, 0.9)]) == [(0, 4, 1, 0.9), (4, 9, 1, 0.9)]
