@@ -95,12 +95,12 @@ def split_quotas(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED) -> D
     return nodes.select("shard", F.explode("qs").alias("q")).select(F.when(~F.col("q.none"), F.col("q.s")).alias("source"), "shard", F.col("q.n").alias("n"))
 
 
-def mix(docs: DataFrame, text_col: str = "text", source_col: str = "source", key: str = "doc_id", shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """A row per row of ``docs``: key, size, source_size, target, taken and ``places``.
+def mix(docs: DataFrame, text_col: str = "text", source_col: str = "source", key: str = "doc_id", shards: int = SHARDS, seed: int = SEED, carry: tuple[str, ...] = ()) -> DataFrame:
+    """A row per row of ``docs``: key, the columns ``carry``, size, source_size, target, taken and ``places``.
 
     ``places`` has for each time the row is taken its pass, shard and order within the shard.
     """
-    sized = stage(docs.select(F.col(key), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"))
+    sized = stage(docs.select(F.col(key), *carry, F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"))
                   .withColumn("u", unit(F.col(key), F.col("source"), F.col("size"), seed=seed)).withColumn("block", F.floor(F.col("u") * BLOCKS).cast("int")), "mixing")
     blocks = stage(sized.groupBy("source", "block").agg(F.sum("size").alias("words")), "mixing")
     plan = targets(blocks.groupBy("source").agg(F.sum("words").alias("source_size")))
@@ -122,7 +122,7 @@ def mix(docs: DataFrame, text_col: str = "text", source_col: str = "source", key
     b = stage(b.join(bounds, F.col("source").eqNullSafe(F.col("_source"))).select(F.col("source").alias("_source"), F.col("block").alias("_block"), "source_size", "target", "full", "place", "n_blocks", "whole", "partly", "open", "starts"), "mixing")
     rows = sized.join(b, F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block")))
     # One block per source is cut: its rows in hash order, up to the row that comes nearest to the target.
-    inner = Window.partitionBy("_source", "_block").orderBy("u", key).rowsBetween(Window.unboundedPreceding, 0)
+    inner = Window.partitionBy("_source", "_block").orderBy("u", key, *carry).rowsBetween(Window.unboundedPreceding, 0)
     cut = rows.where("partly").withColumn("_ends", F.sum("size").over(inner)).withColumn("last", F.col("_ends") - F.col("size") / 2 <= F.col("open")).drop("_ends")
     rows = rows.where(~F.col("partly")).withColumn("last", F.col("whole")).unionByName(cut)
     times = F.col("full") + F.col("last").cast("int")
@@ -130,4 +130,4 @@ def mix(docs: DataFrame, text_col: str = "text", source_col: str = "source", key
     shard = lambda at: F.least(F.lit(shards), F.size(F.filter("starts", lambda s: s <= at))) - 1
     places = F.transform(F.when(times > 0, F.sequence(F.lit(0), times - 1)).otherwise(F.array().cast("array<int>")), lambda p: F.struct(
         p.alias("pass"), shard(order(p)).alias("shard"), F.xxhash64(F.lit(seed + 2), F.col(key), p).alias("at")))
-    return rows.select(key, "size", "source_size", "target", (F.col("size") * times).alias("taken"), places.alias("places"))
+    return rows.select(key, *carry, "size", "source_size", "target", (F.col("size") * times).alias("taken"), places.alias("places"))

@@ -17,7 +17,8 @@ shingles of each, enough of which are taken that none can be lost. Pairs within
 out. Links become classes.
 
 Null, empty and blank texts have no shingles and stay alone; texts of fewer words than a shingle are
-near only to equal word sequences. Rows with a null id are left out. Repeated ids count once.
+near only to equal word sequences. Rows with a null id are left out. Repeated ids count once; an id with
+several texts is near to whatever one of them is near to, and all of them are compared.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ from mnemospark.llm.staging import stage
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 4  # a pair at 0.8 shares no band with a chance of 5e-8
 PLACES = BANDS * ROWS
+HAS_WORDS = r"[^\x20\x09-\x0D]"
 PIECE = 128  # texts worked on together
 
 
@@ -158,7 +160,8 @@ def _verified(pairs: DataFrame, kept: DataFrame) -> DataFrame:
 def near_classes(docs: DataFrame, text_col: str = "text", key: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
     """``(key, class, size)`` for each id: the class is its smallest id, ``size`` the number of its members."""
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
-    hashed = rows.select("id", F.when(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.sha2("text", 256)).alias("h"))
+    rows, more = _told_apart(rows)
+    hashed = rows.select("id", F.when(F.col("text").rlike(HAS_WORDS), F.sha2("text", 256)).alias("h"))
     alike = hashed.where("h is not null").groupBy("h").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
     copies = stage(hashed.where("h is not null").join(alike.where("n > 1"), "h").select("id", "rep").where("id <> rep").distinct(), "near-copies")
     firsts = rows.where("text is not null").join(copies.select("id").distinct(), "id", "left_anti")
@@ -186,10 +189,31 @@ def near_classes(docs: DataFrame, text_col: str = "text", key: str = "doc_id", s
     # Copies follow their first.
     near = rows.select("id").distinct().join(copies, "id", "left").withColumn("rep", F.coalesce("rep", "id"))
     named = near.join(classes.select(F.col("id").alias("rep"), "class"), "rep", "left").select("id", F.coalesce("class", "rep").alias("class"))
+    if more is not None:  # the texts of an id belong together; only ids have names
+        named = stage(named, "near-named")
+        whole = components(named.select(F.col("id").alias("a"), F.col("class").alias("b")).union(more.select("id", "own")))
+        named = named.join(more.select("id"), "id", "left_anti").join(whole.select("id", F.col("class").alias("all")), "id", "left").select("id", F.coalesce("all", "class").alias("all"))
+        named = named.join(named.groupBy("all").agg(F.min("id").alias("class")), "all").select("id", "class")
     sizes = named.groupBy("class").agg(F.count(F.lit(1)).alias("size"))
     return named.join(sizes, "class").select(F.col("id").alias(key), "class", "size")
 
 
+def _told_apart(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``rows(id, text)`` with one text for each id, and what was given another name for that: ``(id, own)``.
+
+    The first text of a repeated id, by hash, keeps the id; others get a hash of id and text for one. Repeated texts of
+    an id stay once, blank ones only beside no other.
+    """
+    x = F.when(F.col("text").rlike(HAS_WORDS), F.xxhash64("text"))
+    repeated = stage(rows.select("id", x.alias("x")).groupBy("id").agg(F.min("x").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").select("id", "least"), "near-repeated")
+    if repeated.isEmpty():
+        return rows, None
+    again = rows.join(repeated, "id").withColumn("x", x).where("x is not null or least is null")
+    again = again.select(F.col("id").alias("own"), F.when(F.col("x") != F.col("least"), F.xxhash64("id", "x")).otherwise(F.col("id")).alias("id"), "text").groupBy("id").agg(F.min("own").alias("own"), F.first("text").alias("text"))
+    more = stage(again.where("id <> own").select("id", "own"), "near-more")
+    return rows.join(repeated, "id", "left_anti").unionByName(again.select("id", "text")), None if more.isEmpty() else more
+
+
 def _unsettled(members: DataFrame, similarity: float) -> DataFrame:
     """``(id, size)`` of texts that may have a link which their buckets' heads do not show.
 

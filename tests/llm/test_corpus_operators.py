@@ -272,3 +272,42 @@ def test_pipeline_bears_rough_rows(spark, docs, rough):
     for _, stage in corpus_pipeline.STAGES:
         now = stage(spark, now, FOLDER)
     assert now.count() == 0 or now.where("n_tokens is null").count() == 0
+
+
+def test_near_classes_compare_all_texts_of_repeated_ids(docs):
+    texts = near_texts()
+    rows = [(i, t) for i, t in texts.items() if i < 30]  # three families of near copies
+    alone, other = " ".join(f"u{k}" for k in range(40)), " ".join(f"z{k}" for k in range(40))
+    # 1000 has a text of another id and one that only 1001 is near to; 1002 has one text twice and a blank one.
+    rows += [(1000, texts[40]), (1002, texts[40]), (1000, alone), (1001, alone + " more"), (1002, other), (1002, other), (1002, " "), (1003, other)]
+    got = {r["doc_id"]: (r["class"], r["size"]) for r in near_dedup.near_classes(docs([(i, t, "en", "s") for i, t in rows])).collect()}
+    plain = plain_classes({i: t for i, t in rows if i < 1000})
+    size = Counter(plain.values())
+    assert got == {i: (c, size[c]) for i, c in plain.items()} | {i: (1000, 4) for i in (1000, 1001, 1002, 1003)}
+
+
+def test_pipeline_keeps_the_rows_of_null_and_repeated_ids(spark, docs):
+    """Kept rows against plain versions, by all columns."""
+    rng = random.Random(3)
+    words = lambda n: " ".join(f"v{rng.randrange(3000)}" for _ in range(n))
+    unlike = [words(rng.randint(60, 90)) for _ in range(40)]
+    rows = [(None if k % 4 == 0 else 7 if k % 4 == 1 else 100 + k, t, "en", "ab"[k % 2]) for k, t in enumerate(unlike)]
+    rows += [rows[0], rows[1], rows[2], (500, unlike[5], "en", "a"), (3, unlike[9], "en", "b"), (None, unlike[10], "de", "a"), (900, "too few words", "en", "a"), (None, "too few", "en", "a")]
+    table = docs(rows).select("doc_id", "text", "lang", "source", "n_chars")
+    plain = lambda df: Counter((r["doc_id"], r["text"], r["lang"], r["source"]) for r in df.collect())
+    now = corpus_pipeline.quality_rules(spark, table, FOLDER)
+    long = Counter(r for r in rows if len(r[1].split()) >= 50)
+    assert plain(now) == long
+    now = corpus_pipeline.near_duplicates(spark, now, FOLDER)
+    want = {}
+    for r in sorted(long, key=lambda r: (r[0] is None, r[0] or 0)):
+        want.setdefault(r[1], r)  # the texts are copies or unlike
+    assert plain(now) == Counter(want.values())
+    mixed = corpus_pipeline.source_mix(spark, table, FOLDER)
+    places = Counter()
+    whole = {r["_row"]: (r["doc_id"], r["text"], r["lang"], r["source"]) for r in corpus_pipeline.keyed(table).collect()}
+    for r in mixing.mix(corpus_pipeline.keyed(table), carry=("_row",)).collect():
+        places[whole[r["_row"]]] += len(r["places"])
+    assert plain(mixed) == +places
+    blank = docs([(None, " ", "en", "a")] * 2 + [(1, None, "en", "a")] * 2).select("doc_id", "text", "lang", "source", "n_chars")
+    assert corpus_pipeline.near_duplicates(spark, blank, FOLDER).count() == 4  # blank texts stay alone
