@@ -6,7 +6,8 @@ more often than others (a likelihood ratio test) form the lexicons; they are dea
 several hits, and hits from several lexicons. The label model is a latent class model of the votes:
 expectation maximisation gives each voter's hit rate for toxic and other texts, correlations of the
 votes within the classes lower the weight of voters that repeat each other, and the model is fitted again.
-Its posterior labels train a logistic regression on the features.
+Its posterior labels and the given ones, with half of the say each, train a logistic regression on the features:
+which of the loosely chosen features speak for toxicity is up to its weights.
 
 ``FIT_ROWS`` bounds the labelled rows that take part, chosen by a hash of their ids; the texts of these
 are read by joining with their ids, a table of that bound. Only words decide: label, language, source and id
@@ -32,8 +33,9 @@ from mnemospark.llm.staging import stage, unit
 
 FIT_ROWS = 20_000
 MOST_FEATURES = 4096
-LEAST_TEXTS, LEAST_RATIO, LEAST_EVIDENCE = 3, 60.0, 30.0
+LEAST_TEXTS, LEAST_RATIO, LEAST_EVIDENCE = 3, 8.0, 30.0
 VOTERS = 16
+DECAY = 1e-4  # of the classifier's weights
 LEASTS = 4  # hashes by which copies are told
 TOKEN = re.compile(r"[^\W\d_]+")
 STARTS = (4, 5, 6)
@@ -112,7 +114,7 @@ def regression(rows: list[np.ndarray], target: np.ndarray, size: int, rounds: in
     for n in range(1, rounds + 1):
         z = np.bincount(owner, w[where], minlength=len(rows)) + w[-1]
         err = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - target
-        grad = np.append(np.bincount(where, err[owner], minlength=size), err.sum()) / max(1, len(rows)) + 1e-5 * np.append(w[:-1], 0)
+        grad = np.append(np.bincount(where, err[owner], minlength=size), err.sum()) / max(1, len(rows)) + DECAY * np.append(w[:-1], 0)
         first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad ** 2
         w = w - 0.1 * first / (1 - 0.9 ** n) / (np.sqrt(second / (1 - 0.99 ** n)) + 1e-9)
     return w[:-1], float(w[-1])
@@ -182,8 +184,9 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", key: str = "
         if len(h):
             votes[i, group[h]] = 1
         votes[i, VOTERS:] = (insults > 0, insults > 1, len(h) > 2, votes[i, :VOTERS].sum() > 1)
-    post, rates, corr = label_model(votes, np.array([t for _, _, t in found]))
-    weights, bias = regression(rows_, post, len(names))
+    known = np.array([t for _, _, t in found])
+    post, rates, corr = label_model(votes, known)
+    weights, bias = regression(rows_, (post + known) / 2, len(names))
     return Classifier(names, weights, bias, rates, corr)
 
 
