@@ -22,7 +22,7 @@ from mnemospark.llm.staging import stage
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))  # fixed values
 DAMPING, ROUNDS, SETTLED = 0.5, 20, 1e-6
 THRESHOLD = 0.5
-LINK = r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']?[a-z][a-z0-9+.-]*://([^/?#"'\s>]*)"""
+LINK = r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]*)"""
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -45,7 +45,7 @@ def rule_for(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 def host_links(pages: DataFrame, host_col: str, html_col: str) -> DataFrame:
-    """``(src, dst, n)``: absolute links between different hosts."""
+    """``(src, dst, n)``: links between different hosts, absolute or without a scheme (``//host/path``)."""
     found = pages.select(F.col(host_col).alias("src"), F.explode(F.regexp_extract_all(F.coalesce(F.col(html_col), F.lit("")), F.lit(LINK), 1)).alias("dst"))
     return found.withColumn("dst", F.translate("dst", UPPER, LOWER)).where((F.col("src") != "") & (F.col("dst") != "") & (F.col("src") != F.col("dst"))).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 

@@ -311,3 +311,12 @@ def test_pipeline_keeps_the_rows_of_null_and_repeated_ids(spark, docs):
     assert plain(mixed) == +places
     blank = docs([(None, " ", "en", "a")] * 2 + [(1, None, "en", "a")] * 2).select("doc_id", "text", "lang", "source", "n_chars")
     assert corpus_pipeline.near_duplicates(spark, blank, FOLDER).count() == 4  # blank texts stay alone
+
+
+def test_links_without_a_scheme_carry_distrust(spark):
+    html = '<a href="//bad.net/x">x</a> <a href=/own//path>y</a> <a href="own//path">z</a> <a href="//h.test/own">o</a>'
+    pages = spark.createDataFrame([(1, "http://h.test/", html), (2, "http://bad.net/x", "")], "page_id long, url string, html string")
+    links = url_filter.host_links(pages.withColumn("host", url_filter.host_and_path(F.col("url"))[0]), "host", "html").collect()
+    assert [tuple(r) for r in links] == [("h.test", "bad.net", 1)]
+    got = {r["page_id"]: r["distrust"] for r in url_filter.judge(pages).collect()}
+    assert got[1] > 0 and got[2] > 0
