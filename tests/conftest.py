@@ -23,10 +23,3 @@ def spark():
     ensure_checkpoint_dir(session)
     yield session
     session.stop()
-
-
-def rows(df, *cols):
-    """Rows as a sorted list of tuples, or of values for a single column."""
-    got = df.select(*cols).collect() if cols else df.collect()
-    flat = [tuple(r) if len(r) > 1 else r[0] for r in got]
-    return sorted(flat, key=lambda v: str(v))

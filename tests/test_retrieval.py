@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from mnemospark.functions.vectors import cosine_similarity, similarity

@@ -4,7 +4,7 @@ import datetime as dt
 import json
 import time
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from mnemospark.plans.sync import CHUNK_SCHEMA
