@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from mnemospark.llm import bpe, mixing, multi_index, near_dedup, pii, quality, repeats, toxicity, url_filter, warc
+from mnemospark.llm import bpe, license_scan, mixing, multi_index, near_dedup, pii, quality, repeats, toxicity, url_filter, warc
 
 QUERIES, ORACLES = {}, {}
 TOKENIZER = "word_bpe_49k.json"
@@ -101,3 +101,12 @@ def op6(spark, folder):
     resolved = warc.resolve(warc.crawl_of(table(spark, folder, "pages")))
     headers = F.array_join(F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ",")
     return resolved.select("record_id", "refers_to", "resolved", F.sha2("body", 256).alias("body_sha256"), headers.alias("headers"))
+
+
+@query("op13_license_scan", license_scan.sql())
+def op13(spark, folder):
+    found = license_scan.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    base = F.filter("places", lambda p: p["base"])
+    starts = F.transform(base, lambda p: p["start"].cast("long"))
+    return found.select("doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+                        F.array_join(license_scan.labels_of(base), ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
