@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from mnemospark.llm import bpe, license_scan, mixing, multi_index, near_dedup, pii, quality, repeats, toxicity, url_filter, warc
+from mnemospark.llm import bpe, lexical, license_scan, mixing, multi_index, near_dedup, pii, quality, repeats, toxicity, url_filter, warc
 
 QUERIES, ORACLES = {}, {}
 TOKENIZER = "word_bpe_49k.json"
@@ -110,3 +110,8 @@ def op13(spark, folder):
     starts = F.transform(base, lambda p: p["start"].cast("long"))
     return found.select("doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
                         F.array_join(license_scan.labels_of(base), ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
+
+
+@query("op12_lexical_search", lexical.SQL)
+def op12(spark, folder):
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
