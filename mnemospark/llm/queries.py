@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from mnemospark.llm import bpe, lexical, license_scan, mixing, multi_index, near_dedup, pii, quality, repeats, toxicity, url_filter, warc
+from mnemospark.llm import alignment, bpe, lexical, license_scan, mixing, multi_index, near_dedup, pii, quality, repeats, toxicity, url_filter, warc
 
 QUERIES, ORACLES = {}, {}
 TOKENIZER = "word_bpe_49k.json"
@@ -115,3 +115,10 @@ def op13(spark, folder):
 @query("op12_lexical_search", lexical.SQL)
 def op12(spark, folder):
     return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op11_alignment")
+def op11(spark, folder):
+    a, b = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    groups = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return alignment.align(table(spark, folder, "documents"), a, b).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", groups.alias("groups_sha256"))
