@@ -20,12 +20,18 @@ CHUNK_SCHEMA = ("source_path string, chunk_index int, content string, embedding
 
 @dataclass(frozen=True)
 class SyncResult:
-    """New chunk table, the classified listing, a one-row report, and the ledger of files for the next run."""
+    """New chunk table, the classified listing, a one-row report, and the ledger of files for the next run.
+
+    ``stale`` names the paths whose chunks go, ``fresh`` holds the chunks that come: what a table that is
+    updated in place needs instead of ``chunks``.
+    """
 
     chunks: DataFrame
     changes: DataFrame
     report: DataFrame
     files: DataFrame | None = None
+    stale: DataFrame | None = None
+    fresh: DataFrame | None = None
 
 
 def chunk_objects(objects: DataFrame, *, limit: int = TOKEN_LIMIT, overlap: int = TOKEN_OVERLAP,
@@ -84,4 +90,4 @@ def sync(objects: DataFrame, chunks: DataFrame, *, prefix: str = "", dry_run: bo
     status = F.when(~is_todo, "kept").when(unread, "failed").when(F.col("n").isNull(), "empty").otherwise("done")
     ledger = (changes.filter(F.col("change") != "deleted").join(per_file.withColumnRenamed("source_path", "_path"), F.col("path") == F.col("_path"), "left")
               .select("path", "etag", status.alias("status")))
-    return SyncResult(kept.unionByName(fresh), changes, report, ledger)
+    return SyncResult(kept.unionByName(fresh), changes, report, ledger, stale, fresh)

@@ -1,4 +1,4 @@
-"""Watching a folder: a file stream for arrivals, a batch comparison for deletions."""
+"""Watching a folder by comparing its listing with a ledger, and late duplicates of a stream."""
 
 from __future__ import annotations
 
@@ -8,36 +8,57 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from mnemospark.plans.sync import CHUNK_SCHEMA, sync
+from mnemospark.session import durable
+from mnemospark.sources.keyed import KeyedTable
 from mnemospark.sources.objects import load_objects, scan_objects
-from mnemospark.sources.versions import read_version, write_version
 
 POLL_SECONDS = 10
-FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+FILE_SCHEMA = "path string, etag string, status string"
 
 
-def arrivals(spark: SparkSession, root: str) -> DataFrame:
-    """Stream of new and changed files below ``root``."""
-    return (spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("recursiveFileLookup", "true").load(root)
-            .select("path", "modificationTime", "length"))
+def chunk_table(spark: SparkSession, root: str, **layout) -> KeyedTable:
+    """The chunks below ``root``, by path."""
+    return KeyedTable(spark, f"{root.rstrip('/')}/chunks", CHUNK_SCHEMA, "source_path", **layout)
 
 
-def watch_objects(spark: SparkSession, root: str, table: str, checkpoint: str, *, interval: int = POLL_SECONDS,
-                  once: bool = False, on_change: Callable[[DataFrame], None] | None = None,
-                  **options) -> StreamingQuery:
-    """Keep the chunk table at ``table`` in line with ``root``.
+def file_table(spark: SparkSession, root: str, **layout) -> KeyedTable:
+    """The ledger below ``root``: every object seen, its ETag, and what came of it."""
+    return KeyedTable(spark, f"{root.rstrip('/')}/files", FILE_SCHEMA, "path", **layout)
 
-    File arrivals trigger a batch; the batch compares the whole listing with the table, so
-    deletions, which a file source does not report, are found as well. Only changed files are opened.
+
+def poll(spark: SparkSession, source: str, root: str, *, on_change: Callable[[DataFrame], None] | None = None,
+         retain: int | None = None, layout: dict | None = None, **options) -> bool:
+    """Bring the chunks and the ledger below ``root`` in line with the objects of ``source``; whether anything changed.
+
+    Listing and ledger are compared; only created and updated objects are opened, and only the slices of changed
+    paths are written. The chunks come first: if the ledger is not reached, the next poll does the same again.
+    """
+    chunks, files = chunk_table(spark, root, **layout or {}), file_table(spark, root, **layout or {})
+    done = sync(scan_objects(spark, source, with_content=False), chunks.read(), files=files.read(),
+                load=lambda wanted: load_objects(spark, source, wanted), **options)
+    changed = done.changes.filter(F.col("change") != "unchanged")
+    if changed.isEmpty():
+        return False
+    chunks.update(done.stale, durable(done.fresh))
+    touched = changed.select("path")
+    files.update(touched, durable(done.files.join(touched, "path", "left_semi")))
+    if retain is not None:
+        chunks.retain(retain)
+        files.retain(retain)
+    if on_change is not None:
+        on_change(changed)
+    return True
+
+
+def watch_objects(spark: SparkSession, source: str, root: str, checkpoint: str, *, interval: int = POLL_SECONDS,
+                  once: bool = False, **options) -> StreamingQuery:
+    """Poll ``source`` every ``interval`` seconds, or once.
+
+    The stream's source is the clock alone, so a deletion is noticed without any file arriving.
     """
-    def run(_: DataFrame, batch_id: int) -> None:
-        listing = scan_objects(spark, root, stat_etag=True)
-        done = sync(listing, read_version(spark, table, batch_id, CHUNK_SCHEMA),
-                    load=lambda wanted: load_objects(spark, root, wanted), **options)
-        write_version(done.chunks, table, batch_id + 1)
-        if on_change is not None:
-            on_change(done.changes.filter(F.col("change") != "unchanged"))
-
-    writer = arrivals(spark, root).writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).option("numPartitions", 1).load()
+    writer = (ticks.writeStream.foreachBatch(lambda _, batch_id: poll(spark, source, root, **options) and None)
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=f"{interval} seconds")
     return writer.start()
 

@@ -8,52 +8,92 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from mnemospark.plans.sync import CHUNK_SCHEMA
+from mnemospark.sources.keyed import KeyedTable
 from mnemospark.sources.objects import scan_objects
-from mnemospark.sources.versions import read_version
 from mnemospark.streaming import events, state, watch
 
 
+LAYOUT = {"slices": 4, "buckets": 2}
+
+
 def test_watch_folder(spark, tmp_path):
-    root, table, mark = tmp_path / "in", str(tmp_path / "table"), str(tmp_path / "mark")
-    root.mkdir()
-    (root / "a.txt").write_text("alpha beta")
-    (root / "b.txt").write_text("gone soon")
+    source, root, mark = tmp_path / "in", str(tmp_path / "table"), str(tmp_path / "mark")
+    source.mkdir()
+    (source / "a.txt").write_text("alpha beta")
+    (source / "b.txt").write_text("gone soon")
+    (source / "d.pdf").write_text("needs a parser")
     changes = []
-    run = lambda: watch.watch_objects(spark, str(root), table, mark, once=True, on_change=lambda df: changes.append(rows(df, "path", "change")), limit=1, overlap=0).awaitTermination(60)
+    run = lambda: watch.watch_objects(spark, str(source), root, mark, once=True, layout=LAYOUT, limit=1, overlap=0,
+                                      on_change=lambda df: changes.append(rows(df, "path", "change"))).awaitTermination(60)
+    chunks = lambda: watch.chunk_table(spark, root, **LAYOUT).read()
     run()
-    assert rows(read_version(spark, table, 1, CHUNK_SCHEMA), "content") == [" beta", " soon", "alpha", "gone"]
-    (root / "b.txt").unlink()
-    (root / "c.txt").write_text("new")
+    assert rows(chunks(), "content") == [" beta", " soon", "alpha", "gone"]
+    assert rows(watch.file_table(spark, root, **LAYOUT).read(), "path", "status") == [("a.txt", "done"), ("b.txt", "done"), ("d.pdf", "failed")]
+    run()  # nothing has changed, the object without chunks included
+    (source / "b.txt").unlink()
+    run()  # a deletion alone
+    (source / "c.txt").write_text("new")
     run()
-    assert rows(read_version(spark, table, 2, CHUNK_SCHEMA), "source_path") == ["a.txt", "a.txt", "c.txt"]
-    assert changes == [[("a.txt", "created"), ("b.txt", "created")], [("b.txt", "deleted"), ("c.txt", "created")]]
+    assert rows(chunks(), "source_path") == ["a.txt", "a.txt", "c.txt"]
+    assert changes == [[("a.txt", "created"), ("b.txt", "created"), ("d.pdf", "created")], [("b.txt", "deleted")], [("c.txt", "created")]]
+
+
+def test_watch_runs_on_its_own(spark, tmp_path):
+    source, root = tmp_path / "in", str(tmp_path / "table")
+    source.mkdir()
+    (source / "a.txt").write_text("alpha")
+    seen = []
+    query = watch.watch_objects(spark, str(source), root, str(tmp_path / "mark"), interval=1, layout=LAYOUT, retain=1, on_change=lambda df: seen.append(rows(df, "path", "change")))
+    try:
+        for wanted, act in ((1, lambda: (source / "a.txt").unlink()), (2, lambda: None)):
+            for _ in range(300):
+                assert query.exception() is None
+                if len(seen) >= wanted:
+                    break
+                time.sleep(0.2)
+            act()
+    finally:
+        query.stop()
+    assert seen == [[("a.txt", "created")], [("a.txt", "deleted")]]
 
 
 def test_event_stream_is_idempotent(spark, tmp_path):
-    root, table, queue = tmp_path / "objects", str(tmp_path / "table"), tmp_path / "queue"
+    root, queue, dead = tmp_path / "objects", tmp_path / "queue", str(tmp_path / "dead")
     (root / "docs").mkdir(parents=True)
     queue.mkdir()
     (root / "docs" / "a.txt").write_text("alpha")
     (root / "docs" / "b.txt").write_text("beta")
+    table = KeyedTable(spark, str(tmp_path / "table"), CHUNK_SCHEMA, "source_path", **LAYOUT)
+    sink = lambda **more: events.event_sink(table, lambda: scan_objects(spark, str(root)), "docs/", dead_letters=dead, **more)
 
-    def send(name, *messages):
+    def send(name, *messages, broken=0):
         lines = [json.dumps({"seq": s, "body": json.dumps({"Records": [{"eventName": e, "s3": {"object": {"key": k}}}]})}) for s, e, k in messages]
-        (queue / name).write_text("\n".join(lines))
+        (queue / name).write_text("\n".join(lines + [json.dumps({"seq": 100 + i, "body": "{broken"}) for i in range(broken)]))
 
-    def drain():
+    def drain(mark):
         stream = spark.readStream.schema("seq int, body string").json(str(queue))
-        sink = events.event_sink(table, lambda: scan_objects(spark, str(root)), "docs/")
-        stream.writeStream.foreachBatch(sink).option("checkpointLocation", str(tmp_path / "mark")).trigger(availableNow=True).start().awaitTermination(60)
+        stream.writeStream.foreachBatch(sink()).option("checkpointLocation", str(tmp_path / mark)).trigger(availableNow=True).start().awaitTermination(60)
 
-    send("1.json", (1, "ObjectCreated:Put", "docs/a.txt"), (2, "ObjectCreated:Put", "docs/b.txt"), (3, "ObjectCreated:Put", "docs/a.txt"))
-    drain()
-    assert rows(read_version(spark, table, 1, CHUNK_SCHEMA), "source_path", "content") == [("docs/a.txt", "alpha"), ("docs/b.txt", "beta")]
+    send("1.json", (1, "ObjectCreated:Put", "docs/a.txt"), (2, "ObjectCreated:Put", "docs/b.txt"), (3, "ObjectCreated:Put", "docs/a.txt"), broken=2)
+    drain("mark")
+    assert rows(table.read(), "source_path", "content") == [("docs/a.txt", "alpha"), ("docs/b.txt", "beta")]
+    assert rows(spark.read.parquet(dead), "seq", "body") == [(100, "{broken"), (101, "{broken")]
     send("2.json", (4, "ObjectRemoved:Delete", "docs/b.txt"), (5, "ObjectCreated:Put", "docs/a.txt"))
-    drain()
-    assert rows(read_version(spark, table, 2, CHUNK_SCHEMA), "source_path") == ["docs/a.txt"]
-    sink = events.event_sink(table, lambda: scan_objects(spark, str(root)), "docs/")
-    sink(spark.read.schema("seq int, body string").json(str(queue / "2.json")), 1)  # replay of the second batch
-    assert rows(read_version(spark, table, 2, CHUNK_SCHEMA), "source_path") == ["docs/a.txt"]
+    drain("mark")
+    assert rows(table.read(), "source_path") == ["docs/a.txt"] and table.last_commit() == 2
+    # A replay of a batch leaves the table and its log alone.
+    second = spark.read.schema("seq int, body string").json(str(queue / "2.json"))
+    sink(stream="own")(second, 7)
+    commits = table.last_commit()
+    sink(stream="own")(second, 7)
+    sink(stream="own")(spark.read.schema("seq int, body string").json(str(queue / "1.json")), 6)
+    assert rows(table.read(), "source_path") == ["docs/a.txt"] and table.last_commit() == commits
+    # A new checkpoint starts at batch 0 again and goes on from the table as it is.
+    (root / "docs" / "c.txt").write_text("gamma")
+    (queue / "1.json").unlink(), (queue / "2.json").unlink()
+    send("3.json", (6, "ObjectCreated:Put", "docs/c.txt"))
+    drain("another mark")
+    assert rows(table.read(), "source_path") == ["docs/a.txt", "docs/c.txt"]
 
 
 def test_duplicates_within_the_watermark(spark, tmp_path):
