@@ -18,6 +18,21 @@ def distinct_tokens(col: Column | str) -> Column:
     return F.array_distinct(tokens(col))
 
 
+def term_counts(toks: Column) -> Column:
+    """``array<struct<term, tf, doc_len>>`` of a token array: run lengths of the sorted tokens, null if there are none.
+
+    All inside the row, so that counting words moves nothing.
+    """
+    def runs(ordered: Column) -> Column:
+        n = F.size(ordered)
+        starts = F.filter(F.sequence(F.lit(1), n), lambda i: (i == 1) | (F.get(ordered, i - 1) != F.get(ordered, i - 2)))
+        # An array of one binds a value, which would otherwise be computed again for every element.
+        return F.get(F.transform(F.array(starts), lambda at: F.transform(at, lambda i, j: F.struct(
+            F.get(ordered, i - 1).alias("term"), (F.coalesce(F.get(at, j + 1), n + 1) - i).cast("bigint").alias("tf"), n.alias("doc_len")))), F.lit(0))
+
+    return F.get(F.transform(F.array(F.sort_array(toks)), lambda ordered: F.when(F.size(ordered) > 0, runs(ordered))), F.lit(0))
+
+
 def pieces(col: Column | str) -> Column:
     """Whitespace-led words whose concatenation is the text.
 

@@ -65,7 +65,7 @@ def hashed(expr: str, dims: int = 64) -> str:
 
 
 def docs(t: Tables) -> DataFrame:
-    return t.documents.withColumnRenamed("doc_id", "id")
+    return t.spread("documents", "doc_id", "text", "lang", "source", "n_chars").withColumnRenamed("doc_id", "id")
 
 
 def vecs(t: Tables) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from mnemospark.functions.vectors import cosine_similarity
@@ -9,7 +11,7 @@ from mnemospark.operators import chunking, embedding, hybrid, mmr, parents, text
 from mnemospark.operators.ranking import first_per_key, top_k
 from mnemospark.plans import fragments as fr
 from mnemospark.plans.registry import query
-from mnemospark.session import durable
+from mnemospark.session import durable, ensure_checkpoint_dir
 
 V1_HITS = f"""
 {fr.CENTROIDS},
@@ -153,6 +155,14 @@ def _(t):
     return text_search.bm25_topk(fr.text_queries(t), fr.docs(t), 10)
 
 
+@query("t2_block_topk", f"WITH {T2_HITS} SELECT query_id, id, rank, score FROM hits")
+def _(t):
+    """The same from a written block index."""
+    root = f"{ensure_checkpoint_dir(t.spark)}/blocks-{uuid.uuid4().hex}"
+    text_search.build_block_index(fr.docs(t), ["text"]).save(root, files=16)
+    return text_search.bm25_topk(fr.text_queries(t), text_search.BlockIndex.load(t.spark, root), 10)
+
+
 @query("t3_multi_field", f"""WITH
 tq AS (SELECT item_id AS query_id, text || ' src' || (item_id % 20) AS text FROM benchmark),
 d AS (SELECT doc_id AS id, 'text' AS field, text FROM documents

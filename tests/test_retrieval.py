@@ -264,3 +264,77 @@ def test_add_texts_keeps_given_ids(spark):
     df = spark.createDataFrame([("x", "hello"), (None, "world")], "id string, text string")
     got = {r["text"]: r for r in add_texts(df, dims=8).collect()}
     assert got["hello"]["id"] == "x" and len(got["world"]["id"]) == 64 and len(got["world"]["embedding"]) == 8
+
+
+@pytest.fixture(scope="module")
+def notes(spark):
+    """Texts of very different lengths over frequent and rare words, in file order by topic; some repeated, empty or null."""
+    rng = np.random.default_rng(11)
+    common, data = [f"c{i}" for i in range(12)], []
+    for topic in range(30):
+        rare = [f"t{topic}x{j}" for j in range(6)]
+        for _ in range(60):
+            n = int(rng.integers(1, 50))
+            words = rng.choice(common + rare, n, p=[0.06] * 12 + [0.28 / 6] * 6)
+            data.append((len(data), " ".join(words), str(rng.choice(["Harbour", "north pier"]))))
+    data += [(len(data) + i, t, "Harbour") for i, t in enumerate([None, "", "--", data[5][1], data[5][1], "C1 c1 C1"])]
+    return spark.createDataFrame(data, "id long, text string, place string").repartitionByRange(3, "id").cache()
+
+
+@pytest.fixture(scope="module")
+def searches(spark):
+    data = [("rare", "t3x1 t3x2 t3x1"), ("mixed", "c1 t7x0"), ("common", "c1 c2 c3 c4"), ("place", "north t1x1"), ("none", "unheard of"), ("empty", ""), (None, "c5 t9x1")]
+    return spark.createDataFrame(data, "query_id string, text string")
+
+
+@pytest.mark.parametrize("fields", [["text"], ["text", "place"]])
+def test_block_search_equals_scoring_every_match(spark, notes, searches, tmp_path, fields):
+    whole = text_search.bm25_topk(searches, text_search.build_text_index(notes, fields), 10, fields=fields).collect()
+    text_search.build_block_index(notes, fields).save(str(tmp_path / "ix"), files=3)
+    index = text_search.BlockIndex.load(spark, str(tmp_path / "ix"))
+    assert sorted(map(tuple, text_search.bm25_topk(searches, index, 10, fields=fields).collect()), key=str) == sorted(map(tuple, whole), key=str)
+    scanned = text_search.bm25_topk(searches, notes, 10, fields=fields).collect()
+    assert sorted(map(tuple, scanned), key=str) == sorted(map(tuple, whole), key=str)
+    assert rows(text_search.bm25_topk(searches, index, None, fields=fields), "query_id", "id", "score") == rows(text_search.bm25_topk(searches, notes, None, fields=fields), "query_id", "id", "score")
+
+
+def test_block_search_opens_few_blocks(spark, notes, searches, monkeypatch):
+    monkeypatch.setattr(text_search, "BLOCK_DOCS", 16)
+    monkeypatch.setattr(text_search, "FIRST_BLOCKS", 2)
+    built = text_search.build_block_index(notes, ["text"])
+    index = text_search.BlockIndex(built.blocks.cache(), built.stats, built.fields)
+    opened = []
+    assert text_search.pruned_topk(searches, index, 5, opened=opened).count() > 0
+    terms = text_search.query_terms(searches)
+    postings = lambda pairs: dict(pairs.join(terms, "query_id").join(index.blocks, ["term", "block"]).groupBy("query_id").agg(F.sum("df")).collect())
+    held = index.blocks.join(terms, "term").select("query_id", "block").distinct()
+    read, there = postings(opened[0].unionByName(opened[1])), postings(held)
+    # A rare word beside a frequent one leaves most of the frequent one's postings unread; frequent words alone do not.
+    assert read["mixed"] < 0.25 * there["mixed"] and sum(read.values()) < sum(there.values())
+    assert opened[0].join(opened[1], ["query_id", "block"]).isEmpty()  # none is opened twice
+
+
+def test_block_search_filters_before_the_limit(spark, notes, searches):
+    keep = text_search.matching_ids(notes, F.col("id") % 7 == 3)
+    index = text_search.build_block_index(notes, ["text"])
+    index = text_search.BlockIndex(index.blocks.cache(), index.stats, index.fields)
+    assert rows(text_search.bm25_topk(searches, index, 6, keep_ids=keep)) == rows(text_search.bm25_topk(searches, notes, 6, keep_ids=keep))
+
+
+def test_scan_in_small_steps_equals_the_index(spark, notes, searches, monkeypatch):
+    from mnemospark.operators import text_scan
+    want = rows(text_search.bm25_topk(searches, text_search.build_text_index(notes, ["text"]), 7))
+    ranked = text_scan.Ranked(1, 2)
+    for ids, scores in (([5, 3], [1.0, 1.0]), ([9, None, 1], [0.0, 1.0, 0.5]), ([4], [2.0])):
+        ranked.add(np.array([scores]), ids)
+    assert [(i, -s) for s, _, i in ranked.hits[0]] == [(4, 2.0), (None, 1.0)]
+    assert rows(text_search.bm25_topk(searches, notes, 7)) == want
+    assert text_search.bm25_topk(searches, notes.limit(0), 7).count() == 0
+    assert text_search.bm25_topk(searches.limit(0), notes, 7).count() == 0
+
+
+def test_counting_words_moves_nothing(spark, notes):
+    plan = text_search.build_text_index(notes, ["text"]).postings._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.split("InMemoryTableScan")[0]
+    counted = text_search.build_text_index(notes, ["text"]).postings.filter("term = 'c1' AND id > 1800").collect()
+    assert {(r.id, r.tf, r.doc_len) for r in counted} >= {(1805, 3, 3)}
