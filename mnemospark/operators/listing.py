@@ -69,7 +69,13 @@ def dedupe_matches(hits: DataFrame, order: list[Column], keys: tuple[str, ...] =
 def grep_literal(chunks: DataFrame, pattern: str, path: str = "", glob_pattern: str = "", *,
                  limit: int | None = None) -> DataFrame:
     """Chunks holding the literal, ignoring case: ``(source_path, line_start, content)``."""
-    found = chunks.filter(_in_scope(path, glob_pattern) & contains_ignore_case("content", pattern))
+    return matches_in_scope(chunks, contains_ignore_case("content", pattern), path, glob_pattern, limit=limit)
+
+
+def matches_in_scope(chunks: DataFrame, test: Column, path: str = "", glob_pattern: str = "", *,
+                     limit: int | None = None) -> DataFrame:
+    """Chunks below ``path`` that pass a test, the first of each path and line, in order."""
+    found = chunks.filter(_in_scope(path, glob_pattern) & test)
     once = dedupe_matches(found.select("source_path", "line_start", "chunk_index", "content"),
                           [F.asc("chunk_index")])
     return _first(once.orderBy("source_path", "line_start"), limit).select("source_path", "line_start", "content")

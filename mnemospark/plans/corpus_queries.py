@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from mnemospark.operators import chunking, listing
+from mnemospark.operators import chunking, listing, trigrams
 from mnemospark.plans import fragments as fr
 from mnemospark.plans.registry import query
 from mnemospark.plans.sync import CHUNK_SCHEMA, chunk_objects, sync
-from mnemospark.session import durable
+from mnemospark.session import durable, ensure_checkpoint_dir
 from mnemospark.streaming import events
 
 _PIECES = r"regexp_extract_all(text, '\s*\S+\s*\z|\s*\S+|\A\s+\z')"
@@ -148,6 +150,25 @@ def _(t):
     return listing.grep_literal(chunk_table(t, False), "And The", glob_pattern="*[0-4].txt")
 
 
+def _grep_index(t):
+    """The chunks of all documents with a trigram index, in the shared folder."""
+    return trigrams.build_trigram_index(chunk_table(t, False), f"{ensure_checkpoint_dir(t.spark)}/trigrams-{uuid.uuid4().hex}")
+
+
+@query("c7_grep_indexed", f"""WITH {_CHUNKS} SELECT source_path, line_start, content FROM (
+  SELECT *, row_number() OVER (PARTITION BY source_path, line_start ORDER BY w) AS o FROM ck
+  WHERE contains(lower(content), 'worthless')) WHERE o = 1""")
+def _(t):
+    return trigrams.grep_indexed(_grep_index(t), "Worthless")
+
+
+@query("c7_grep_regex", f"""WITH {_CHUNKS} SELECT source_path, line_start, content FROM (
+  SELECT *, row_number() OVER (PARTITION BY source_path, line_start ORDER BY w) AS o FROM ck
+  WHERE regexp_matches(content, 'under (the|CC) [A-Z]+[- ][A-Za-z]+')) WHERE o = 1""")
+def _(t):
+    return trigrams.grep_indexed(_grep_index(t), "under (the|CC) [A-Z]+[- ][A-Za-z]+", glob_pattern="*", regex=True)
+
+
 @query("c8_grep_hybrid", f"""WITH {_CHUNKS},
 gq AS (SELECT item_id AS query_id, text, {fr.hashed('text')} AS vector FROM benchmark),
 d AS (SELECT id, 'content' AS field, content AS text FROM ck), {fr.bm25('gq', 'd')},
