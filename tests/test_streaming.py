@@ -2,11 +2,13 @@
 
 import datetime as dt
 import json
+import os
 import time
 
 from helpers import rows
 from pyspark.sql import functions as F
 
+from mnemospark.operators import memory
 from mnemospark.plans.sync import CHUNK_SCHEMA
 from mnemospark.sources.keyed import KeyedTable
 from mnemospark.sources.objects import scan_objects
@@ -166,3 +168,92 @@ def test_keyed_state_expires(spark, tmp_path):
 def test_ntz_times_are_accepted(spark):
     df = spark.range(1).select(F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz").alias("ts"), F.lit(1).alias("k"))
     assert dict(watch.drop_duplicates(df, ["k"], "ts").dtypes)["ts"] == "timestamp"
+
+
+def feed(spark, tmp_path, schema, *batches):
+    """A stream with one micro-batch per list of rows."""
+    folder = tmp_path / "feed"
+    folder.mkdir(exist_ok=True)
+    names = [f.split()[0] for f in schema.split(", ")]
+    for i, batch in enumerate(batches):
+        path = folder / f"{i}.json"
+        path.write_text("\n".join(json.dumps(dict(zip(names, r))) for r in batch))
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(folder))
+
+
+def drained(spark, tmp_path, stream, name, mode):
+    (stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", str(tmp_path / name))
+     .trigger(availableNow=True).start().awaitTermination(120))
+    return spark.table(name)
+
+
+def test_history_state_equals_the_batch_operator(spark, tmp_path):
+    schema = "session_id string, seq bigint, message string"
+    batches = [[("a", 5, "five"), ("a", 1, "one"), ("b", 1, "only")], [("a", 3, "three"), ("a", 4, "four")],
+               [("a", 2, "late and too old"), ("a", 5, "five"), ("b", 0, "late")], [("a", 4, "four again")]]
+    got = drained(spark, tmp_path, state.history_state(feed(spark, tmp_path, schema, *batches), 3), "history", "update").collect()
+    last = {r.session_id: [tuple(m) for m in r.messages] for r in got}  # in the order of the batches
+    kept = {(s, q): (s, q, m) for batch in batches for s, q, m in batch}
+    want = memory.messages(spark.createDataFrame(list(kept.values()), schema), 3).collect()
+    assert last == {s: [(r.seq, r.message) for r in want if r.session_id == s] for s in ("a", "b")}
+    assert len([r for r in got if r.session_id == "a"]) == 3  # the third batch changed nothing of a
+
+
+def test_cache_state_equals_the_batch_operator(spark, tmp_path):
+    schema = "prompt string, llm string, seq bigint, return_val string, put boolean"
+    batches = [[("p", "m", 1, "x", True), ("p", "m", 2, None, False), ("p", "n", 3, None, False), ("q", "m", 4, None, False)],
+               [("p", "m", 6, "y", True), ("p", "n", 5, "z", True), ("p", "m", 7, None, False)],
+               [("p", "m", 2, "late", True), ("p", "m", 8, None, False), ("p", "n", 9, None, False)]]
+    got = drained(spark, tmp_path, state.cache_state(feed(spark, tmp_path, schema, *batches)), "cache", "append")
+    assert rows(got, "seq", "return_val", "hit") == [(2, "x", True), (3, None, False), (4, None, False), (7, "y", True), (8, "y", True), (9, "z", True)]
+    puts = spark.createDataFrame([(p, m, s, [v]) for batch in batches for p, m, s, v, put in batch if put], "prompt string, llm string, seq bigint, generations array<string>")
+    empty = spark.createDataFrame([], "prompt string, llm string, return_val string")
+    asked = spark.createDataFrame([("p", "m"), ("p", "n"), ("q", "m")], "prompt string, llm string")
+    batch = memory.cache_lookup(memory.cache_update(empty, puts, seq="seq"), asked).collect()
+    final = {(r.prompt, r.llm): r.return_val for r in got.orderBy("seq").collect()}
+    assert {k: None if v is None else [v] for k, v in final.items()} == {(r.prompt, r.llm): None if r.return_val is None else json.loads(r.return_val) for r in batch}
+
+
+def test_ledger_state_tells_expiries(spark, tmp_path):
+    schema = "namespace string, key string, group_id string, updated_at timestamp"
+    at = lambda minute: f"2024-05-01T10:{minute:02d}:00Z"
+    batches = [[("n", "a", "g", at(0)), ("n", "b", "g", at(1)), ("o", "a", None, at(2))], [("n", "a", "h", at(5)), ("n", "a", "late", at(3))],
+               [("n", "c", "g", at(20))], [("n", "d", "g", at(40))]]
+    stream = state.ledger_state(feed(spark, tmp_path, schema, *batches), 600, "1 minute", parts=4)
+    got = drained(spark, tmp_path, stream, "ledger", "append").collect()
+    indexed = sorted((r.namespace, r.key, r.group_id or "", r.updated_at.minute) for r in got if r.change == "indexed")
+    assert indexed == [("n", "a", "g", 0), ("n", "a", "h", 5), ("n", "a", "late", 3), ("n", "b", "g", 1), ("n", "c", "g", 20), ("n", "d", "g", 40), ("o", "a", "", 2)]
+    # The update of a at minute 5 put its expiry off; d is still there.
+    assert sorted((r.namespace, r.key, r.updated_at.minute) for r in got if r.change == "expired") == [("n", "a", 5), ("n", "b", 1), ("n", "c", 20), ("o", "a", 2)]
+    empty = spark.createDataFrame([], "namespace string, key string, group_id string, updated_at double")
+    held = [r for batch in batches for r in batch if r[0] == "n"]
+    ledger = memory.ledger_update(empty, "n", spark.createDataFrame([(k, g, t) for _, k, g, t in held], "key string, group_id string, seq string"), 0.0, seq="seq")
+    batch = {(r.key, r.group_id) for r in ledger.collect()}
+    latest = {}
+    for r in sorted((r for r in got if r.change == "indexed" and r.namespace == "n"), key=lambda r: r.updated_at):
+        latest[r.key] = r.group_id
+    assert set(latest.items()) == batch
+
+
+def test_history_state_expires(spark, tmp_path):
+    schema = "session_id string, seq bigint, message string"
+    stream = state.history_state(feed(spark, tmp_path, schema, [("a", 1, "x")]), 5, 8)
+    query = stream.writeStream.format("memory").queryName("forgetting").outputMode("update").option("checkpointLocation", str(tmp_path / "m")).trigger(processingTime="200 milliseconds").start()
+    try:
+        def seen(n):
+            for _ in range(300):
+                assert query.exception() is None
+                if spark.table("forgetting").count() >= n:
+                    return
+                time.sleep(0.2)
+            raise AssertionError(n)
+        seen(1)
+        (tmp_path / "feed" / "9.json").write_text(json.dumps({"session_id": "a", "seq": 2, "message": "y"}))
+        seen(2)
+        time.sleep(10)
+        (tmp_path / "feed" / "99.json").write_text(json.dumps({"session_id": "a", "seq": 3, "message": "z"}))
+        seen(3)
+    finally:
+        query.stop()
+    assert sorted([[m.seq for m in r.messages] for r in spark.table("forgetting").collect()], key=lambda x: x[-1]) == [[1], [1, 2], [3]]
