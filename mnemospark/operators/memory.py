@@ -19,17 +19,18 @@ def add_messages(history: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def messages(history: DataFrame, history_size: int | None = None) -> DataFrame:
-    """Messages in order; ``history_size`` keeps the last N of every session.
+    """Messages, each session in order; ``history_size`` keeps the last N of every session.
 
-    The limit is taken per partition before the shuffle, so a very long session does not move.
+    The limit is taken per partition before the shuffle, so a very long session does not move. Sessions stand
+    whole and in order inside a partition; sort the result for an order over all of them.
     """
     if history_size is None:
-        return history.orderBy("session_id", "seq")
+        return history.repartition("session_id").sortWithinPartitions("session_id", "seq")
     if history_size <= 0:
         return history.limit(0)
     newest = W.partitionBy("session_id").orderBy(F.desc("seq"))
     return (history.withColumn("_n", F.row_number().over(newest))
-            .filter(F.col("_n") <= history_size).drop("_n").orderBy("session_id", "seq"))
+            .filter(F.col("_n") <= history_size).drop("_n").sortWithinPartitions("session_id", "seq"))
 
 
 def clear_sessions(history: DataFrame, sessions: DataFrame) -> DataFrame:

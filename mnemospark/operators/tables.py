@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from mnemospark.operators.ranking import number_all
+
 
 def get_by_ids(df: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFrame:
     """Rows with the asked ids; missing ids are dropped, repeated ids count once."""
@@ -100,3 +102,16 @@ def expire(items: DataFrame, ttl_seconds: float, now: Column, col: str = "update
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys held by more than one row, for uniqueness checks."""
     return df.groupBy(*keys).agg(F.count("*").alias("copies")).filter("copies > 1")
+
+
+def push_in_order(base: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[Column], *, at: str = "at") -> DataFrame:
+    """``base(keys, at, ...)`` with the ``new`` rows appended to the list of their key, in ``order``.
+
+    Lists are rows with a position from 0, so that a list of any length is spread over tasks; a key without
+    a list gets one.
+    """
+    keys = list(keys)
+    sizes = narrowed(base.select(*keys, at), new.select(*keys).distinct(), keys).groupBy(*keys).agg((F.max(at) + 1).alias("_size"))
+    numbered = number_all(new, keys, list(order), "_n").join(sizes, keys, "left")
+    place = (F.coalesce(F.col("_size"), F.lit(0)) + F.col("_n") - 1).cast(base.schema[at].dataType)
+    return base.unionByName(numbered.withColumn(at, place).select(*base.columns))

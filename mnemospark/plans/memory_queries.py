@@ -26,9 +26,9 @@ def items(t):
 
 
 @query("m1_store_get", f"""WITH {_ITEMS} SELECT ns_str, key, value FROM items JOIN
-  (SELECT DISTINCT 'users/' || c_custkey || '/click' AS ns_str FROM customer WHERE c_acctbal > 0) USING (ns_str)""")
+  (SELECT DISTINCT 'users/' || c_custkey || '/click' AS ns_str FROM customer) USING (ns_str)""")
 def _(t):
-    keys = t.customer.filter("c_acctbal > 0").select(F.concat(F.lit("users/"), F.col("c_custkey"), F.lit("/click")).alias("ns_str"))
+    keys = t.customer.select(F.concat(F.lit("users/"), F.col("c_custkey"), F.lit("/click")).alias("ns_str"))
     asked = items(t).select("ns_str", "key").join(keys, "ns_str")
     return store.store_get(items(t), asked).select("ns_str", "key", "value")
 
@@ -163,16 +163,18 @@ def saved(t):
 
 
 def writes_of(t):
-    """Two pending writes for every event with a large value."""
-    return (t.events.filter("value > 20").select(
+    """A pending write for every event, two for one with a large value."""
+    channels = F.when(F.col("value") > 20, F.array(F.lit("out"), F.lit("__error__"))).otherwise(F.array(F.lit("out")))
+    return (t.events.select(
         F.concat(F.lit("user "), F.col("user_id")).alias("thread_id"), F.col("event_type").alias("checkpoint_ns"), _ident().alias("checkpoint_id"),
-        F.lit("task").alias("task_id"), F.posexplode(F.array(F.lit("out"), F.lit("__error__"))).alias("pos", "channel"),
+        F.lit("task").alias("task_id"), F.posexplode(channels).alias("pos", "channel"),
         F.lit("").alias("task_path"), F.lit("json").alias("type"), F.col("props").alias("value"), F.col("ts").alias("created_at"))
         .withColumn("idx", checkpoints.write_index("channel", "pos")).drop("pos"))
 
 
 _WR = """wr AS (SELECT 'user ' || user_id AS thread_id, event_type AS checkpoint_ns, lpad(CAST(event_id AS VARCHAR), 12, '0') AS checkpoint_id, 'task' AS task_id,
-  unnest(['out', '__error__']) AS channel, unnest([0, -1]) AS idx, props AS value FROM events WHERE value > 20)"""
+  unnest(CASE WHEN value > 20 THEN ['out', '__error__'] ELSE ['out'] END) AS channel,
+  unnest(CASE WHEN value > 20 THEN [0, -1] ELSE [0] END) AS idx, props AS value FROM events)"""
 
 
 @query("k1_put_checkpoint", f"""WITH {_CK} SELECT thread_id, checkpoint_ns, checkpoint_id, CASE WHEN checkpoint_ns = 'purchase' THEN 'v2' ELSE 'json' END AS type FROM ck
@@ -197,12 +199,12 @@ def _calls(t):
 
 @query("k2_put_writes", """WITH calls AS (SELECT o_orderkey AS call, CAST(o_custkey AS VARCHAR) AS thread_id, o_orderkey % 3 = 0 AS replaces,
   unnest(CASE o_orderkey % 3 WHEN 0 THEN [-1, -3] WHEN 1 THEN [-1, 1] ELSE [0, 1] END) AS idx, o_orderpriority || ' ' || o_orderkey AS value FROM orders),
-base AS (SELECT CAST(c_custkey AS VARCHAR) AS thread_id, unnest([-1, 0]) AS idx, c_name AS value FROM customer WHERE c_acctbal > 0)
+base AS (SELECT CAST(c_custkey AS VARCHAR) AS thread_id, unnest([-1, 0]) AS idx, c_name AS value FROM customer)
 SELECT thread_id, idx::INT AS idx, coalesce(max(last), max(base), max(first)) AS value FROM (
   SELECT thread_id, idx, arg_max(value, call) FILTER (WHERE replaces) AS last, arg_min(value, call) AS first, NULL AS base FROM calls GROUP BY thread_id, idx
   UNION ALL SELECT thread_id, idx, NULL, NULL, value FROM base) GROUP BY thread_id, idx""")
 def _(t):
-    base = t.customer.filter("c_acctbal > 0").select(
+    base = t.customer.select(
         F.col("c_custkey").cast("string").alias("thread_id"), F.lit("").alias("checkpoint_ns"), F.lit("1").alias("checkpoint_id"), F.lit("task").alias("task_id"),
         F.explode(F.array(F.lit(-1), F.lit(0))).alias("idx"), F.lit("").alias("task_path"), F.lit("old").alias("channel"), F.lit("json").alias("type"),
         F.col("c_name").alias("value"), F.to_timestamp_ntz(F.lit(NOW)).alias("created_at"))
@@ -286,11 +288,11 @@ def _history(t):
 
 
 @query("b1_messages", """SELECT session_id, seq FROM (SELECT conv_id AS session_id, turn AS seq, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS n
-  FROM (SELECT conv_id, turn FROM conversations UNION ALL SELECT conv_id, turn + 100 FROM conversations WHERE role = 'user')
+  FROM (SELECT conv_id, turn FROM conversations UNION ALL SELECT conv_id, turn + 100 FROM conversations)
   WHERE conv_id NOT IN (SELECT item_id FROM benchmark)) WHERE n <= 3""")
 def _(t):
     history = _history(t)
-    more = t.conversations.filter("role = 'user'").select(F.col("conv_id").alias("session_id"), (F.col("turn") + 100).alias("seq"), F.col("text").alias("message"))
+    more = t.conversations.select(F.col("conv_id").alias("session_id"), (F.col("turn") + 100).alias("seq"), F.col("text").alias("message"))
     cleared = memory.clear_sessions(memory.add_messages(history, more), t.benchmark.select(F.col("item_id").alias("session_id")))
     return memory.messages(cleared, 3).select("session_id", "seq")
 
@@ -303,14 +305,15 @@ def _(t):
 # ---- caches ---------------------------------------------------------------------------------
 
 def _cache(t):
-    old = t.conversations.filter("role = 'user'").select(F.col("text").alias("prompt"), F.lit("m1").alias("llm"), F.array("role").alias("generations"), (F.col("conv_id") * 1000 + F.col("turn")).alias("seq"))
-    new = t.conversations.filter("turn >= 2").select(F.col("text").alias("prompt"), F.lit("m1").alias("llm"), F.array(F.lit("again"), F.col("conv_id").cast("string")).alias("generations"), (F.col("conv_id") * 1000 + F.col("turn")).alias("seq"))
+    old = t.conversations.select(F.col("text").alias("prompt"), F.lit("m1").alias("llm"), F.array("role").alias("generations"), (F.col("conv_id") * 1000 + F.col("turn")).alias("seq"))
+    again = F.when(F.col("turn") >= 2, F.col("text")).otherwise(F.concat("text", F.lit(" again")))  # known prompts and new ones
+    new = t.conversations.select(again.alias("prompt"), F.lit("m1").alias("llm"), F.array(F.lit("again"), F.col("conv_id").cast("string")).alias("generations"), (F.col("conv_id") * 1000 + F.col("turn")).alias("seq"))
     empty = t.spark.createDataFrame([], "prompt string, llm string, return_val string")
     return memory.cache_update(memory.cache_update(empty, old, seq="seq"), new, seq="seq")
 
 
-_CACHE = """old AS (SELECT text AS prompt, '["user"]' AS return_val FROM conversations WHERE role = 'user' GROUP BY text),
-new AS (SELECT text AS prompt, '["again","' || arg_max(conv_id, conv_id * 1000 + turn) || '"]' AS return_val FROM conversations WHERE turn >= 2 GROUP BY text),
+_CACHE = """old AS (SELECT text AS prompt, '["' || arg_max(role, conv_id * 1000 + turn) || '"]' AS return_val FROM conversations GROUP BY text),
+new AS (SELECT CASE WHEN turn >= 2 THEN text ELSE text || ' again' END AS prompt, '["again","' || arg_max(conv_id, conv_id * 1000 + turn) || '"]' AS return_val FROM conversations GROUP BY 1),
 cache AS (SELECT coalesce(old.prompt, new.prompt) AS prompt, 'm1' AS llm, coalesce(new.return_val, old.return_val) AS return_val FROM old FULL OUTER JOIN new ON old.prompt = new.prompt)"""
 
 

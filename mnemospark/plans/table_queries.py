@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from mnemospark.functions import filters, paths, text, values
-from mnemospark.operators import store, tables
+from mnemospark.operators import checkpoints, store, tables
 from mnemospark.operators.ranking import first_per_key
 from mnemospark.plans import fragments as fr
 from mnemospark.plans.registry import query
+from mnemospark.session import ensure_checkpoint_dir
 from mnemospark.sources import documents, objects
 
 # ---- sources ------------------------------------------------------------------------------
@@ -25,9 +28,14 @@ def _(t):
     return loaded.withColumnRenamed("o_custkey", "o_custkey_text")
 
 
-@query("s2_scan_objects")
+@query("s2_scan_objects", """SELECT 'source=' || source || '/lang=' || lang AS folder, sum(octet_length(encode(text)) + 1)::BIGINT AS bytes
+FROM documents GROUP BY source, lang""")
 def _(t):
-    return objects.scan_objects(t.spark, t.folder, with_content=False)
+    """Documents written as text files by source and language, then listed; a line break ends each."""
+    root = f"{ensure_checkpoint_dir(t.spark)}/files-{uuid.uuid4().hex}"
+    t.documents.select("source", "lang", "text").write.partitionBy("source", "lang").text(root)
+    listed = objects.scan_objects(t.spark, root, with_content=False)
+    return listed.groupBy(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).agg(F.sum("length").alias("bytes"))
 
 
 @query("s3_read_lines", r"""WITH l AS (SELECT doc_id, string_split(replace(regexp_replace(text, '\r?\n\z', ''), chr(13) || chr(10), chr(10)), chr(10)) AS ls
@@ -86,9 +94,9 @@ def _(t):
   FROM events GROUP BY user_id)
 SELECT coalesce(c.c_custkey, up.c_custkey) AS c_custkey, coalesce(up.c_mktsegment, c.c_mktsegment) AS c_mktsegment,
   CASE WHEN c.c_custkey IS NULL THEN up.c_acctbal ELSE c.c_acctbal END AS c_acctbal
-FROM (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING') c FULL OUTER JOIN up ON c.c_custkey = up.c_custkey""")
+FROM (SELECT c_custkey * 2 AS c_custkey, c_mktsegment, c_acctbal FROM customer) c FULL OUTER JOIN up ON c.c_custkey = up.c_custkey""")
 def _(t):
-    base = t.customer.filter("c_mktsegment <> 'BUILDING'").select("c_custkey", "c_mktsegment", "c_acctbal")
+    base = t.customer.select((F.col("c_custkey") * 2).alias("c_custkey"), "c_mktsegment", "c_acctbal")  # every other user is new
     updates = t.events.select(F.col("user_id").alias("c_custkey"), F.col("event_type").alias("c_mktsegment"),
                               F.col("value").alias("c_acctbal"), "event_id")
     return tables.upsert(base, updates, ["c_custkey"], ["c_mktsegment"], ["c_acctbal"], seq="event_id")
@@ -203,10 +211,15 @@ def _(t):
     return tables.lookup_in_order(asked, names, "key")
 
 
-@query("j4_pending_writes", """SELECT c_custkey, c_name, o_orderkey FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'P') ON o_custkey = c_custkey""")
+@query("j4_pending_writes", """SELECT CAST(c_custkey AS VARCHAR) AS thread_id, c_name, CAST(o_orderkey AS VARCHAR) AS task_id, o_orderstatus AS channel, o_orderpriority AS write_value
+FROM customer LEFT JOIN orders ON o_custkey = c_custkey""")
 def _(t):
-    pending = t.orders.filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
-    return t.customer.select("c_custkey", "c_name").join(pending, "c_custkey", "left")
+    """Customers as checkpoints, their orders as pending writes."""
+    where = [F.lit("").alias("checkpoint_ns"), F.lit("1").alias("checkpoint_id")]
+    saved = t.customer.select(F.col("c_custkey").cast("string").alias("thread_id"), *where, "c_name")
+    writes = t.orders.select(F.col("o_custkey").cast("string").alias("thread_id"), *where, F.col("o_orderkey").cast("string").alias("task_id"),
+                             F.lit(0).alias("idx"), F.col("o_orderstatus").alias("channel"), F.col("o_orderpriority").alias("value"))
+    return checkpoints.with_writes(saved, writes).select("thread_id", "c_name", "task_id", "channel", "write_value")
 
 
 # ---- aggregates ---------------------------------------------------------------------------
@@ -228,11 +241,14 @@ def _(t):
     return t.events.select(F.col("user_id").alias("id"), F.explode(pairs).alias("key", "value")).distinct()
 
 
-@query("a4_push_in_order", """SELECT src, seq, pos::INT AS pos, dst FROM (SELECT user_id AS src, event_id AS seq, unnest([0, 1]) AS pos,
-  unnest([event_type, CAST(event_id AS VARCHAR)]) AS dst FROM events)""")
+@query("a4_push_in_order", """WITH pushed AS (SELECT user_id AS src, event_id AS seq, unnest([0, 1]) AS pos, unnest([event_type, CAST(event_id AS VARCHAR)]) AS dst FROM events)
+SELECT c_custkey AS src, 0::BIGINT AS at, c_name AS dst FROM customer
+UNION ALL SELECT src, row_number() OVER (PARTITION BY src ORDER BY seq, pos) - 1 + (SELECT count(*) FROM customer WHERE c_custkey = src) AS at, dst FROM pushed""")
 def _(t):
-    return t.events.select(F.col("user_id").alias("src"), F.col("event_id").alias("seq"),
-                           F.posexplode(F.array(F.col("event_type"), F.col("event_id").cast("string"))).alias("pos", "dst"))
+    base = t.customer.select(F.col("c_custkey").alias("src"), F.lit(0).cast("bigint").alias("at"), F.col("c_name").alias("dst"))
+    pushed = t.events.select(F.col("user_id").alias("src"), F.col("event_id").alias("seq"),
+                             F.posexplode(F.array(F.col("event_type"), F.col("event_id").cast("string"))).alias("pos", "dst"))
+    return tables.push_in_order(base, pushed, ["src"], [F.asc("seq"), F.asc("pos")])
 
 
 @query("a5_count_sum", """SELECT c_mktsegment, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment""")
@@ -263,9 +279,9 @@ def _(t):
     return t.events.select("event_id", "ts").orderBy(F.desc("ts"), "event_id").limit(50)
 
 
-@query("l3_keyed_limit", "SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 0 ORDER BY c_custkey LIMIT 100")
+@query("l3_keyed_limit", "SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 100")
 def _(t):
-    return t.customer.filter("c_acctbal > 0").select("c_custkey", "c_name").orderBy("c_custkey").limit(100)
+    return t.customer.select("c_custkey", "c_name").orderBy("c_custkey").limit(100)
 
 
 @query("l4_skip", "SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 30 OFFSET 20")
