@@ -12,9 +12,10 @@ time only up to a horizon after which no place can change; it is doubled while a
 Steps: equal texts fall together by hash, one stays for them. Signatures are cut into ``BANDS`` bands;
 texts that share a band form a bucket, whose head is compared exactly with every other member. By the
 triangle inequality these similarities tell which members may have links that the head does not show.
-Those, whatever their number, go through a prefix join: two near texts share one of the rarest
-shingles of each, enough of which are taken that none can be lost. Pairs within a bucket are never spelled
-out. Links become classes.
+Those, whatever their number, are described by how they differ from the head: two near texts, one of which misses the
+head, share a part of these differences, so one of the rarest of each; enough are taken that none can be lost. Copies of
+one text that are too far from it and from each other differ in places of their own and do not meet. Pairs within a
+bucket are never spelled out. Links become classes.
 
 Null, empty and blank texts have no shingles and stay alone; texts of fewer words than a shingle are
 near only to equal word sequences. Rows with a null id are left out. Repeated ids count once; an id with
@@ -32,11 +33,13 @@ from pyspark.sql import DataFrame, functions as F
 from mnemospark.llm import shingles
 from mnemospark.llm.components import components
 from mnemospark.llm.staging import stage
+from mnemospark.session import sized
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 4  # a pair at 0.8 shares no band with a chance of 5e-8
 PLACES = BANDS * ROWS
 HAS_WORDS = r"[^\x20\x09-\x0D]"
+BORDER = 0.5  # similarity to a head from which on a text is described by its differences from it
 PIECE = 128  # texts worked on together
 
 
@@ -147,12 +150,18 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(common, pa.int64())], ["a", "b", "common"])
 
 
+def _side_by_side(pairs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The two bags of each pair (a, b); bags that no pair asks for stay where they are."""
+    asked = sized(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    kept = kept.join(asked, "id", "left_semi")
+    left, right = (kept.select(F.col("id").alias(s), F.col("bag").alias("bag_" + s)) for s in "ab")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "bag_a", "bag_b")
+
+
 def _verified(pairs: DataFrame, kept: DataFrame) -> DataFrame:
     """Pairs (a, b, size_a, size_b) with their exact similarity."""
-    left, right = (kept.select(F.col("id").alias(s), F.col("bag").alias("bag_" + s)) for s in "ab")
     # Bags travel as compact arrays; a batch is kept small, since bags may be long.
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "bag_a", "bag_b")
-    common = both.mapInArrow(_compare, "a long, b long, common long")
+    common = _side_by_side(pairs, kept).mapInArrow(_compare, "a long, b long, common long")
     sized = common.join(pairs.select("a", "b", "size_a", "size_b"), ["a", "b"])
     return sized.select("a", "b", (F.col("common") / (F.col("size_a") + F.col("size_b") - F.col("common"))).alias("similarity"))
 
@@ -178,13 +187,13 @@ def near_classes(docs: DataFrame, text_col: str = "text", key: str = "doc_id", s
     pairs = members.groupBy("a", "b").agg(F.first("size_a").alias("size_a"), F.first("size_b").alias("size_b"))
     possible = stage(pairs.where(ratio >= similarity), "near-pairs")
     wanted = members.select(F.col("a").alias("id")).union(members.select(F.col("b").alias("id"))).distinct()
-    kept = stage(firsts.join(wanted, "id").mapInArrow(_bags, "id long, bag array<long>"), "near-bags")
+    kept = stage(firsts.join(sized(wanted), "id").mapInArrow(_bags, "id long, bag array<long>"), "near-bags")
     compared = stage(_verified(possible, kept), "near-compared")
     checked = compared.where(F.col("similarity") >= similarity)
     links = checked.select("a", "b")
-    rest = stage(_unsettled(members.join(compared, ["a", "b"], "left").select("band", "b", "size_b", F.coalesce("similarity", ratio).alias("s")), similarity), "near-rest")
+    rest = stage(_unsettled(members.join(compared, ["a", "b"], "left").select("band", "a", "b", "size_a", "size_b", F.coalesce("similarity", ratio).alias("s")), similarity), "near-rest")
     if not rest.isEmpty():
-        links = links.union(_prefix_links(rest, kept, checked, similarity))
+        links = links.union(_rest_links(rest, kept, checked, similarity))
     classes = components(links)
     # Copies follow their first.
     near = rows.select("id").distinct().join(copies, "id", "left").withColumn("rep", F.coalesce("rep", "id"))
@@ -215,9 +224,9 @@ def _told_apart(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
 
 
 def _unsettled(members: DataFrame, similarity: float) -> DataFrame:
-    """``(id, size)`` of texts that may have a link which their buckets' heads do not show.
+    """``(a, b, size_a, size_b, missed)``: heads and members that may have a link which the head does not show.
 
-    ``members(band, b, size_b, s)`` holds the similarity ``s`` to the head. 1 - s is a metric: a text that
+    ``members(band, a, b, size_a, size_b, s)`` holds the similarity ``s`` to the head. 1 - s is a metric: a text that
     misses the head can be near a text that matches it only if their distances from the head differ by the
     threshold's distance at most. Texts that miss the same head may be near each other.
     """
@@ -227,18 +236,77 @@ def _unsettled(members: DataFrame, similarity: float) -> DataFrame:
                                       F.min(F.when(~missed, F.col("s"))).alias("worst"))
     close = per.withColumn("reach", F.col("best") >= F.coalesce(F.col("worst"), F.lit(2.0)) - slack - 1e-9).where("n > 1 or (n = 1 and reach)")
     needed = missed | (F.col("reach") & (F.col("s") <= F.col("best") + slack + 1e-9))
-    return members.join(close, "band").where(needed).select(F.col("b").alias("id"), F.col("size_b").alias("size")).distinct()
+    return members.join(close, "band").where(needed).select("a", "b", "size_a", "size_b", missed.alias("missed")).distinct()
 
 
-def _prefix_links(rest: DataFrame, kept: DataFrame, checked: DataFrame, similarity: float) -> DataFrame:
-    """Links among ``rest`` by an exact prefix join: elements ordered by how many of these texts hold them.
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Elements that only one of each row's two bags holds; the bags themselves go."""
+    for batch in batches:
+        left, right = batch.column("bag_a"), batch.column("bag_b")
+        other = [np.setxor1d(left[i].values.to_numpy(), right[i].values.to_numpy(), assume_unique=True) for i in range(len(batch))]
+        flat = pa.array(np.concatenate([np.empty(0, np.int64), *other]), pa.int64())
+        offsets = pa.array(np.cumsum([0, *map(len, other)]), pa.int32())
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.ListArray.from_arrays(offsets, flat)], ["a", "b", "other"])
+
+
+def _rest_links(rest: DataFrame, kept: DataFrame, checked: DataFrame, similarity: float) -> DataFrame:
+    """Links among members of one bucket of which one misses the head.
+
+    Near texts are about as far from the head: their similarities to it differ by 1 - ``similarity`` at most. So with any
+    border, either both lie above it, or both below the border and that much more. Above, texts share most of the head
+    and are told apart by their differences from it; below, by their own shingles.
+    """
+    apart = _side_by_side(rest.select("a", "b"), kept).mapInArrow(_differences, "a long, b long, other array<long>")
+    apart = stage(apart.join(rest, ["a", "b"]).withColumn("d", F.size("other")), "near-differences")
+    whole = F.col("size_a") + F.col("size_b")
+    s = (whole - F.col("d")) / (whole + F.col("d"))
+    known = components(checked.select("a", "b"))  # texts of one class need no more links
+    far = stage(apart.where(s < BORDER + 1 - similarity + 1e-9).select(F.col("b").alias("id"), F.col("size_b").alias("size")).distinct(), "near-far")
+    pairs = _difference_pairs(apart.where(s >= BORDER - 1e-9), known, similarity)
+    if not far.isEmpty():
+        pairs = pairs.union(_prefix_pairs(far, kept, known, similarity))
+    return _verified(stage(pairs.distinct(), "near-pairs"), kept).where(F.col("similarity") >= similarity).select("a", "b")
+
+
+def _difference_pairs(apart: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """Pairs that may be near, by an exact prefix join over the differences of members from their head.
+
+    Let D be the elements that only one of a text and its head holds, c = (1 - similarity) / (1 + similarity), and the
+    bags' sizes x, y and h of the head. Bags are near if they differ in c * (x + y) elements at most, so near bags
+    have o >= (|D1| + |D2| - c * (x + y)) / 2 elements of D1 and D2 in common. The first misses the head: |D1| > c * (x + h).
+    For the second, whatever it is, o > (|D2| + c * (h - y)) / 2, and the same for the first if the second
+    misses the head too. Else, as o <= |D2| and y <= x / similarity, o >= |D1| - c * x * (1 + 1 / similarity).
+    Two sets with o common elements share one of the first |D| - o + 1 of each, in any one order; here the rarest
+    of a head come first. Elements that no other member has only count.
+    """
+    items = apart.select("a", "b", F.explode("other").alias("e"))
+    often = items.groupBy("a", "e").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = items.join(often, ["a", "e"]).groupBy("a", "b").agg(F.sort_array(F.collect_list(F.struct("n", "e"))).alias("es"))
+    c = (1 - similarity) / (1 + similarity)
+    lone = F.col("d") - F.size("es")
+    length = lambda least: F.greatest(F.lit(0), F.col("d") - F.greatest(F.lit(1), F.ceil(least - 1e-9)) + 1 - lone).cast("int")
+    short = length((F.col("d") + c * (F.col("size_a") - F.col("size_b"))) / 2)
+    long = F.when(F.col("missed"), F.greatest(short, length(F.col("d") - c * F.col("size_b") * (1 + 1 / similarity)))).otherwise(short)
+    both = shared.join(apart.drop("other"), ["a", "b"]).withColumn("short", short).select("a", "b", "size_b", "missed", "short", "d", F.size("es").alias("many"), F.posexplode(F.slice("es", F.lit(1), long)).alias("pos", "x"))
+    prefix = both.select("a", F.col("b").alias("id"), F.col("size_b").alias("size"), "missed", "d", (F.col("many") - F.col("pos")).alias("left"), F.col("x.e").alias("e"), (F.col("pos") < F.col("short")).alias("short"))
+    prefix = stage(prefix.join(known, "id", "left").select("a", "id", "size", "missed", "d", "left", "e", "short", F.coalesce("class", "id").alias("class")), "near-prefix")
+    one, two = (prefix.select("a", "e", *[F.col(x).alias(f"{x}_{s}") for x in ("id", "size", "missed", "d", "left", "short", "class")]) for s in "xy")
+    # From the first element that they share, no more can be shared than both have left.
+    enough = 2 * F.least("left_x", "left_y") >= F.col("d_x") + F.col("d_y") - c * (F.col("size_x") + F.col("size_y")) - 1e-9
+    pairs = one.where("missed_x").join(two.where("short_y"), ["a", "e"]).where(
+        F.when(F.col("missed_y"), F.col("short_x") & (F.col("id_x") < F.col("id_y"))).otherwise(F.lit(True)) & (F.col("class_x") != F.col("class_y"))
+        & enough & (F.least("size_x", "size_y") >= similarity * F.greatest("size_x", "size_y")))
+    return pairs.select(F.col("id_x").alias("a"), F.col("id_y").alias("b"), F.col("size_x").alias("size_a"), F.col("size_y").alias("size_b"))
+
+
+def _prefix_pairs(rest: DataFrame, kept: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """Pairs among ``rest`` that may be near, by an exact prefix join: elements ordered by how many of these texts hold them.
 
     Near bags of sizes x >= y have at least similarity / (1 + similarity) * (x + y) common elements. So they share
     an element among the first x - ceil(similarity * x) + 1 of the larger and the first
     y - ceil(2 * similarity / (1 + similarity) * y) + 1 of the smaller. Elements that no other text holds come
     first and only count: most texts of a common passage have nothing else in these places.
     """
-    known = components(checked.select("a", "b"))  # texts of one class need no more links
     items = kept.join(rest, "id").select("id", "size", F.explode("bag").alias("e"))
     often = items.groupBy("e").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = items.join(often, "e").groupBy("id", "size").agg(F.sort_array(F.collect_list(F.struct("n", "e"))).alias("es")).withColumn("common", F.size("es"))
@@ -251,5 +319,4 @@ def _prefix_links(rest: DataFrame, kept: DataFrame, checked: DataFrame, similari
     enough = F.least("common_a", "common_b") >= similarity / (1 + similarity) * (F.col("size_a") + F.col("size_b")) - 1e-9
     pairs = a.drop("short").join(b.where("short").drop("short"), "e").where(
         larger & enough & (F.col("class_a") != F.col("class_b")) & (F.col("size_b") >= similarity * F.col("size_a")))
-    pairs = stage(pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), "size_a", "size_b").distinct(), "near-pairs")
-    return _verified(pairs, kept).where(F.col("similarity") >= similarity).select("a", "b")
+    return pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), "size_a", "size_b")

@@ -70,6 +70,25 @@ def test_near_classes_equal_all_pairs(docs, rough):
     assert near_dedup.near_classes(docs([])).count() == 0
 
 
+@pytest.mark.parametrize("edits", [(0, 3), (1, 6), (3, 5)])
+def test_one_large_family_equals_all_pairs(docs, edits):
+    """Copies of one text, many of them a little too far from it: no pair may be lost, and few may be compared."""
+    rng = random.Random(sum(edits))
+    vocabulary = [f"v{i}" for i in range(3000)]
+    base = [rng.choice(vocabulary) for _ in range(130)]
+    texts = {}
+    for _ in range(350):
+        words = list(base)
+        for _ in range(rng.randint(*edits)):
+            words[rng.randrange(len(words))] = rng.choice(vocabulary)
+        if rng.random() < 0.2 and texts:  # a copy of a copy, which may be near to that alone
+            words = rng.choice(list(texts.values())).split()
+            words[rng.randrange(len(words))] = "changed"
+        texts[len(texts)] = " ".join(words)
+    got = near_dedup.near_classes(docs([(i, t, "en", "s") for i, t in texts.items()])).collect()
+    assert {r["doc_id"]: r["class"] for r in got} == plain_classes(texts)
+
+
 def test_signatures_estimate_weighted_similarity():
     a = " ".join(f"w{i} " * (1 + i % 5) for i in range(60))
     b = " ".join(f"w{i} " * (1 + (i * 7) % 6) for i in range(10, 75))
