@@ -66,26 +66,50 @@ def hashed_embedding(text: Column | str, dims: int = 64) -> Column:
 
 
 def embed(df: DataFrame, text_col: str, embedder: Embedder | None = None, dims: int = 64, *,
-          output: str = "embedding", batch: int = 100) -> DataFrame:
+          output: str = "embedding", batch: int = 100, error: str | None = None) -> DataFrame:
     """Add an embedding column; a wrong width raises.
 
     ``embedder(list of texts)`` is called with at most ``batch`` texts. A rate limit is retried
-    with growing waits; an exhausted quota fails at once.
+    with growing waits; an exhausted quota fails at once. With ``error``, a text that the embedder cannot
+    take gets a null vector and the message in that column, and the others of its batch are embedded without it.
     """
     if embedder is None:
-        return df.withColumn(output, hashed_embedding(text_col, dims))
+        made = df.withColumn(output, hashed_embedding(text_col, dims))
+        return made if error is None else made.withColumn(error, F.lit(None).cast("string"))
+
+    def checked(texts: list[str]) -> list[list[float]]:
+        out = [[float(x) for x in v] for v in with_retry(embedder, texts)]
+        if len(out) != len(texts) or any(len(v) != dims for v in out):
+            raise ValueError(f"the embedder must return {dims} numbers for each text")
+        return out
+
+    def isolated(texts: list[str]) -> Iterator[tuple[list[float] | None, str | None]]:
+        try:
+            yield from ((v, None) for v in checked(texts))
+        except (RateLimited, QuotaExhausted):
+            raise
+        except Exception as broken:  # whatever the caller's model raises
+            if len(texts) == 1:
+                yield None, f"{type(broken).__name__}: {broken}"
+            else:
+                for text in texts:
+                    yield from isolated([text])
+
+    kind = pa.list_(pa.float64()) if error is None else pa.struct([("vector", pa.list_(pa.float64())), ("error", pa.string())])
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            values, out = texts.to_pylist(), []
+            values, out = [v or "" for v in texts.to_pylist()], []
             for lo in range(0, len(values), batch):
-                out.extend(with_retry(embedder, [v or "" for v in values[lo:lo + batch]]))
-            if len(out) != len(values) or any(len(v) != dims for v in out):
-                raise ValueError(f"the embedder must return {dims} numbers for each text")
-            yield pa.array([[float(x) for x in v] for v in out], pa.list_(pa.float64()))
+                part = values[lo:lo + batch]
+                out += checked(part) if error is None else [{"vector": v, "error": e} for v, e in isolated(part)]
+            yield pa.array(out, kind)
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return df.withColumn(output, arrow_udf(run, "array<double>")(F.col(text_col)))
+    if error is None:
+        return df.withColumn(output, arrow_udf(run, "array<double>")(F.col(text_col)))
+    made = df.withColumn("_made", arrow_udf(run, "struct<vector:array<double>,error:string>")(F.col(text_col)))
+    return made.withColumn(output, F.col("_made.vector")).withColumn(error, F.col("_made.error")).drop("_made")
 
 
 def add_texts(texts: DataFrame, embedder: Embedder | None = None, dims: int = 64, *,

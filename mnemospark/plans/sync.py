@@ -35,14 +35,14 @@ class SyncResult:
 
 
 def chunk_objects(objects: DataFrame, *, limit: int = TOKEN_LIMIT, overlap: int = TOKEN_OVERLAP,
-                  embedder: Embedder | None = None, dims: int = 64) -> DataFrame:
-    """Chunk rows of objects ``(path, etag, content)``."""
+                  embedder: Embedder | None = None, dims: int = 64, error: str | None = None) -> DataFrame:
+    """Chunk rows of objects ``(path, etag, content)``; with ``error``, a chunk that cannot be embedded says why there."""
     texts = text_from_objects(objects.select("path", "etag", "content"))
     cut = chunk_tokens(texts, limit, overlap, key="path", carry=("etag",))
-    return (embed(cut, "content", embedder, dims).withColumnRenamed("path", "source_path")
+    return (embed(cut, "content", embedder, dims, error=error).withColumnRenamed("path", "source_path")
             .withColumn("filename", basename("source_path"))
             .select("source_path", "chunk_index", "content", "embedding", "page_number", "char_start",
-                    "char_end", "line_start", "etag", "filename"))
+                    "char_end", "line_start", "etag", "filename", *([error] if error else [])))
 
 
 def sync(objects: DataFrame, chunks: DataFrame, *, prefix: str = "", dry_run: bool = False,
@@ -70,7 +70,13 @@ def sync(objects: DataFrame, chunks: DataFrame, *, prefix: str = "", dry_run: bo
     stale = sized(changes.filter(F.col("change").isin("updated", "deleted")).select(F.col("path").alias("source_path")))
     pending = load(todo) if load is not None else seen.join(todo, "path", "left_semi")
     fitting = pending.filter(~too_large(max_bytes))
-    fresh = chunk_objects(fitting, limit=limit, overlap=overlap, embedder=embedder, dims=dims)
+    fresh = chunk_objects(fitting, limit=limit, overlap=overlap, embedder=embedder, dims=dims, error="error" if embedder else None)
+    broken = None
+    if embedder is not None and not dry_run:
+        # Written once: the caller's model runs once per text, and the report counts what it gave.
+        fresh = durable(fresh)
+        broken = sized(fresh.filter("error IS NOT NULL").select("source_path").distinct())
+        fresh = fresh.join(broken, "source_path", "left_anti").drop("error").select(*chunks.columns)
     is_todo, unread = F.col("change").isin("created", "updated"), too_large(max_bytes) | extension("path").isin(*PARSER_EXTENSIONS)
     counts = changes.agg(
         F.count(F.col("etag")).alias("seen"),
@@ -82,12 +88,17 @@ def sync(objects: DataFrame, chunks: DataFrame, *, prefix: str = "", dry_run: bo
                                F.lit(0).cast("bigint").alias("files_processed"),
                                F.lit(0).cast("bigint").alias("chunks_written"))
         return SyncResult(chunks, changes, report, files)
+    if broken is not None:
+        counts = counts.withColumn("failed", F.col("failed") + broken.agg(F.count("*")).scalar())
     per_file = fresh.groupBy("source_path").agg(F.count("*").alias("n"))
     report = counts.select("seen", "skipped", "failed", per_file.agg(F.count("*").alias("n")).scalar().alias("files_processed"),
                            F.coalesce(per_file.agg(F.sum("n").alias("n")).scalar(), F.lit(0)).alias("chunks_written"))
     kept = chunks.join(stale, "source_path", "left_anti")
     # Every object that is there now, with what came of it.
-    status = F.when(~is_todo, "kept").when(unread, "failed").when(F.col("n").isNull(), "empty").otherwise("done")
-    ledger = (changes.filter(F.col("change") != "deleted").join(per_file.withColumnRenamed("source_path", "_path"), F.col("path") == F.col("_path"), "left")
+    status = F.when(~is_todo, "kept").when(unread | F.col("_broken"), "failed").when(F.col("n").isNull(), "empty").otherwise("done")
+    seen_now = changes.filter(F.col("change") != "deleted").withColumn("_broken", F.lit(False))
+    if broken is not None:
+        seen_now = seen_now.drop("_broken").join(broken.select(F.col("source_path").alias("path"), F.lit(True).alias("_b")), "path", "left").withColumn("_broken", F.coalesce("_b", F.lit(False)))
+    ledger = (seen_now.join(per_file.withColumnRenamed("source_path", "_path"), F.col("path") == F.col("_path"), "left")
               .select("path", "etag", status.alias("status")))
     return SyncResult(kept.unionByName(fresh), changes, report, ledger, stale, fresh)

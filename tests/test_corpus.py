@@ -6,7 +6,7 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
-from mnemospark.operators import chunking, listing
+from mnemospark.operators import chunking, embedding, listing
 from mnemospark.plans.sync import CHUNK_SCHEMA, sync
 from mnemospark.streaming import events
 
@@ -150,3 +150,26 @@ def test_sync_tells_what_was_written_and_settles(spark):
     assert rows(first.files, "path", "status") == [("a.txt", "done"), ("b.pdf", "failed"), ("big.txt", "failed"), ("c.txt", "empty")]
     again = sync(objects, first.chunks, max_bytes=500, files=first.files)
     assert tuple(again.report.first()) == (4, 4, 0, 0, 0) and again.chunks.count() == 1
+
+
+def test_one_text_that_cannot_be_embedded_fails_alone(spark):
+    def picky(texts):
+        if any("poison" in t for t in texts):
+            raise RuntimeError("cannot read this")
+        return [[float(len(t)), 1.0] for t in texts]
+
+    objects = spark.createDataFrame([(f"f{i}.txt", f"e{i}", 10, bytearray(b"some poison here" if i == 4 else f"text {i}".encode())) for i in range(9)],
+                                    "path string, etag string, length bigint, content binary").coalesce(1)
+    done = sync(objects, spark.createDataFrame([], CHUNK_SCHEMA), embedder=picky, dims=2, limit=2, overlap=0)
+    report = done.report.first()
+    assert (report.seen, report.failed, report.files_processed) == (9, 1, 8)
+    assert rows(done.chunks.select("source_path").distinct()) == [f"f{i}.txt" for i in range(9) if i != 4]
+    assert rows(done.files.filter("status <> 'done'"), "path", "status") == [("f4.txt", "failed")]
+    again = sync(objects, done.chunks, embedder=picky, dims=2, limit=2, overlap=0, files=done.files).report.first()
+    assert (again.skipped, again.failed, again.files_processed) == (9, 0, 0)
+
+
+def test_errors_of_the_embedder_are_kept_apart(spark):
+    calls = embedding.embed(spark.createDataFrame([("ok",), ("bad",), (None,)], "t string").coalesce(1), "t", lambda ts: [[1 / (t != "bad")] for t in ts], 1, error="why").collect()
+    assert [(r.embedding, bool(r.why)) for r in calls] == [([1.0], False), (None, True), ([1.0], False)] and "ZeroDivisionError" in calls[1].why
+    assert embedding.embed(spark.createDataFrame([("a",)], "t string"), "t", error="why").first().why is None
