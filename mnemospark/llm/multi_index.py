@@ -83,7 +83,7 @@ def matrix(column: pa.Array) -> np.ndarray:
 def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", scan: float = SCAN) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the nearest rows of ``vectors`` for each row of ``queries``."""
     pick = lambda df: df.where(usable(F.col(vec_col)) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
-    rows, asked = pick(vectors), pick(queries)
+    rows, asked = pick(vectors), pick(queries).withColumn("no", F.monotonically_increasing_id())  # ids may be repeated
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
     out = "query_id long, rank int, vec_id long, score double"
     if not sample:
@@ -114,33 +114,38 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
             x = matrix(batch.column("v"))
             cells = [walk(a, b, sizes, wanted) for a, b in zip(squared(x[:, :half], c1), squared(x[:, half:], c2))]
             offsets = pa.array([0, *accumulate(map(len, cells))], pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.ListArray.from_arrays(offsets, pa.array([c for row in cells for c in row], pa.int32()))], ["id", "v", "cells"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(offsets, pa.array([c for row in cells for c in row], pa.int32()))], ["id", "v", "no", "cells"])
 
     n_queries = asked.count()
     query_blocks = max(1, -(-n_queries // BLOCK))
     parts = F.element_at(F.array(*[F.lit(int(max(1, -(-s // BLOCK)))) for s in sizes]), F.col("cell") + 1)
-    probes = asked.mapInArrow(probe, "id long, v array<double>, cells array<int>").select(
-        "id", "v", F.explode("cells").alias("cell"), F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int").alias("qb"))
-    probes = probes.select("id", "v", "cell", "qb", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    probes = asked.mapInArrow(probe, "id long, v array<double>, no long, cells array<int>").select(
+        "id", "v", "no", F.explode("cells").alias("cell"), F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int").alias("qb"))
+    probes = probes.select("id", "v", "no", "cell", "qb", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
     blocks = index.select("id", "v", "cell", F.pmod(F.xxhash64("id", F.lit(1)), parts).cast("int").alias("part"),
                           F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("qb"))
 
     def rank(qs: pa.Table, vs: pa.Table) -> pa.Table:
-        found = {"query_id": [], "vec_id": [], "score": []}
+        found = {"no": [], "query_id": [], "vec_id": [], "score": []}
         if len(qs) and len(vs):
             x, ids = matrix(vs.column("v").combine_chunks()), vs.column("id").to_numpy()
-            for q, row in zip(qs.column("id").to_pylist(), matrix(qs.column("v").combine_chunks())):
-                d = np.sqrt(((x - row) ** 2).sum(1))
-                d[ids == q] = np.inf
-                near = np.flatnonzero(d <= np.partition(d, min(k, len(d)) - 1)[min(k, len(d)) - 1])
+            for no, q, row in zip(qs.column("no").to_pylist(), qs.column("id").to_pylist(), matrix(qs.column("v").combine_chunks())):
+                with np.errstate(over="ignore"):  # a distance beyond the largest number is infinite, and still a distance
+                    d = np.sqrt(((x - row) ** 2).sum(1))
+                others = np.ones(len(d), bool)
+                same = np.flatnonzero(ids == q)  # rows with the query's id and vector are all in this block; one of them is the query
+                others[same[(x[same] == row).all(axis=1)][:1]] = False
+                near = np.flatnonzero(others)
+                if len(near) > k:
+                    near = near[d[near] <= np.partition(d[near], k - 1)[k - 1]]
                 near = near[np.lexsort((ids[near], d[near]))][:k]
-                near = near[np.isfinite(d[near])]
+                found["no"] += [no] * len(near)
                 found["query_id"] += [q] * len(near)
                 found["vec_id"] += ids[near].tolist()
                 found["score"] += d[near].tolist()
-        return pa.table(found, pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]))
+        return pa.table(found, pa.schema([("no", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]))
 
     keys = ["cell", "part", "qb"]
-    best = probes.groupBy(*keys).cogroup(blocks.groupBy(*keys)).applyInArrow(rank, "query_id long, vec_id long, score double")
-    w = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    best = probes.groupBy(*keys).cogroup(blocks.groupBy(*keys)).applyInArrow(rank, "no long, query_id long, vec_id long, score double")
+    w = Window.partitionBy("no").orderBy("score", "vec_id")
     return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

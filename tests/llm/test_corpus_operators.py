@@ -228,6 +228,16 @@ def test_multi_index_bears_odd_vectors(spark):
     assert multi_index.search(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_multi_index_keeps_rows_of_repeated_ids_and_infinite_distances(spark):
+    rows = [(100, [1.0, 0.0]), (100, [1.0, 0.0]), (100, [5.0, 0.0]), (1, [2.0, 0.0]), (2, [1e200, 0.0]), (3, [-1e200, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = multi_index.search(df, df.where("vec_id = 100"), k=5, scan=1.0).collect()
+    inf = float("inf")
+    near = [(1, 100, 0.0), (2, 1, 1.0), (3, 100, 4.0), (4, 2, inf), (5, 3, inf)]  # of the two equal rows: each finds the other
+    far = [(1, 1, 3.0), (2, 100, 4.0), (3, 100, 4.0), (4, 2, inf), (5, 3, inf)]
+    assert sorted((r["rank"], r["vec_id"], r["score"]) for r in got) == sorted(near + near + far)
+
+
 def test_walk_visits_cells_by_summed_distance():
     left, right = np.array([3.0, 1.0, 2.0]), np.array([0.5, 4.0])
     sizes = np.array([1, 1, 1, 1, 0, 1])
