@@ -266,6 +266,52 @@ def test_revisits(spark):
     assert warc.resolve(spark.createDataFrame([], RECORDS)).count() == 0
 
 
+def plain_revisits(rows):
+    """Each revisit against all responses: (record_id, refers_to, resolved, body, headers)."""
+    key = lambda url: re.sub("^(http://[^/]*?)(:80)?/", r"\1/", url.split("#")[0].replace("HTTP://H", "http://h"))
+    lower = lambda m: {k.lower(): v for k, v in m.items()}
+    full = [r for r in rows if r["kind"] == "response" and r["status"] == 200 and None not in (r["record_id"], r["url"], r["at"])]
+    out = []
+    for r in (r for r in rows if r["kind"] == "revisit"):
+        known = [] if r["url"] is None or r["at"] is None else [f for f in full if key(f["url"]) == key(r["url"]) and f["at"] <= r["at"]]
+        best = max(known, key=lambda f: (f["at"], f["record_id"]), default=None)
+        tag = best and best["etag"] and r["etag"]
+        ok = bool(best) and (best["etag"] == r["etag"].removeprefix("W/") if tag else bool(best["modified"] and r["modified"]) and best["modified"] == r["modified"])
+        merged = {**lower(best["headers"]), **{k: v for k, v in lower(r["headers"]).items() if k in warc.MERGED}} if ok else r["headers"]
+        out.append((r["record_id"], best and best["record_id"], ok, best["body"] if ok else r["body"], tuple(sorted(merged.items()))))
+    return out
+
+
+@pytest.mark.parametrize("rows_a_bucket", [warc.BUCKET_ROWS, 1])
+def test_revisits_that_repeat_and_clash(spark, monkeypatch, rows_a_bucket):
+    """Repeated rows and ids, a response that most revisits refer to, clashing columns, header case; against a plain version."""
+    monkeypatch.setattr(warc, "BUCKET_ROWS", rows_a_bucket)  # 1: buckets of both levels
+    monkeypatch.setattr(warc, "SHARED_BY", 8)
+    rng = random.Random(3)
+    names = ["record_id", "url", "at", "kind", "status", "etag", "modified", "headers", "body", "resolved", "refers_to", "_id", "_headers", "record", "part", "found.x"]
+    extra = ["r", 1, 2, "h", "rec", 3, "dot"]
+    urls = [None, "http://h/a", "HTTP://H:80/a#f", "http://h/b", "http://h/"]
+    rows = []
+    for i in range(400):
+        kind = rng.choice(["response", "revisit", "revisit"])
+        mark = rng.choice(["x", "y"]) if i % 9 else None
+        headers = {"Age": str(i), "age": str(i + 1), "Server": "s"} if i % 3 else {"Date": str(i)}
+        at = rng.choice([None, *range(0, 300, 2)]) if i % 5 else 500
+        rows.append([i if i % 50 else None, rng.choice(urls), at, kind, 200 if kind == "response" else 304, mark and (f"W/{mark}" if kind == "revisit" and i % 2 else mark),
+                     f"d{i % 2}" if i % 7 else None, headers, f"body {i}" if kind == "response" else None, *extra])
+    rows.append([1000, "http://h/hot", 10, "response", 200, "x", None, {"Server": "hot"}, "hot body", *extra])
+    rows += [[2000 + i, "http://h/hot", 20 + i, "revisit", 304, "x", None, {"AGE": "1"}, None, *extra] for i in range(60)]
+    rows += [r for r in rows if r[3] == "revisit"][::4] * 2 + [r for r in rows if r[3] == "response"][::6]
+    types = "long string long string int string string array<struct<key:string,value:string>> string string int int string string int string".split()
+    made = spark.createDataFrame([(*r[:7], list(r[7].items()), *r[8:]) for r in rows], ", ".join(f"`{n}` {t}" for n, t in zip(names, types)))
+    got = warc.resolve(made.withColumn("headers", F.map_from_entries("headers")))  # keeps their order
+    assert got.columns == [n for n in names if n not in ("resolved", "refers_to")] + ["url_key", "refers_to", "resolved"]
+    found = [(r["record_id"], r["refers_to"], r["resolved"], r["body"], tuple(sorted((r["headers"] or {}).items()))) for r in got.collect()]
+    want = plain_revisits([dict(zip(names, r)) for r in rows])
+    assert Counter(found) == Counter(want) and sum(f[2] for f in found) > 100
+    assert got.where("`found.x` <> 'dot' or part <> 3").count() == 0
+
+
 def test_revisit_query_equals_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{FOLDER}/pages.parquet')")
