@@ -1,7 +1,10 @@
 """Personal data: fixed patterns, and a character BiLSTM with CRF transitions that adds spans.
 
 The network is trained in numpy on windows of ``WIDTH`` characters that overlap by half, whose labelled
-spans are those of the patterns; ``TRAIN_WINDOWS`` bounds that sample. It then reads every text whole, in windows of
+spans are those of the patterns; ``TRAIN_WINDOWS`` bounds that sample, and half as many more show the
+spans written in a way that the patterns miss (``rewritten``: brackets for ``@`` and dots, other separators, no
+plus), so the network learns to add such spans. Those of digits must pass the tests of their kind (``plausible``).
+It then reads every text whole, in windows of
 ``RUN`` characters that overlap by ``OVERLAP``. A span that a window's edge cuts is joined with its
 piece in the next window, however many windows it runs through. The spans of all windows of a text
 are reconciled at once: among overlapping ones the set with the largest total confidence stays. Base spans
@@ -27,10 +30,13 @@ from mnemospark.llm.staging import stage
 KINDS = ("email", "ip", "card", "phone")
 WIDTH, STEP = 64, 32
 RUN, OVERLAP = 512, 64
-TRAIN_WINDOWS, ROUNDS, BATCH, LEAST_STEPS = 3000, 6, 64, 280  # few windows are read more often
+TRAIN_WINDOWS, ROUNDS, BATCH, LEAST_STEPS = 3000, 6, 64, 420  # few windows are read more often
 HIDDEN, EMBED = 16, 8
+SLOPE = 0.25  # of the gates
 CONFIDENCE = 0.9  # least probability of every label of an added span
+REWRITTEN = 6  # other ways of writing, for each training window with a span
 BLOCK = 512  # windows that run through the network together
+TEXTS = 1024  # texts whose last windows are put in order of length
 
 # ---- patterns -------------------------------------------------------------------------------
 
@@ -96,11 +102,12 @@ def _classes() -> np.ndarray:
 
 CLASSES, OTHER = _classes(), 131
 N_CLASSES = 132
+PAD = N_CLASSES  # behind a text's end in a window; not read
 
 
 def codes(text: str) -> np.ndarray:
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    return np.where(points < 128, CLASSES[np.minimum(points, 127)], OTHER)
+    return np.where(points < 128, CLASSES[np.minimum(points, 127)], OTHER).astype(np.uint8)
 
 
 def windows(text: str) -> list[int]:
@@ -113,8 +120,19 @@ def runs(text: str) -> list[int]:
     return list(range(0, max(1, len(text) - OVERLAP), RUN - OVERLAP)) if text else []
 
 
-def _sigmoid(x):
-    return 1 / (1 + np.exp(-x))
+# Activations without exp: a hard sigmoid for the gates, a hard tanh for what comes in, x / (1 + |x|) for what goes out.
+
+
+def _gate(x):
+    return np.clip(np.float32(SLOPE) * x + np.float32(0.5), 0, 1)
+
+
+def _gate_slope(y):
+    return SLOPE * ((y > 0) & (y < 1))
+
+
+def _out(c):
+    return c / (1 + np.abs(c))
 
 
 @dataclass
@@ -143,10 +161,10 @@ class Model:
         states, memory = np.empty((n, x.shape[1], size), np.float32), []
         for t in range(n):
             g = into[t] + h @ w["h" + side]
-            gate = _sigmoid(g[:, :3 * size])
-            i, f, o, u = gate[:, :size], gate[:, size:2 * size], gate[:, 2 * size:], np.tanh(g[:, 3 * size:])
+            gate = _gate(g[:, :3 * size])
+            i, f, o, u = gate[:, :size], gate[:, size:2 * size], gate[:, 2 * size:], np.clip(g[:, 3 * size:], -1, 1)
             before, c = c, f * c + i * u
-            tc = np.tanh(c)
+            tc = _out(c)
             last, h = h, o * tc
             states[t] = h
             if keep:
@@ -160,8 +178,8 @@ class Model:
         for t in range(len(x) - 1, -1, -1):
             i, f, o, u, before, tc, last = memory[t]
             dh = dh + d_states[t]
-            dc = dc + dh * o * (1 - tc * tc)
-            d = np.concatenate([dc * u * i * (1 - i), dc * before * f * (1 - f), dh * tc * o * (1 - o), dc * i * (1 - u * u)], axis=1)
+            dc = dc + dh * o * (1 - np.abs(tc)) ** 2
+            d = np.concatenate([dc * u * _gate_slope(i), dc * before * _gate_slope(f), dh * tc * _gate_slope(o), dc * i * (np.abs(u) < 1)], axis=1)
             d_into[t] = d
             grads["h" + side] += last.T @ d
             dh, dc = d @ w["h" + side].T, dc * f
@@ -232,35 +250,62 @@ class Model:
         return self
 
     def scores(self, ids: np.ndarray) -> np.ndarray:
-        """``emissions`` without what training keeps: a table of the inputs' share, one tanh for all gates of a step."""
-        w, size, n = self.weights, HIDDEN, ids.shape[1]
-        half = np.concatenate([np.full(3 * size, 0.5), np.ones(size)]).astype(np.float32)  # sigmoid(x) = (1 + tanh(x / 2)) / 2
-        out = np.empty((n, TAGS, len(ids)), np.float32)
-        out[:] = w["out_b"][:, None]
-        chars = np.ascontiguousarray(ids.T)
-        for side, order, part in (("f", range(n), w["out"][:size]), ("b", range(n - 1, -1, -1), w["out"][size:])):
-            table = ((w["embed"] @ w["x" + side] + w["b" + side]) * half).astype(np.float32)
-            inner, outer = np.ascontiguousarray((w["h" + side] * half).T), np.ascontiguousarray(part.T)
-            h, c = np.zeros((2, size, len(ids)), np.float32)
-            for t in order:
-                g = inner @ h
-                g += table[chars[t]].T
-                np.tanh(g, out=g)
-                gate = g[:3 * size]
-                gate += 1
-                gate *= np.float32(0.5)
-                c *= gate[size:2 * size]
-                c += gate[:size] * g[3 * size:]
-                h = np.tanh(c)
-                h *= gate[2 * size:]
-                out[t] += outer @ h
+        """``emissions`` without what training keeps. Windows end at their first ``PAD``; what lies behind is surely outside.
+
+        The longest windows stand first, so those that reach a place are a prefix. Each place has a row of columns
+        (state, embedding, one), and a step's matrix product takes the state, the input and the bias at once.
+        """
+        w, size, (count, n) = self.weights, HIDDEN, ids.shape
+        lengths = (ids != PAD).sum(1)
+        order = np.argsort(-lengths, kind="stable")
+        chars = np.ascontiguousarray(np.where(ids == PAD, 0, ids)[order].T)
+        alive = np.searchsorted(-lengths[order], -np.arange(n), side="left")  # windows longer than t
+        fed = np.ones((n + 2, size + EMBED + 1, count), np.float32)
+        for k in range(EMBED):
+            fed[1:-1, size + k] = w["embed"][:, k].astype(np.float32)[chars]
+        rows = np.concatenate([np.full(3 * size, SLOPE), np.ones(size)])
+        shift = np.concatenate([np.full(3 * size, 0.5), np.zeros(size)])
+        g, u, c = np.empty((4 * size, count), np.float32), np.empty((size, count), np.float32), np.empty((size, count), np.float32)
+        out = np.zeros((n, TAGS, count), np.float32) + w["out_b"].astype(np.float32)[:, None]
+        for side, times, ahead, part in (("f", range(n), 1, w["out"][:size]), ("b", range(n - 1, -1, -1), -1, w["out"][size:])):
+            inner = np.ascontiguousarray((np.concatenate([w["h" + side], w["x" + side], w["b" + side][None]]) * rows).T, np.float32)
+            inner[:, -1] += shift
+            fed[:, :size] = 0
+            c[:] = 0
+            for t in times:
+                k = alive[t]
+                if not k:
+                    continue
+                z, v, memory = g[:, :k], u[:, :k], c[:, :k]
+                np.matmul(inner, fed[t + 1, :, :k], out=z)
+                gate, new = z[:3 * size], z[3 * size:]
+                np.clip(gate, 0, 1, out=gate)
+                np.clip(new, -1, 1, out=new)
+                memory *= gate[size:2 * size]
+                new *= gate[:size]
+                memory += new
+                np.abs(memory, out=v)
+                v += 1
+                np.divide(memory, v, out=v)
+                np.multiply(v, gate[2 * size:], out=fed[t + 1 + ahead, :size, :k])
+            outer = np.ascontiguousarray(part.T, np.float32)
+            out += np.matmul(outer, fed[2:, :size] if ahead == 1 else fed[:-2, :size])
+        ends = lengths[order]
+        if ends[-1] < n:
+            behind = np.arange(n)[:, None] >= ends
+            out = np.where(behind[:, None], np.where(np.arange(TAGS) == 0, np.float32(0), np.float32(-50))[None, :, None], out)
+        if (order[1:] < order[:-1]).any():
+            out = out[:, :, np.argsort(order, kind="stable")]
         return out.transpose(0, 2, 1)
 
     def outside(self, e: np.ndarray) -> np.ndarray:
         """Windows (B) whose best labels are surely all outside: no label gains what its scores lose, whatever stands around it."""
         trans, first = self.weights["trans"], self.weights["first"]
         into = np.maximum(trans[:, 1:].max(0) - trans[0, 0], first[1:] - first[0]) + max(0.0, float(trans[1:, 0].max() - trans[0, 0]))
-        return (e[:, :, 1:] - e[:, :, :1] + into).max((0, 2)) < 0
+        best = e[:, :, 1] + into[0]
+        for k in range(1, TAGS - 1):
+            np.maximum(best, e[:, :, 1 + k] + into[k], out=best)
+        return (best < e[:, :, 0]).all(0)
 
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Best labels (B, T) by the CRF and their probabilities."""
@@ -292,9 +337,59 @@ def labels(text: str, start: int, spans: list[tuple[str, int, int]]) -> np.ndarr
     return tags
 
 
-def padded(ids: np.ndarray, start: int, width: int = WIDTH) -> np.ndarray:
+def padded(ids: np.ndarray, start: int, width: int = WIDTH, fill: int = CLASSES[10]) -> np.ndarray:
     piece = ids[start:start + width]
-    return np.concatenate([piece, np.full(width - len(piece), CLASSES[10])]) if len(piece) < width else piece
+    return np.concatenate([piece, np.full(width - len(piece), fill, piece.dtype)]) if len(piece) < width else piece
+
+
+# Ways of writing that the patterns miss.
+AT = ("[at]", "(at)", " [at] ", " (at) ", "{at}", " @ ")
+DOT = ("[dot]", "(dot)", " [dot] ", " (dot) ", "[.]", ".")
+IP_DOT = ("[.]", "(.)", "[dot]", " . ")
+CARD_GAP = (".", "/", "_", " . ")
+PHONE_GAP = ("/", "_", " / ")
+
+
+def rewritten(kind: str, found: str, pick: int) -> str:
+    """A span of a pattern written in another way, by the number ``pick``."""
+    choose = lambda some, by=1: some[pick // by % len(some)]
+    if kind == "email":
+        name, host = found.split("@")
+        return name + choose(AT) + host.replace(".", choose(DOT, 6))
+    if kind == "ip":
+        return found.replace(".", choose(IP_DOT))
+    digits = "".join(filter(str.isdigit, found))
+    if kind == "card":
+        return choose(CARD_GAP).join(digits[i:i + 4] for i in range(0, len(digits), 4))
+    groups = re.findall("[0-9]+", found)
+    if len(groups) < 3:
+        groups = [digits[:2], digits[2:5], digits[5:]]
+    return choose(("+", "00", "+ ", "(+"), 3) + choose(PHONE_GAP).join(groups)
+
+
+def plausible(kind: str, found: str) -> bool:
+    """Whether a span of digits passes the test of its kind; emails have none."""
+    numbers = re.findall("[0-9]+", found)
+    digits = "".join(numbers)
+    if kind == "ip":
+        return len(numbers) == 4 and all(len(n) < 4 and int(n) < 256 for n in numbers)
+    if kind == "card":
+        return 16 <= len(digits) <= 19 and luhn(digits)
+    return kind == "email" or 8 <= len(digits) <= 15
+
+
+def window_rows(text: str, start: int, spans: list[tuple[str, int, int]], pick: int) -> list[tuple[str, int, list[tuple[str, int, int]]]]:
+    """A window of a text, and ``REWRITTEN`` more with its first span rewritten if one begins in its first half."""
+    out = [(text, start, spans)]
+    inside = [s for s in spans if start <= s[1] < start + WIDTH // 2]
+    for n in range(REWRITTEN if inside else 0):
+        kind, a, b = min(inside, key=lambda s: s[1])
+        low, high = max(0, start - WIDTH), b + 2 * WIDTH  # only the text around matters
+        new = rewritten(kind, text[a:b], int(shingles.mix(np.uint64(pick + n)) >> np.uint64(8)))
+        around = text[low:a] + new + text[b:high]
+        mine = (kind, a - low, a - low + len(new))
+        out.append((around, start - low, [mine] + [s for s in base_spans(around) if s[2] <= mine[1] or s[1] >= mine[2]]))
+    return out
 
 
 @dataclass
@@ -370,37 +465,38 @@ def added_spans(model: Model, texts: list[str], base: list[list[tuple[str, int,
     """Spans of the network that touch no base span, for each text."""
     if not model.trained:
         return [[] for _ in texts]
-    pieces: list[list[Piece]] = [[] for _ in texts]
-    todo, parts = [], []
+    pieces: list[list[tuple[int, list[Piece]]]] = [[] for _ in texts]
 
-    def flush():
-        if not parts:
-            return
-        e = model.scores(np.stack(parts))
+    def flush(some: list[tuple[int, int, np.ndarray]]):
+        some.sort(key=lambda w: w[1] - len(texts[w[0]]))  # the longest first
+        e = model.scores(np.stack([ids for _, _, ids in some]))
         rows = np.flatnonzero(~model.outside(e))
         if len(rows):
             for row, tags, prob in zip(rows.tolist(), *model.best(e[:, rows])):
-                i, start = todo[row]
-                pieces[i] += cut_out(tags, prob, start, len(texts[i]))
-        todo.clear()
-        parts.clear()
+                i, start, _ = some[row]
+                pieces[i].append((start, cut_out(tags, prob, start, len(texts[i]))))
 
+    full, short = [], []  # windows of the whole width, and the last ones of texts
     for i, text in enumerate(texts):
         ids = codes(text)
         for start in runs(text):
-            todo.append((i, start))
-            parts.append(padded(ids, start, RUN))
-            if len(parts) == BLOCK:
-                flush()
-    flush()
+            queue = full if start + RUN <= len(text) else short
+            queue.append((i, start, padded(ids, start, RUN, PAD)))
+            if len(full) == BLOCK:
+                flush(full)
+                full = []
+    short.sort(key=lambda w: w[1] - len(texts[w[0]]))
+    rest = full + short
+    for at in range(0, len(rest), BLOCK):
+        flush(rest[at:at + BLOCK])
     result = []
-    for found, fixed in zip(pieces, base):
+    for text, found, fixed in zip(texts, pieces, base):
         fixed = sorted((a, b) for _, a, b in fixed)
         starts = [a for a, _ in fixed]
         free = []
-        for a, b, k, score in joined(found):
+        for a, b, k, score in joined([p for _, some in sorted(found, key=lambda w: w[0]) for p in some]):
             at = int(np.searchsorted(starts, b))
-            if score >= CONFIDENCE and not any(e > a for _, e in fixed[:at]):
+            if score >= CONFIDENCE and not any(e > a for _, e in fixed[:at]) and plausible(KINDS[k], text[a:b]):
                 free.append((a, b, k, score))
         result.append([(KINDS[k], a, b) for a, b, k, _ in reconcile(free)])
     return result
@@ -414,7 +510,8 @@ SPANS = "array<struct<kind:string,start:int,end:int,base:boolean>>"
 def train(docs: DataFrame, text_col: str = "text", key: str = "doc_id", sample: int = TRAIN_WINDOWS) -> Model:
     """Fit on ``sample`` windows of all texts: half hold a span, a quarter only a digit or ``@``, a quarter neither.
 
-    Of each sort the first in the order of a hash are taken; a task hands on no more than could be among them.
+    Of each sort the first in the order of a hash are taken; a task hands on no more than could be among them. Those with
+    a span that begins in their first half come again, rewritten, which are at most half of ``sample`` more.
     """
     most = (sample // 2, sample // 4, sample // 4)
 
@@ -439,13 +536,13 @@ def train(docs: DataFrame, text_col: str = "text", key: str = "doc_id", sample:
                     last = rows[most[s] - 1][0]
                     kept[s] = [r for r in rows if r[0] <= last][:2 * most[s]]
                     bound[s] = last + 1
-        rows = [(h, s, padded(codes(text[start:start + WIDTH]), 0).astype(np.int16).tobytes(), labels(text, start, spans).astype(np.int8).tobytes())
-                for s, some in enumerate(kept) for h, text, start, spans in some]
+        rows = [(h, s + (n > 0) * len(most), padded(codes(x[at:at + WIDTH]), 0).astype(np.int16).tobytes(), labels(x, at, spans).astype(np.int8).tobytes())
+                for s, some in enumerate(kept) for h, text, start, own in some for n, (x, at, spans) in enumerate(window_rows(text, start, own, h))]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.binary()))], ["h", "sort", "ids", "tags"])
 
     texts = docs.where(F.length(text_col) > 0).select(F.xxhash64(key, text_col).alias("k"), F.col(text_col).alias("text"))
     rows = stage(texts.mapInArrow(cut, "h long, sort int, ids binary, tags binary"), "pii-windows")
-    taken = [r for s, n in enumerate(most) for r in rows.where(F.col("sort") == s).orderBy("h", "ids").limit(n).collect()]
+    taken = [r for s, n in enumerate((*most, most[0])) for r in rows.where(F.col("sort") == s).orderBy("h", "ids").limit(n).collect()]
     if not taken:
         return Model.fresh()
     ids = np.stack([np.frombuffer(r["ids"], np.int16) for r in taken]).astype(np.int64)
@@ -460,8 +557,8 @@ def all_spans(model: Model, texts: list[str]) -> list[list[tuple[str, int, int,
 
 
 def _pieces(batch: pa.Array) -> Iterator[list[str]]:
-    for start in range(0, len(batch), 256):
-        yield [t or "" for t in batch.slice(start, 256).to_pylist()]
+    for start in range(0, len(batch), TEXTS):
+        yield [t or "" for t in batch.slice(start, TEXTS).to_pylist()]
 
 
 def spans(text: Column | str, model: Model) -> Column:

@@ -1,5 +1,6 @@
 """BPE, personal data, quality, mixing and toxicity against plain versions."""
 
+import hashlib
 import random
 import re
 from collections import Counter
@@ -72,7 +73,7 @@ def test_network_learns_its_labels_and_leaves_clean_text(spark):
         best, _ = model.decode(np.stack([pii.padded(ids, s) for s in starts]))
         truth = np.stack([pii.labels(r["text"], s, base) for s in starts])
         right, total = right + int((best == truth).sum()), total + truth.size
-    assert right / total > 0.95, right / total  # of characters; fitted on the windows of half of this small table
+    assert right / total > 0.97, right / total  # of characters; fitted on the windows of half of this small table
     assert all(f for s in pii.all_spans(model, ["words only, no number", "in 1999 there were 12 of 30"]) for *_, f in s)
 
 
@@ -140,6 +141,50 @@ def test_network_finds_written_out_addresses():
     assert right >= 95, right
 
 
+def test_network_adds_spans_that_the_patterns_miss(spark):
+    """Spans of held-out texts, written in other ways, are added; the texts as they are get none, digits that fail their test neither."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("text is not null").select("doc_id", "text")
+    model = pii.train(docs.where("doc_id % 2 = 0"))
+    texts = [r["text"] for r in docs.where("doc_id % 2 = 1").orderBy("doc_id").collect()]
+    assert all(f for s in pii.all_spans(model, texts) for *_, f in s)
+    changed, want = [], []
+    for n, text in enumerate(texts):
+        for kind, a, b in pii.base_spans(text)[:1]:
+            new = pii.rewritten(kind, text[a:b], 7 * n)
+            changed.append(text[:a] + new + text[b:])
+            want.append((kind, a, a + len(new), False))
+    found = pii.all_spans(model, changed)
+    hits = Counter(kind for (kind, *rest), spans in zip(want, found) if (kind, *rest) in spans)
+    asked = Counter(kind for kind, *_ in want)
+    assert sum(hits.values()) > 0.85 * len(want) and all(hits[k] > 0.5 * asked[k] for k in asked), (hits, asked)
+    assert not pii.plausible("ip", "1.2.3[.]256") and not pii.plausible("card", "4242/4242/4242/4243") and not pii.plausible("phone", "00/12/34")
+
+
+def test_scores_of_cut_windows_equal_the_network():
+    """Windows of any length in any order: as the training's network gives them without the filling."""
+    rng, model = np.random.default_rng(2), pii.Model.fresh()
+    lengths = [7, 40, 0, 40, 1, 23]
+    ids = np.full((len(lengths), 40), pii.PAD)
+    for row, n in zip(ids, lengths):
+        row[:n] = rng.integers(0, pii.N_CLASSES, n)
+    got = model.scores(ids)
+    for i, n in enumerate(lengths):
+        assert n == 0 or np.allclose(got[:n, i], model.emissions(ids[i:i + 1, :n])[0][:, 0], atol=1e-5)
+        assert (got[n:, i].argmax(1) == 0).all()
+
+
+def test_personal_data_query_equals_the_plain_patterns(spark):
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()}
+    got = queries.QUERIES["op9_pii"](spark, FOLDER).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        base = sorted(plain_spans(texts[r["doc_id"]]), key=lambda s: (pii.KINDS.index(s[0]), s[1]))
+        digest = hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in base).encode()).hexdigest()
+        counts = Counter(k for k, *_ in base)
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [counts[k] for k in pii.KINDS] and r["base_sha256"] == digest
+        assert {f"{k}:{a}:{b}" for k, a, b in base} <= set(r["spans"].split(",") if r["spans"] else [])
+
+
 def test_reconcile_takes_the_best_set():
     assert pii.reconcile([(0, 5, 0, 0.9), (4, 9, 1, 0.95), (9, 12, 2, 0.9)]) == [(4, 9, 1, 0.95), (9, 12, 2, 0.9)]
     assert pii.reconcile([(0, 9, 0, 0.99), (0, 4, 1, 0.9), (4, 9, 1, 0.9)]) == [(0, 4, 1, 0.9), (4, 9, 1, 0.9)]
