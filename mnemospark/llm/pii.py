@@ -252,32 +252,32 @@ class Model:
     def scores(self, ids: np.ndarray) -> np.ndarray:
         """``emissions`` without what training keeps. Windows end at their first ``PAD``; what lies behind is surely outside.
 
-        The longest windows stand first, so those that reach a place are a prefix. Each place has a row of columns
-        (state, embedding, one), and a step's matrix product takes the state, the input and the bias at once.
+        The longest windows stand first, so those that reach a place are a prefix. A step's matrix product takes
+        state, embedding and bias at once; what a step needs is small enough to stay in a core's cache.
         """
         w, size, (count, n) = self.weights, HIDDEN, ids.shape
         lengths = (ids != PAD).sum(1)
         order = np.argsort(-lengths, kind="stable")
         chars = np.ascontiguousarray(np.where(ids == PAD, 0, ids)[order].T)
         alive = np.searchsorted(-lengths[order], -np.arange(n), side="left")  # windows longer than t
-        fed = np.ones((n + 2, size + EMBED + 1, count), np.float32)
-        for k in range(EMBED):
-            fed[1:-1, size + k] = w["embed"][:, k].astype(np.float32)[chars]
+        chars, embed = chars.astype(np.intp), np.ascontiguousarray(w["embed"].T, np.float32)
+        fed, scored = np.ones((size + EMBED + 1, count), np.float32), np.empty((TAGS, count), np.float32)
         rows = np.concatenate([np.full(3 * size, SLOPE), np.ones(size)])
         shift = np.concatenate([np.full(3 * size, 0.5), np.zeros(size)])
         g, u, c = np.empty((4 * size, count), np.float32), np.empty((size, count), np.float32), np.empty((size, count), np.float32)
         out = np.zeros((n, TAGS, count), np.float32) + w["out_b"].astype(np.float32)[:, None]
-        for side, times, ahead, part in (("f", range(n), 1, w["out"][:size]), ("b", range(n - 1, -1, -1), -1, w["out"][size:])):
+        for side, times, part in (("f", range(n), w["out"][:size]), ("b", range(n - 1, -1, -1), w["out"][size:])):
+            outer = np.ascontiguousarray(part.T, np.float32)
             inner = np.ascontiguousarray((np.concatenate([w["h" + side], w["x" + side], w["b" + side][None]]) * rows).T, np.float32)
             inner[:, -1] += shift
-            fed[:, :size] = 0
-            c[:] = 0
+            fed[:size] = c[:] = 0
             for t in times:
                 k = alive[t]
                 if not k:
                     continue
                 z, v, memory = g[:, :k], u[:, :k], c[:, :k]
-                np.matmul(inner, fed[t + 1, :, :k], out=z)
+                fed[size:-1, :k] = embed.take(chars[t, :k], axis=1)
+                np.matmul(inner, fed[:, :k], out=z)
                 gate, new = z[:3 * size], z[3 * size:]
                 np.clip(gate, 0, 1, out=gate)
                 np.clip(new, -1, 1, out=new)
@@ -287,9 +287,8 @@ class Model:
                 np.abs(memory, out=v)
                 v += 1
                 np.divide(memory, v, out=v)
-                np.multiply(v, gate[2 * size:], out=fed[t + 1 + ahead, :size, :k])
-            outer = np.ascontiguousarray(part.T, np.float32)
-            out += np.matmul(outer, fed[2:, :size] if ahead == 1 else fed[:-2, :size])
+                np.multiply(v, gate[2 * size:], out=fed[:size, :k])
+                out[t, :, :k] += np.matmul(outer, fed[:size, :k], out=scored[:, :k])
         ends = lengths[order]
         if ends[-1] < n:
             behind = np.arange(n)[:, None] >= ends
@@ -307,6 +306,17 @@ class Model:
             np.maximum(best, e[:, :, 1 + k] + into[k], out=best)
         return (best < e[:, :, 0]).all(0)
 
+    def unlabelled(self, e: np.ndarray) -> np.ndarray:
+        """Windows (B) for which no path scores more than the one that is outside throughout; exact, without the paths."""
+        e = np.ascontiguousarray(e.transpose(0, 2, 1))
+        trans = self.weights["trans"]
+        best = e[0] + self.weights["first"][:, None]
+        flat = best[0].copy()
+        for t in range(1, len(e)):
+            best = (best[:, None] + trans[:, :, None]).max(0) + e[t]
+            flat += trans[0, 0] + e[t, 0]
+        return flat >= best.max(0) - 1e-3
+
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Best labels (B, T) by the CRF and their probabilities."""
         return self.best(self.scores(ids))
@@ -471,6 +481,7 @@ def added_spans(model: Model, texts: list[str], base: list[list[tuple[str, int,
         some.sort(key=lambda w: w[1] - len(texts[w[0]]))  # the longest first
         e = model.scores(np.stack([ids for _, _, ids in some]))
         rows = np.flatnonzero(~model.outside(e))
+        rows = rows[~model.unlabelled(e[:, rows])]
         if len(rows):
             for row, tags, prob in zip(rows.tolist(), *model.best(e[:, rows])):
                 i, start, _ = some[row]
