@@ -7,12 +7,14 @@ then each task scores its blocks against all queries and keeps the best ``k`` pe
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from mnemospark.functions.text import distinct_tokens, tokens
 from mnemospark.operators.ranking import SCORE_DIGITS, top_k
@@ -70,15 +72,15 @@ class Ranked:
     def __init__(self, queries: int, k: int):
         self.k, self.hits, self.floor = k, [[] for _ in range(queries)], np.zeros(queries)
 
-    def add(self, scores: np.ndarray, ids: list) -> None:
-        """Scores of some documents, a row per query; 0 is no match."""
-        scores = np.round(scores, SCORE_DIGITS)
-        least = self.floor
+    def add(self, scores: np.ndarray, ids: list, asking: np.ndarray | None = None) -> None:
+        """Scores of some documents, a row per query or per query of ``asking``; 0 is no match."""
+        matches, scores = scores > 0, np.round(scores, SCORE_DIGITS)
+        least = self.floor if asking is None else self.floor[asking]
         if scores.shape[1] > self.k:
             least = np.maximum(least, np.partition(scores, -self.k, axis=1)[:, -self.k])
-        query, doc = np.nonzero((scores >= least[:, None]) & (scores > 0))
+        query, doc = np.nonzero((scores >= least[:, None]) & matches)
         found: dict[int, list] = {}
-        for q, s, d in zip(query.tolist(), scores[query, doc].tolist(), doc.tolist()):
+        for q, s, d in zip((query if asking is None else asking[query]).tolist(), scores[query, doc].tolist(), doc.tolist()):
             found.setdefault(q, []).append((-s, ids[d] is not None, ids[d]))  # a null id comes first, as in an ascending order
         for q, fresh in found.items():
             self.hits[q] = hits = sorted(self.hits[q] + fresh, key=lambda h: h if h[1] else h[:2])[:self.k]
@@ -146,3 +148,190 @@ def scan_topk(asked: list[tuple], queries: DataFrame, corpus: DataFrame, k: int,
     named = spark.createDataFrame(list(enumerate(names)), StructType([StructField("_q", IntegerType()), StructField("query_id", queries.select(F.col(query_id)).schema[0].dataType)]))
     hits = blocks.mapInArrow(run, schema)
     return top_k(hits, k, by="_q").join(F.broadcast(named), "_q").select("query_id", "id", "rank", "score")
+
+
+ROWS_AT_ONCE = 1024  # rows that are counted together
+
+
+def counted_blocks(rows: DataFrame, names: Sequence[str], averages: Sequence[float], part, docs: int) -> DataFrame:
+    """``(field, term, block, df, most, hits)`` of ``rows(id, a token array per field)``, in blocks of ``docs`` rows.
+
+    Rows of a block stand in one task, so its words are counted there and no posting is shuffled.
+    """
+    hit = StructType([StructField("id", rows.schema["id"].dataType), StructField("tf", LongType()), StructField("doc_len", IntegerType())])
+    schema = StructType([StructField("field", StringType()), StructField("term", StringType()), StructField("block", LongType()),
+                         StructField("df", LongType()), StructField("most", DoubleType()), StructField("hits", ArrayType(hit))])
+
+    def count(batch: pa.RecordBatch, field: int, first: int) -> pa.RecordBatch:
+        column = batch.column(1 + field)
+        lens = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
+        words, row = pc.list_flatten(column), pc.list_parent_indices(column).to_numpy()
+        there = words.is_valid().to_numpy(zero_copy_only=False)
+        coded = words.drop_null().dictionary_encode()
+        width = max(1, len(coded.dictionary))
+        row = row[there].astype(np.int64)
+        keys, tf = np.unique(((row // docs) * width + coded.indices.to_numpy()) * docs + row % docs, return_counts=True)
+        groups, at = np.unique(keys // docs, return_index=True)
+        row = groups.repeat(np.diff(np.append(at, len(keys)))) // width * docs + keys % docs
+        most = np.maximum.reduceat(part(tf, lens[row], averages[field]), at) if len(at) else np.empty(0)
+        ids = batch.column(0).take(pa.array(row))
+        hits = pa.StructArray.from_arrays([ids, pa.array(tf, pa.int64()), pa.array(lens[row], pa.int32())], ["id", "tf", "doc_len"])
+        ends = np.append(at, len(keys))
+        return pa.record_batch([pa.array([names[field]] * len(at), pa.string()), coded.dictionary.take(pa.array(groups % width)).cast(pa.string()),
+                                pa.array(first + groups // width), pa.array(np.diff(ends), pa.int64()), pa.array(most, pa.float64()),
+                                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), hits)], schema.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, step = TaskContext.get().partitionId() << 33, max(docs, ROWS_AT_ONCE // docs * docs)
+        for batch in batches:
+            for start in range(0, batch.num_rows, step):
+                some = batch.slice(start, step)
+                for field in range(len(names)):
+                    yield count(some, field, first)
+                first += -(-some.num_rows // docs)
+
+    return rows.mapInArrow(run, schema)
+
+
+class BlockScan:
+    """Queries against ``blocks(field, term, block, most, hits)``: only postings of asked terms move, one block's to one task.
+
+    ``weighted`` are ``(query_id, field, term, idf)`` of all queries. A task has a block's postings of all asked terms side
+    by side, bounds it for every query and scores it for those it can matter to; what it emits is at most ``k`` rows per query.
+    """
+
+    def __init__(self, blocks: DataFrame, weighted: list[tuple], averages: dict[str, float], part, slack: float):
+        spark, self.part, self.slack = blocks.sparkSession, part, slack
+        self.names = list(dict.fromkeys(r[0] for r in weighted))
+        self.number = {q: i for i, q in enumerate(self.names)}
+        rarity = {(f, t): idf for _, f, t, idf in weighted}
+        keys = sorted(rarity)
+        code = {key: i for i, key in enumerate(keys)}
+        pairs = sorted((code[f, t], self.number[q]) for q, f, t, _ in weighted)
+        count = np.bincount([c for c, _ in pairs], minlength=len(keys))
+        self.given = spark.sparkContext.broadcast((
+            np.array([rarity[key] for key in keys], float), np.array([averages[f] for f, _ in keys], float),
+            np.array([q for _, q in pairs], np.int64), count, np.cumsum(count) - count))
+        codes = spark.createDataFrame([(f, t, i) for i, (f, t) in enumerate(keys)], "field string, term string, _code int")
+        self.blocks = blocks.join(F.broadcast(codes), ["field", "term"])
+
+    def _side_by_side(self, *columns: str) -> DataFrame:
+        return self.blocks.select("block", "_code", *columns).repartition("block").sortWithinPartitions("block")
+
+    def named(self, hits: DataFrame, kind: StructType) -> DataFrame:
+        """``query_id`` in place of the number ``_q``."""
+        told = hits.sparkSession.createDataFrame(list(enumerate(self.names)), StructType([StructField("_q", IntegerType()), StructField("query_id", kind)]))
+        return hits.join(F.broadcast(told), "_q").drop("_q")
+
+    def first(self, n: int) -> DataFrame:
+        """``(_q, block)`` of the ``n`` blocks with the highest bounds. Reads no hits."""
+        given, queries = self.given, len(self.names)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best, held, numbers, step = Ranked(queries, n), [], [], max(1, CELLS // max(1, queries))
+            for block, codes, rows in _each_block(batches):
+                held.append(_bounds(given.value, codes, rows.column(2).to_numpy())[0])
+                numbers.append(block)
+                if len(held) == step:
+                    best.add(np.stack(held, axis=1), numbers)
+                    held, numbers = [], []
+            if held:
+                best.add(np.stack(held, axis=1), numbers)
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(map(list, zip(*_rows(best)) if _rows(best) else ([], [], [])), (pa.int32(), pa.int64(), pa.float64()))], ["_q", "block", "bound"])
+
+        bounds = self._side_by_side("most").mapInArrow(run, "_q int, block bigint, bound double")
+        return top_k(bounds, n, by="_q", score="bound", id_col="block").select("_q", "block")
+
+    def _limits(self, floors: dict, done: list[tuple]):
+        """Scores to reach, by query, and the queries that have seen a block, by block."""
+        floor = np.zeros(len(self.names))
+        for q, least in floors.items():
+            floor[self.number[q]] = least
+        seen: dict[int, list] = {}
+        for q, block in done:
+            seen.setdefault(block, []).append(self.number[q])
+        return self.blocks.sparkSession.sparkContext.broadcast((floor, seen))
+
+    def open_pairs(self, floors: dict, done: list[tuple]) -> DataFrame:
+        """``(_q, block)`` that are not done and whose bound reaches the query's floor."""
+        given, limits, slack = self.given, self._limits(floors, done), self.slack
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            floor, seen = limits.value
+            for block, codes, rows in _each_block(batches):
+                asking = _asking(_bounds(given.value, codes, rows.column(2).to_numpy())[0], floor - slack, seen.get(block))
+                yield pa.record_batch([pa.array(asking, pa.int32()), pa.array(np.full(len(asking), block, np.int64))], ["_q", "block"])
+
+        return self._side_by_side("most").mapInArrow(run, "_q int, block bigint")
+
+    def rest(self, k: int, floors: dict, done: list[tuple], id_type) -> DataFrame:
+        """``(_q, id, score)``: the best ``k`` of each task among the blocks that are not done."""
+        given, limits, slack, part, queries = self.given, self._limits(floors, done), self.slack, self.part, len(self.names)
+        schema = StructType([StructField("_q", IntegerType()), StructField("id", id_type), StructField("score", DoubleType())])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            (floor, seen), best, kind = limits.value, Ranked(queries, k), None
+            rarity, average = given.value[:2]
+            best.floor = floor.copy()
+            for block, codes, rows in _each_block(batches):
+                bounds, query, place = _bounds(given.value, codes, rows.column(2).to_numpy())
+                asking = _asking(bounds, best.floor - slack, seen.get(block))
+                if not len(asking):
+                    continue
+                hits = rows.column(3)
+                term, hits = pc.list_parent_indices(hits).to_numpy(), pc.list_flatten(hits)
+                ids, tf, length = (hits.field(i) for i in range(3))
+                kind, ids = ids.type, ids.dictionary_encode("encode")
+                doc, size = ids.indices.to_numpy(), len(ids.dictionary)
+                gain = rarity[codes[term]] * part(tf.to_numpy(), length.to_numpy(), average[codes[term]])
+                gains = np.bincount(term.astype(np.int64) * size + doc, gain, minlength=len(codes) * size).reshape(len(codes), size)
+                at = np.full(queries, -1)
+                at[asking] = np.arange(len(asking))
+                names, step = ids.dictionary.to_pylist(), max(1, CELLS // max(len(codes), size))
+                for start in range(0, len(asking), step):
+                    some = asking[start:start + step]
+                    mine = (at[query] >= start) & (at[query] < start + len(some))
+                    asked = np.zeros((len(some), len(codes)))
+                    asked[at[query[mine]] - start, place[mine]] = 1
+                    best.add(asked @ gains, names, some)
+            rows = _rows(best)
+            if rows:
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(map(list, zip(*rows)), (pa.int32(), kind, pa.float64()))], schema.names)
+
+        return self._side_by_side("most", "hits").mapInArrow(run, schema)
+
+
+def _rows(best: Ranked) -> list[tuple]:
+    return [(q, i, -s) for q, hits in enumerate(best.hits) for s, _, i in hits]
+
+
+def _each_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, pa.RecordBatch]]:
+    """``(block, codes, rows)`` of rows that come in order of their block; a block may go over several batches."""
+    held: pa.RecordBatch | None = None
+    for batch in chain(batches, [None]):
+        if batch is not None and not batch.num_rows:
+            continue
+        rows = held if batch is None else batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        if rows is None:
+            return
+        block, codes = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
+        held = rows.slice(cuts[-2])  # may go on in the next batch
+        for start, stop in zip(cuts, cuts[1:] if batch is None else cuts[1:-1]):
+            yield int(block[start]), codes[start:stop], rows.slice(start, stop - start)
+
+
+def _bounds(given: tuple, codes: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What no document of a block exceeds, by query; and the pairs of query and place in ``codes`` behind it."""
+    rarity, _, of_query, count, firsts = given
+    times = count[codes]
+    query = of_query[np.repeat(firsts[codes] - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))]
+    bounds = np.bincount(query, np.repeat(rarity[codes] * most, times))
+    return np.pad(bounds, (0, int(of_query.max()) + 1 - len(bounds))), query, np.repeat(np.arange(len(codes)), times)
+
+
+def _asking(bounds: np.ndarray, least: np.ndarray, seen: list[int] | None) -> np.ndarray:
+    there = (bounds > 0) & (bounds >= least)
+    if seen:
+        there[seen] = False
+    return np.flatnonzero(there)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mnemospark.functions.text import distinct_tokens, term_counts, tokens
 from mnemospark.operators.ranking import rounded, top_k
-from mnemospark.operators.text_scan import asked_terms, scan_topk
+from mnemospark.operators.text_scan import BlockScan, asked_terms, counted_blocks, scan_topk
 from mnemospark.session import durable, few, sized
 
 # Okapi BM25 constants (Robertson & Zaragoza, 2009).
@@ -181,15 +181,16 @@ def build_block_index(corpus: DataFrame, fields: Sequence[str], *, keyword_field
                       id_col: str = "id", only_terms: DataFrame | None = None) -> BlockIndex:
     """Index like ``build_text_index``, in blocks. Rows that stand together share a block; no key is larger than a block.
 
-    Write the result before use, here or with ``save``: the blocks are drawn by the scan.
+    Write the result before use, here or with ``save``: the blocks are drawn by the scan, and counted in its tasks.
     """
-    numbered = corpus.withColumn("_block", F.shiftright(F.monotonically_increasing_id(), BLOCK_DOCS.bit_length() - 1))
-    docs = _fields(numbered, fields, keyword_fields, id_col, F.col("_block"))
-    stats, names = _stats(_fields(corpus, fields, keyword_fields, id_col)), tuple([*fields, *keyword_fields])
-    part = bm25_part(F.col("tf"), F.col("doc_len"), statistic(stats, names, "avg_len"))
-    blocks = (_terms(docs, "_block", only_terms=only_terms).groupBy("field", "term", F.col("_block").alias("block"))
-              .agg(F.count("*").alias("df"), F.max(part).alias("most"), F.collect_list(F.struct("id", "tf", "doc_len")).alias("hits")))
-    return BlockIndex(blocks, stats, names)
+    names = tuple([*fields, *keyword_fields])
+    stats = durable(_stats(_fields(corpus, fields, keyword_fields, id_col)))
+    known = {r["field"]: r["avg_len"] for r in stats.collect()}  # one row per field
+    averages = [known.get(f) or 1.0 for f in names]
+    rows = corpus.select(F.col(id_col).alias("id"), *[tokens(F.col(f"`{f}`").cast("string")).alias(f"_{i}") for i, f in enumerate(fields)],
+                         *[F.array(F.col(f"`{f}`").cast("string")).alias(f"_k{i}") for i, f in enumerate(keyword_fields)])
+    blocks = counted_blocks(rows, names, averages, bm25_part, BLOCK_DOCS)
+    return BlockIndex(blocks if only_terms is None else blocks.join(only_terms, "term", "left_semi"), stats, names)
 
 
 def _weighted(terms: DataFrame, index: BlockIndex, blocks: DataFrame) -> DataFrame:
@@ -230,6 +231,29 @@ def pruned_topk(queries: DataFrame, index: BlockIndex, k: int, *, fields: Sequen
     # In a struct, so that a null id joins like any other.
     terms = query_terms(queries, query_id, text).withColumn("query_id", F.struct(F.col("query_id").alias("of")))
     weighted = _weighted(terms, index, blocks)
+    told = weighted.limit(TERM_BOUND + 1).collect()
+    if len(told) > TERM_BOUND:
+        return _pruned_pairs(weighted, index, blocks, k, keep_ids, opened)
+    if not told:
+        return _open(weighted.withColumn("block", F.lit(0).cast("bigint")), weighted, index, blocks, None).withColumn("rank", F.lit(0)).withColumn("query_id", F.col("query_id.of"))
+    averages = {r["field"]: r["avg_len"] for r in index.stats.collect()}  # one row per field
+    kept = blocks if keep_ids is None else (
+        blocks.select("field", "term", "block", "most", F.explode("hits").alias("h")).withColumn("id", F.col("h.id"))
+        .join(keep_ids.select("id"), "id", "left_semi").groupBy("field", "term", "block").agg(F.max("most").alias("most"), F.collect_list("h").alias("hits")))
+    scan = BlockScan(kept, [tuple(r) for r in told], averages, bm25_part, SLACK)
+    asked_kind = weighted.schema["query_id"].dataType
+    first = few(scan.named(scan.first(FIRST_BLOCKS), asked_kind).select("query_id", "block"))
+    best = durable(top_k(_open(first, weighted, index, blocks, keep_ids), k))
+    floors = {r["query_id"]: r["score"] for r in best.filter(F.col("rank") == k).select("query_id", "score").collect()}
+    done = [tuple(r) for r in first.collect()]  # at most FIRST_BLOCKS rows per query
+    if opened is not None:
+        opened += [pairs.select(F.col("query_id.of").alias("query_id"), "block") for pairs in (first, scan.named(scan.open_pairs(floors, done), asked_kind))]
+    rest = scan.named(scan.rest(k, floors, done, best.schema["id"].dataType), asked_kind).select("query_id", "id", "score")
+    return top_k(best.drop("rank").unionByName(rest), k).withColumn("query_id", F.col("query_id.of"))
+
+
+def _pruned_pairs(weighted: DataFrame, index: BlockIndex, blocks: DataFrame, k: int, keep_ids: DataFrame | None, opened: list[DataFrame] | None) -> DataFrame:
+    """The same by joins, for more query terms than travel to every task."""
     bounds = durable(block_bounds(weighted, blocks))
     first = few(top_k(bounds, FIRST_BLOCKS, score="bound", id_col="block").select("query_id", "block"))
     best = durable(top_k(_open(first, weighted, index, blocks, keep_ids), k))

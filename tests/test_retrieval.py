@@ -338,3 +338,26 @@ def test_counting_words_moves_nothing(spark, notes):
     assert "Exchange" not in plan.split("InMemoryTableScan")[0]
     counted = text_search.build_text_index(notes, ["text"]).postings.filter("term = 'c1' AND id > 1800").collect()
     assert {(r.id, r.tf, r.doc_len) for r in counted} >= {(1805, 3, 3)}
+
+
+def test_block_search_moves_no_pair_of_query_and_document(spark, notes, searches, monkeypatch):
+    """Only the first blocks are opened by joins; the rest is scored where a block's postings lie, across batches too."""
+    monkeypatch.setattr(text_search, "BLOCK_DOCS", 16)
+    monkeypatch.setattr(text_search, "FIRST_BLOCKS", 1)
+    opened_by_join, real = [], text_search._open
+
+    def counted(pairs, *more):
+        opened_by_join.append(pairs.select("query_id", "block").distinct().count())
+        return real(pairs, *more)
+
+    built = text_search.build_block_index(notes, ["text"])
+    index = text_search.BlockIndex(built.blocks.cache(), built.stats, built.fields)
+    want = rows(text_search.bm25_topk(searches, text_search.build_text_index(notes, ["text"]), 30))
+    monkeypatch.setattr(text_search, "_open", counted)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert rows(text_search.bm25_topk(searches, index, 30)) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sum(opened_by_join) <= searches.count()
+    assert text_search.bm25_topk(searches.limit(0), index, 5).count() == 0
