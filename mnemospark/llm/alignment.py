@@ -29,9 +29,9 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stri
 from mnemospark.llm.bpe import byte_letters
 from mnemospark.llm.staging import stage
 
-BLOCK_BYTES = 8_000_000  # of text, after which a block ends
-PIECE_CHARS = 1_000_000  # of text, encoded at a time
-WINDOWS_AT_ONCE, CELLS_AT_ONCE = 500_000, 50_000_000  # windows, and documents times pairs, that are counted at a time
+BLOCK_BYTES = 5_000_000  # of text, after which a block ends
+PIECE_CHARS = 250_000  # of text, encoded at a time
+WINDOWS_AT_ONCE, CELLS_AT_ONCE = 150_000, 16_000_000  # windows, and documents times pairs, that are counted at a time
 LONG_TEXT = 100_000  # letters from which a text goes to the slower library, which bears any run of white space
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 # Fixed value: how the byte-letter tokenizer cuts texts into words.
@@ -286,14 +286,15 @@ def blocks(docs: DataFrame, path_a: str, path_b: str, text: str = "text", carry:
         number = TaskContext.get().partitionId() << 32
         block, carried, size = Block(aligner), [], 0
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
+            texts = batch.column(batch.num_columns - 1)
+            lengths = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
             start = 0
             while start < len(texts):
                 stop, chars = start, 0
                 while stop < len(texts) and chars < PIECE_CHARS:
-                    chars += len(texts[stop] or "")
+                    chars += lengths[stop]
                     stop += 1
-                block.add(texts[start:stop])
+                block.add(texts.slice(start, stop - start).to_pylist())
                 carried.append(pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).slice(start, stop - start))
                 size += chars
                 start = stop

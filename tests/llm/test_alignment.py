@@ -102,3 +102,19 @@ def test_white_space_of_any_length():
     block = alignment.Block(alignment.load(A, B))
     block.add([" " * 1_000_000 + "a", "x" * 200_000])
     assert (block.counts[0][1] > 0).all()
+
+
+def test_a_block_is_finished_in_little_memory():
+    import tracemalloc
+
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(3000)]
+    block = alignment.Block(alignment.load(A, B))
+    for _ in range(10):
+        block.add([" ".join(rng.choices(words, k=40)) for _ in range(1000)])
+    tracemalloc.start()
+    try:
+        block.finish()
+        assert tracemalloc.get_traced_memory()[1] < 45_000_000
+    finally:
+        tracemalloc.stop()
