@@ -8,17 +8,22 @@ task_id, idx, task_path, channel, type, value, created_at``.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mnemospark.functions.values import metadata_equals, typed_metadata
 from mnemospark.operators.ranking import first_per_key
 from mnemospark.operators.tables import insert_new, narrowed, upsert
-from mnemospark.session import durable
+from mnemospark.session import written
 
 KEY = ["thread_id", "checkpoint_ns", "checkpoint_id"]
 WRITE_KEY = [*KEY, "task_id", "idx"]
 
+DIRECT_LINKS = 200_000  # up to which a lineage is walked without stops
+STOP_EVERY = 16
+LONG_LEG = 1024  # links between two stops that chance does not leave
+
 # Channels with a fixed position, whose writes replace earlier ones.
 SPECIAL_CHANNELS = {"__error__": -1, "__scheduled__": -2, "__interrupt__": -3, "__resume__": -4}
 
@@ -121,30 +126,62 @@ def fork(origins: DataFrame, new_id: Column) -> DataFrame:
     return origins.withColumn("parent_checkpoint_id", F.col("checkpoint_id")).withColumn("checkpoint_id", new_id)
 
 
+def _walk(reach: DataFrame, jump: DataFrame, longest: int, legs: bool = False) -> DataFrame:
+    """``(start, at, distance)`` of ``reach`` and of all that lies up to ``longest`` links behind it.
+
+    The links ``jump(from, to, length)`` are doubled each round, so n links take log2(n) rounds; every round is written out.
+    """
+    parts, span = [written(reach)], 1
+    jump = written(jump)
+    while span <= longest and not jump.isEmpty():
+        # Each part once more, from where it ended: they hold all that is less than ``span`` links away.
+        known = reduce(DataFrame.unionByName, parts)
+        further = known.join(jump.withColumnRenamed("from", "at"), "at").select(
+            "start", F.col("to").alias("at"), (F.col("distance") + F.col("length")).alias("distance"))
+        if legs and span >= LONG_LEG:  # a cycle without a stop: what is known is not entered again
+            further = further.groupBy("start", "at").agg(F.min("distance").alias("distance")).join(known, ["start", "at"], "left_anti")
+        parts.append(written(further))
+        second = jump.select(F.col("from").alias("to"), F.col("to").alias("_end"), F.col("length").alias("_more"))
+        jump = written(jump.join(second, "to").select("from", F.col("_end").alias("to"), (F.col("length") + F.col("_more")).alias("length")))
+        span *= 2
+    return reduce(DataFrame.unionByName, parts)
+
+
 def lineage(checkpoints: DataFrame, starts: DataFrame) -> DataFrame:
     """``(thread_id, checkpoint_ns, start_id, checkpoint_id, distance)`` up the parent links.
 
-    Pointers are doubled each round, so a chain of n checkpoints takes log2(n) rounds; every round
-    is written out. Parents are followed whatever their ids; a cycle ends where an id would repeat.
+    Checkpoints are numbered, so that rounds move numbers. Of many links, one checkpoint of ``STOP_EVERY`` and the starts are
+    stops: walks go from each stop to the next, then from the starts over stops only, and both are put together. So only a
+    few rounds touch all links. Parents are followed whatever their ids; a cycle ends where an id would repeat.
     """
     pair = ["thread_id", "checkpoint_ns"]
     checkpoints = narrowed(checkpoints, starts, pair)
-    jump = durable(checkpoints.filter("parent_checkpoint_id IS NOT NULL").select(
-        *pair, F.col("checkpoint_id").alias("_from"), F.col("parent_checkpoint_id").alias("_to")))
-    known = checkpoints.select(*KEY)
-    reach = starts.select(*KEY).join(known, KEY, "left_semi").select(
-        *pair, F.col("checkpoint_id").alias("start_id"), "checkpoint_id", F.lit(0).alias("distance"))
-    reach, span = durable(reach), 1
+    numbers = written(checkpoints.select(*KEY).distinct().withColumn("n", F.monotonically_increasing_id()))
+    parents = checkpoints.filter("parent_checkpoint_id IS NOT NULL").select(*KEY, "parent_checkpoint_id").distinct()
+    links = written(parents.join(numbers.withColumnRenamed("n", "from"), KEY)
+                    .select(*pair, F.col("parent_checkpoint_id").alias("checkpoint_id"), "from")
+                    .join(numbers.withColumnRenamed("n", "to"), KEY).select("from", "to", F.lit(1).alias("length")))
+    first = written(starts.select(*KEY).distinct().join(numbers, KEY).select(F.col("n").alias("start"), F.col("n").alias("at"), F.lit(0).alias("distance")))
     longest = checkpoints.groupBy(*pair).count().agg(F.max("count")).first()[0] or 0
-    while span <= longest and not jump.isEmpty():
-        further = reach.join(jump.withColumnRenamed("_from", "checkpoint_id"), [*pair, "checkpoint_id"]).select(
-            *pair, "start_id", F.col("_to").alias("checkpoint_id"), (F.col("distance") + span).alias("distance"))
-        reach = durable(reach.unionByName(further))
-        second = jump.select(*pair, F.col("_from").alias("_to"), F.col("_to").alias("_end"))
-        jump = durable(jump.join(second, [*pair, "_to"]).select(*pair, "_from", F.col("_end").alias("_to")))
-        span *= 2
-    nearest = reach.groupBy(*pair, "start_id", "checkpoint_id").agg(F.min("distance").alias("distance"))
-    return nearest.join(known, KEY, "left_semi")
+    if links.limit(DIRECT_LINKS + 1).count() <= DIRECT_LINKS:
+        reach = _walk(first, links, longest)
+    else:
+        marked = links.join(first.select(F.col("start").alias("from"), F.lit(True).alias("begins")).distinct(), "from", "left").withColumn(
+            "stops", F.coalesce("begins", F.xxhash64("from") % STOP_EVERY == 0))
+        marked = written(marked.select("from", "to", "length", "stops"))
+        stops = marked.filter("stops")
+        legs = written(_walk(stops.select(F.col("from").alias("start"), F.col("to").alias("at"), F.col("length").alias("distance")),
+                             marked.filter("NOT stops").drop("stops"), longest, legs=True))
+        between = legs.join(stops.select(F.col("from").alias("at")).distinct(), "at", "left_semi")
+        passed = _walk(first, between.select(F.col("start").alias("from"), F.col("at").alias("to"), F.col("distance").alias("length")), longest)
+        passed = written(passed.groupBy("start", "at").agg(F.min("distance").alias("distance")))
+        behind = passed.withColumnRenamed("distance", "before").join(legs.withColumnsRenamed({"at": "end", "start": "at"}), "at").select(
+            "start", F.col("end").alias("at"), (F.col("before") + F.col("distance")).alias("distance"))
+        reach = passed.unionByName(behind)
+    nearest = reach.groupBy("start", "at").agg(F.min("distance").alias("distance"))
+    names = numbers.select(F.col("n").alias("at"), *KEY)
+    start_names = first.select("start").distinct().join(numbers.withColumnRenamed("n", "start"), "start").select("start", F.col("checkpoint_id").alias("start_id"))
+    return nearest.join(names, "at").join(start_names, "start").select(*KEY, "start_id", "distance")
 
 
 def migrate_metadata(old: DataFrame, existing_new: DataFrame, *, dry_run: bool = False) -> tuple[DataFrame, DataFrame]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -78,3 +79,11 @@ def durable(df: DataFrame) -> DataFrame:
     """Materialise ``df`` on reliable storage so that lost executors cost no recomputation."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as Parquet below the checkpoint folder, whose owner clears it. Joins see its size, unlike that of ``durable``."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -304,3 +304,30 @@ def test_history_comes_in_order(spark):
     said = spark.createDataFrame([(s, n, f"{s}{n}") for n in (3, 1, 2) for s in ("b", "a")], "session_id string, seq int, message string")
     assert [r["message"] for r in memory.messages(said).collect()] == ["a1", "a2", "a3", "b1", "b2", "b3"]
     assert [r["message"] for r in memory.messages(said, 2).collect()] == ["a2", "a3", "b2", "b3"]
+
+
+def test_lineage_over_stops_equals_a_plain_walk(spark, monkeypatch):
+    import random
+
+    rng = random.Random(3)
+    parent = {f"{i:04d}": f"{i - 1:04d}" if i % 97 else None for i in range(600)}  # chains
+    parent |= {f"t{i}": f"t{rng.randrange(i)}" if i else None for i in range(300)}  # branches
+    parent |= {"c0": "c1", "c1": "c2", "c2": "c0", "e": "c1", "m": "missing"}  # a cycle, an entry to it, a parent that is gone
+    ck = spark.createDataFrame([("a", "", k, v) for k, v in parent.items()], "thread_id string, checkpoint_ns string, checkpoint_id string, parent_checkpoint_id string")
+    asked = ["0599", "0300", "t299", "t200", "c0", "e", "m", "nowhere"]
+    want = set()
+    for start in asked:
+        at, distance, seen = start, 0, set()
+        while at in parent and at not in seen:
+            seen.add(at)
+            want.add((start, at, distance))
+            at, distance = parent[at], distance + 1
+    monkeypatch.setattr(checkpoints, "DIRECT_LINKS", 10)
+    monkeypatch.setattr(checkpoints, "LONG_LEG", 64)
+    starts = spark.createDataFrame([("a", "", s) for s in asked], "thread_id string, checkpoint_ns string, checkpoint_id string")
+    # Walks move numbers, no keys.
+    walked, plain = [], checkpoints._walk
+    monkeypatch.setattr(checkpoints, "_walk", lambda reach, jump, *rest, **more: walked.append(dict(jump.dtypes)) or plain(reach, jump, *rest, **more))
+    got = checkpoints.lineage(ck, starts).select("start_id", "checkpoint_id", "distance").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert len(walked) == 2 and all(w == {"from": "bigint", "to": "bigint", "length": "int"} for w in walked)
