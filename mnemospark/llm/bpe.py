@@ -223,13 +223,10 @@ def encoded(text: Column | str, path: str) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = load(path)
         for batch in batches:
-            offsets, values = [np.zeros(1, dtype=np.int64)], []
-            for start in range(0, len(batch), ROWS_PER_PIECE):
+            for start in range(0, len(batch), ROWS_PER_PIECE):  # a batch's ids are never held as a whole
                 rows = bpe.encode(batch.slice(start, ROWS_PER_PIECE).to_pylist())
-                offsets.append(np.fromiter(map(len, rows), dtype=np.int64, count=len(rows)) // 4)
-                values.append(b"".join(rows))
-            ids = np.frombuffer(b"".join(values), dtype=np.int32)
-            yield pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(offsets)), pa.int32()), pa.array(ids))
+                ends = np.cumsum(np.fromiter(map(len, rows), dtype=np.int64, count=len(rows)) // 4)
+                yield pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(np.frombuffer(b"".join(rows), dtype=np.int32)))
 
     return F.arrow_udf(run, "array<int>", F.ArrowUDFType.SCALAR_ITER)(text)
 
