@@ -30,7 +30,8 @@ from mnemospark.llm.staging import stage
 KINDS = ("email", "ip", "card", "phone")
 WIDTH, STEP = 64, 32
 RUN, OVERLAP = 512, 64
-TRAIN_WINDOWS, ROUNDS, BATCH, LEAST_STEPS = 3000, 6, 64, 420  # few windows are read more often
+TRAIN_WINDOWS, ROUNDS, BATCH, LEAST_STEPS = 3000, 12, 64, 420  # few windows are read more often
+LEAST_RATE = 0.05  # of the learning rate, at the end
 HIDDEN, EMBED = 16, 8
 SLOPE = 0.25  # of the gates
 CONFIDENCE = 0.9  # least probability of every label of an added span
@@ -233,18 +234,21 @@ class Model:
         np.add.at(grads["embed"], ids.T, dx)
         return grads
 
-    def fit(self, ids: np.ndarray, tags: np.ndarray, rounds: int = ROUNDS, rate: float = 0.02, seed: int = 9) -> Model:
-        """Adam over shuffled batches."""
+    def fit(self, ids: np.ndarray, tags: np.ndarray, rounds: int = ROUNDS, rate: float = 0.03, seed: int = 9) -> Model:
+        """Adam over shuffled batches; the rate falls evenly, so that the weights come to rest."""
         rng, n = np.random.default_rng(seed), 0
         first, second = ({k: np.zeros_like(v) for k, v in self.weights.items()} for _ in range(2))
-        for _ in range(max(rounds, -(-LEAST_STEPS * BATCH // max(1, len(ids))))):
+        rounds = max(rounds, -(-LEAST_STEPS * BATCH // max(1, len(ids))))
+        steps = rounds * -(-len(ids) // BATCH)
+        for _ in range(rounds):
             order = rng.permutation(len(ids))
             for at in range(0, len(ids), BATCH):
                 n += 1
+                now = rate * max(LEAST_RATE, 1 - n / steps)
                 for k, g in self.step(ids[order[at:at + BATCH]], tags[order[at:at + BATCH]]).items():
                     first[k] = 0.9 * first[k] + 0.1 * g
                     second[k] = 0.99 * second[k] + 0.01 * g * g
-                    self.weights[k] = self.weights[k] - np.float32(rate) * (first[k] / (1 - 0.9 ** n)) / (np.sqrt(second[k] / (1 - 0.99 ** n)) + 1e-8)
+                    self.weights[k] = self.weights[k] - np.float32(now) * (first[k] / (1 - 0.9 ** n)) / (np.sqrt(second[k] / (1 - 0.99 ** n)) + 1e-8)
         self.weights = {k: v.astype(np.float32) for k, v in self.weights.items()}
         self.trained = len(ids) > 0
         return self
@@ -262,8 +266,10 @@ class Model:
         alive = np.searchsorted(-lengths[order], -np.arange(n), side="left")  # windows longer than t
         chars, embed = chars.astype(np.intp), np.ascontiguousarray(w["embed"].T, np.float32)
         fed, scored = np.ones((size + EMBED + 1, count), np.float32), np.empty((TAGS, count), np.float32)
-        rows = np.concatenate([np.full(3 * size, SLOPE), np.ones(size)])
-        shift = np.concatenate([np.full(3 * size, 0.5), np.zeros(size)])
+        # All four parts are cut to 0 and 1; the last, less a half, and the memory stand for half of their values.
+        rows = np.concatenate([np.full(3 * size, SLOPE), np.full(size, 0.5)])
+        shift = 0.5
+        zero, one, half = np.float32(0), np.float32(1), np.float32(0.5)
         g, u, c = np.empty((4 * size, count), np.float32), np.empty((size, count), np.float32), np.empty((size, count), np.float32)
         out = np.zeros((n, TAGS, count), np.float32) + w["out_b"].astype(np.float32)[:, None]
         for side, times, part in (("f", range(n), w["out"][:size]), ("b", range(n - 1, -1, -1), w["out"][size:])):
@@ -279,13 +285,13 @@ class Model:
                 fed[size:-1, :k] = embed.take(chars[t, :k], axis=1)
                 np.matmul(inner, fed[:, :k], out=z)
                 gate, new = z[:3 * size], z[3 * size:]
-                np.clip(gate, 0, 1, out=gate)
-                np.clip(new, -1, 1, out=new)
+                z.clip(zero, one, out=z)
+                new -= half
                 memory *= gate[size:2 * size]
                 new *= gate[:size]
                 memory += new
                 np.abs(memory, out=v)
-                v += 1
+                v += half
                 np.divide(memory, v, out=v)
                 np.multiply(v, gate[2 * size:], out=fed[:size, :k])
                 out[t, :, :k] += np.matmul(outer, fed[:size, :k], out=scored[:, :k])
@@ -300,11 +306,23 @@ class Model:
     def outside(self, e: np.ndarray) -> np.ndarray:
         """Windows (B) whose best labels are surely all outside: no label gains what its scores lose, whatever stands around it."""
         trans, first = self.weights["trans"], self.weights["first"]
-        into = np.maximum(trans[:, 1:].max(0) - trans[0, 0], first[1:] - first[0]) + max(0.0, float(trans[1:, 0].max() - trans[0, 0]))
-        best = e[:, :, 1] + into[0]
+        e = e.transpose(0, 2, 1)
+        # What a run of labels gains at most: by its first label, by each more, and by the step back outside.
+        begin, more, back = trans[0, 1:] - trans[0, 0], trans[1:, 1:].max(0) - trans[0, 0], float(trans[1:, 0].max() - trans[0, 0])
+        opened, gone = e[:, 1] + begin[0], e[:, 1] + more[0]
         for k in range(1, TAGS - 1):
-            np.maximum(best, e[:, :, 1 + k] + into[k], out=best)
-        return (best < e[:, :, 0]).all(0)
+            np.maximum(opened, e[:, 1 + k] + begin[k], out=opened)
+            np.maximum(gone, e[:, 1 + k] + more[k], out=gone)
+        opened -= e[:, 0]
+        gone -= e[:, 0]
+        opened[0] = (e[0, 1:] + (first[1:] - first[0])[:, None]).max(0) - e[0, 0]
+        gain = opened[0].copy()
+        most = gain.copy()
+        for t in range(1, len(e)):
+            gain += gone[t]
+            np.maximum(gain, opened[t], out=gain)
+            np.maximum(most, gain, out=most)
+        return np.maximum(most + back, gain) < 0
 
     def unlabelled(self, e: np.ndarray) -> np.ndarray:
         """Windows (B) for which no path scores more than the one that is outside throughout; exact, without the paths."""
@@ -323,19 +341,26 @@ class Model:
 
     def best(self, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``decode`` from scores (T, B, tags)."""
-        prob = self.marginals(e)[0]
-        trans, n, size = self.weights["trans"], len(e), e.shape[1]
-        score, steps = e[0] + self.weights["first"], np.empty((n, size, TAGS), np.int8)
+        best = self.path(e)
+        return best, self.sureness(e, best)
+
+    def sureness(self, e: np.ndarray, best: np.ndarray) -> np.ndarray:
+        """Probabilities (B, T) of the labels (B, T)."""
+        return np.take_along_axis(self.marginals(e)[0], best.T[:, :, None], 2)[:, :, 0].T
+
+    def path(self, e: np.ndarray) -> np.ndarray:
+        """Best labels (B, T) by the CRF."""
+        trans, n = self.weights["trans"], len(e)
+        e = np.ascontiguousarray(e.transpose(0, 2, 1))
+        score = np.empty_like(e)
+        score[0] = e[0] + self.weights["first"][:, None]
         for t in range(1, n):
-            options = score[:, :, None] + trans
-            steps[t] = options.argmax(1)
-            score = options.max(1) + e[t]
-        best = np.empty((n, size), np.int64)
-        best[-1] = score.argmax(1)
-        rows = np.arange(size)
+            np.add((score[t - 1][:, None] + trans[:, :, None]).max(0), e[t], out=score[t])
+        best = np.empty((n, e.shape[2]), np.int64)
+        best[-1] = score[-1].argmax(0)
         for t in range(n - 1, 0, -1):
-            best[t - 1] = steps[t][rows, best[t]]
-        return best.T, np.take_along_axis(prob, best[:, :, None], 2)[:, :, 0].T
+            best[t - 1] = (score[t - 1] + trans[:, best[t]]).argmax(0)
+        return best.T
 
 
 def labels(text: str, start: int, spans: list[tuple[str, int, int]]) -> np.ndarray:
@@ -416,19 +441,27 @@ class Piece:
 
 def cut_out(tags: np.ndarray, prob: np.ndarray, start: int, length: int) -> list[Piece]:
     """Pieces of the window at ``start`` of a text of so many characters."""
-    out, t, width = [], 0, min(len(tags), length - start)
-    while t < width:
-        if tags[t] % 2 == 1:
-            end = t + 1
-            while end < width and tags[end] == tags[t] + 1:
-                end += 1
-            out.append(Piece(start + t, start + end, int(tags[t]) // 2, prob[t:end], t == 0 and start > 0, end == width and start + end < length))
-            t = end
-        else:
-            t += 1
+    out, width = [], min(len(tags), length - start)
+    tags = tags[:width]
+    begins = np.flatnonzero(tags % 2 == 1)
+    # A label ends where the next one is not the inside of its kind.
+    goes_on = (tags[1:] > 0) & (tags[1:] % 2 == 0) & (tags[1:] - tags[:-1] == tags[:-1] % 2)
+    stops = np.append(np.flatnonzero(~goes_on), width - 1)
+    for t, end in zip(begins.tolist(), (stops[np.searchsorted(stops, begins)] + 1).tolist()):
+        out.append(Piece(start + t, start + end, int(tags[t]) // 2, prob[t:end], t == 0 and start > 0, end == width and start + end < length))
     return out
 
 
+def lies_free(tags: np.ndarray, start: int, length: int, base: list[tuple[str, int, int]]) -> bool:
+    """Whether a piece of the window at ``start`` touches no base span."""
+    return any(not any(a < p.end and b > p.start for _, a, b in base) for p in cut_out(tags, tags, start, length))
+
+
+def chosen(e: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Some windows of scores (T, B, tags), that lie in memory as (T, tags, B)."""
+    return e.transpose(0, 2, 1).take(rows, axis=2).transpose(0, 2, 1)
+
+
 def joined(pieces: list[Piece]) -> list[tuple[int, int, int, float]]:
     """Spans (start, end, kind, confidence) from a text's pieces in the order of their windows.
 
@@ -477,15 +510,31 @@ def added_spans(model: Model, texts: list[str], base: list[list[tuple[str, int,
         return [[] for _ in texts]
     pieces: list[list[tuple[int, list[Piece]]]] = [[] for _ in texts]
 
+    held: list[tuple[list[tuple[int, int]], np.ndarray]] = []  # windows with labels, and their scores
+
     def flush(some: list[tuple[int, int, np.ndarray]]):
         some.sort(key=lambda w: w[1] - len(texts[w[0]]))  # the longest first
         e = model.scores(np.stack([ids for _, _, ids in some]))
         rows = np.flatnonzero(~model.outside(e))
-        rows = rows[~model.unlabelled(e[:, rows])]
-        if len(rows):
-            for row, tags, prob in zip(rows.tolist(), *model.best(e[:, rows])):
-                i, start, _ = some[row]
-                pieces[i].append((start, cut_out(tags, prob, start, len(texts[i]))))
+        e = chosen(e, rows)
+        live = np.flatnonzero(~model.unlabelled(e))
+        if len(live):
+            held.append(([some[r][:2] for r in rows[live].tolist()], chosen(e, live)))
+        if sum(len(names) for names, _ in held) >= BLOCK:
+            label()
+
+    def label():
+        if not held:
+            return
+        names, e = [w for some, _ in held for w in some], np.concatenate([e for _, e in held], axis=1)
+        held.clear()
+        tags = model.path(e)
+        # Probabilities decide about spans that touch no base span; windows where every piece does need none.
+        rows = [row for row, (i, start) in enumerate(names) if lies_free(tags[row], start, len(texts[i]), base[i])]
+        prob = dict(zip(rows, model.sureness(chosen(e, np.array(rows)), tags[rows]))) if rows else {}
+        none = np.zeros(len(e), e.dtype)
+        for row, (i, start) in enumerate(names):
+            pieces[i].append((start, cut_out(tags[row], prob.get(row, none), start, len(texts[i]))))
 
     full, short = [], []  # windows of the whole width, and the last ones of texts
     for i, text in enumerate(texts):
@@ -500,6 +549,7 @@ def added_spans(model: Model, texts: list[str], base: list[list[tuple[str, int,
     rest = full + short
     for at in range(0, len(rest), BLOCK):
         flush(rest[at:at + BLOCK])
+    label()
     result = []
     for text, found, fixed in zip(texts, pieces, base):
         fixed = sorted((a, b) for _, a, b in fixed)
@@ -531,24 +581,34 @@ def train(docs: DataFrame, text_col: str = "text", key: str = "doc_id", sample:
         bound = [2 ** 63] * len(most)
         for batch in batches:
             for k, text in zip(*(c.to_pylist() for c in batch.columns)):
-                starts, spans = np.array(windows(text)), base_spans(text)
-                sort = np.full(len(starts), 2)
-                for m in TRIGGER.finditer(text):
-                    sort[max(0, m.start() // STEP - 1):m.start() // STEP + 1] = 1
-                for _, a, b in spans:
-                    sort[max(0, (a - WIDTH) // STEP + 1):(b - 1) // STEP + 1] = 0
+                starts, spans = np.arange(0, max(1, len(text) - STEP), STEP), base_spans(text)
                 with np.errstate(over="ignore"):
                     h = shingles.mix(np.uint64(k & (2 ** 64 - 1)) + starts.astype(np.uint64) * shingles.ODD) >> np.uint64(1)
-                for n in np.flatnonzero(h < np.array(bound, np.uint64)[sort]).tolist():
-                    kept[sort[n]].append((int(h[n]), text, int(starts[n]), spans))
-            for s, rows in enumerate(kept):
-                if len(rows) > most[s]:
-                    rows.sort(key=lambda r: r[0])
-                    last = rows[most[s] - 1][0]
-                    kept[s] = [r for r in rows if r[0] <= last][:2 * most[s]]
-                    bound[s] = last + 1
-        rows = [(h, s + (n > 0) * len(most), padded(codes(x[at:at + WIDTH]), 0).astype(np.int16).tobytes(), labels(x, at, spans).astype(np.int8).tobytes())
-                for s, some in enumerate(kept) for h, text, start, own in some for n, (x, at, spans) in enumerate(window_rows(text, start, own, h))]
+                spanned = np.zeros(len(starts), bool)
+                for _, a, b in spans:
+                    spanned[max(0, (a - WIDTH) // STEP + 1):(b - 1) // STEP + 1] = True
+                # Most texts have no window that could still be among the first.
+                for n in np.flatnonzero(np.where(spanned, h < np.uint64(bound[0]), h < np.uint64(max(bound[1:])))).tolist():
+                    s = 0 if spanned[n] else 1 if TRIGGER.search(text, n * STEP, n * STEP + WIDTH) else 2
+                    if h[n] < bound[s]:
+                        kept[s].append((int(h[n]), text, n * STEP, spans))
+                for s, rows in enumerate(kept):
+                    if len(rows) > 2 * most[s]:
+                        rows.sort(key=lambda r: r[0])
+                        last = rows[most[s] - 1][0]
+                        kept[s] = [r for r in rows if r[0] <= last][:2 * most[s]]
+                        bound[s] = last + 1
+        rows: list[tuple] = []
+        for s, some in enumerate(kept):
+            some.sort(key=lambda r: r[0])
+            made, last = 0, -1  # rewritten windows: their first ones suffice as well
+            for at, (h, text, start, own) in enumerate(some):
+                if at >= most[s] and h > some[most[s] - 1][0]:
+                    break
+                found = window_rows(text, start, own, h) if made < most[0] or h == last else [(text, start, own)]
+                made, last = made + len(found) - 1, h
+                rows += [(h, s + (n > 0) * len(most), padded(codes(x[at:at + WIDTH]), 0).astype(np.int16).tobytes(), labels(x, at, spans).astype(np.int8).tobytes())
+                         for n, (x, at, spans) in enumerate(found)]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.binary()))], ["h", "sort", "ids", "tags"])
 
     texts = docs.where(F.length(text_col) > 0).select(F.xxhash64(key, text_col).alias("k"), F.col(text_col).alias("text"))

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -160,6 +161,53 @@ def test_network_adds_spans_that_the_patterns_miss(spark):
     assert not pii.plausible("ip", "1.2.3[.]256") and not pii.plausible("card", "4242/4242/4242/4243") and not pii.plausible("phone", "00/12/34")
 
 
+def test_windows_that_are_passed_over_have_no_labels():
+    """Windows taken for outside have no better path, most of the others do not need a path; best paths equal a plain search."""
+    rng = np.random.default_rng(4)
+    for scale in (1, 3):
+        model = pii.Model.fresh(scale)
+        model.weights["trans"] = rng.normal(0, scale, (pii.TAGS, pii.TAGS)).astype(np.float32)
+        model.weights["first"] = rng.normal(0, scale, pii.TAGS).astype(np.float32)
+        e = rng.normal(0, 1, (30, 400, pii.TAGS)).astype(np.float32)
+        e[:, :, 0] += np.linspace(0, 12 * scale, 400)
+        tags, surely = model.path(e), model.outside(e)
+        assert not tags[surely].any() and surely.any() and not surely.all()
+        score, back = e[0] + model.weights["first"], []
+        for t in range(1, 30):
+            options = score[:, :, None] + model.weights["trans"]
+            back.append(options.argmax(1))
+            score = options.max(1) + e[t]
+        plain = [score.argmax(1)]
+        for steps in back[::-1]:
+            plain.append(steps[np.arange(400), plain[-1]])
+        assert (tags == np.stack(plain[::-1], 1)).all()
+    # A digit or two that could be labelled, but lose more than they gain, need no path.
+    model.weights["trans"][:], model.weights["first"][:] = 0, 0
+    model.weights["trans"][1:, 1:] = 3
+    e = np.tile(np.float32([0] + [-9] * (pii.TAGS - 1)), (30, 2, 1))
+    e[7, :, 1:] = -2
+    assert model.outside(e).all() and not model.path(e).any()
+
+
+def test_probabilities_are_computed_only_where_they_decide(monkeypatch):
+    seen = []
+    monkeypatch.setattr(Capitals, "sureness", lambda self, e, best: seen.append(e.shape[1]) or pii.Model.sureness(self, e, best), raising=False)
+    model = Capitals(pii.Model.fresh().weights, trained=True)
+    assert pii.all_spans(model, ["x AAA@b.example y"] * 9) == [[("email", 2, 15, True)]] * 9 and seen == []
+    assert pii.all_spans(model, ["x AAA@b.example y NNN"]) == [[("email", 2, 15, True), ("email", 18, 21, False)]] and seen == [1]
+
+
+def test_ids_are_handed_out_by_piece(monkeypatch):
+    """No task holds the ids of a whole batch."""
+    runs = []
+    monkeypatch.setattr(bpe.F, "arrow_udf", lambda run, *rest: lambda text: runs.append(run))
+    bpe.encoded("text", PATH)
+    texts = ["some words here", "", "more"] * bpe.ROWS_PER_PIECE
+    out = list(runs[0](iter([pa.array(texts), pa.array(texts[:2])])))
+    assert [len(a) for a in out] == [bpe.ROWS_PER_PIECE] * 3 + [2]
+    assert [i for a in out for i in a.to_pylist()] == [*out[0].to_pylist()[:3]] * bpe.ROWS_PER_PIECE + out[0].to_pylist()[:2]
+
+
 def test_scores_of_cut_windows_equal_the_network():
     """Windows of any length in any order: as the training's network gives them without the filling."""
     rng, model = np.random.default_rng(2), pii.Model.fresh()
