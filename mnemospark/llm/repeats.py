@@ -39,61 +39,87 @@ BEFORE = LEAST - GRAM  # words before a suffix's first words that a window can h
 PIECE = 128
 
 
-def minimisers(grams: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """Positions of the smallest (leftmost among equals) of each ``window`` neighbours."""
-    if len(grams) == 0:
-        return np.empty(0, np.int64)
-    if len(grams) <= window:
-        return np.array([int(grams.argmin())])
-    view = np.lib.stride_tricks.sliding_window_view(grams, window)
-    return np.unique(view.argmin(1) + np.arange(len(view)))
-
+def minimisers(grams: np.ndarray, counts: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """Places of the smallest (leftmost among equals) of each ``window`` neighbours within a text.
 
-def _cut(text_words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each position the 4-byte words that follow, and those before in reverse; 0 stands beyond the text."""
-    small = (text_words >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-    wide = np.concatenate([np.zeros(BEFORE, np.uint32), small, np.zeros(LEAST, np.uint32)])
-    right = wide[at[:, None] + BEFORE + np.arange(LEAST)]
-    left = wide[at[:, None] + BEFORE - 1 - np.arange(BEFORE)]
-    return right, left
+    ``grams`` are those of several texts side by side, ``counts`` their numbers, ``window`` at least. The smallest of spans
+    of doubling length are compared, so a place costs a few steps whatever the window.
+    """
+    if not len(grams):
+        return np.empty(0, np.int64)
+    least, place, span = grams, np.arange(len(grams), dtype=np.int32), 1
+    while span < window:
+        step = min(span, window - span)
+        right = least[step:] < least[:-step]
+        place = np.where(right, place[step:], place[:-step])
+        least = np.minimum(least[step:], least[:-step])
+        span += step
+    ends = np.cumsum(counts)
+    inside = np.ones(len(grams), bool)
+    for back in range(1, window):
+        inside[ends - back] = False  # windows that reach into the next text
+    place = place[inside[:len(place)]]
+    return place[np.flatnonzero(np.diff(place, prepend=-1))].astype(np.int64)  # places never go back
+
+
+def _grams(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of ``GRAM`` words, as ``shingles.runs`` gives them, of texts with so many words at least."""
+    n = len(words) - GRAM + 1
+    value = np.zeros(n, np.uint64)
+    with np.errstate(over="ignore"):
+        for j in range(GRAM):
+            value = shingles.mix(value * shingles.ODD + words[j:j + n] + np.uint64(j + 1))
+    inside = np.ones(len(words), bool)
+    ends = np.cumsum(counts)
+    for back in range(1, GRAM):
+        inside[ends - back] = False
+    return value[inside[:n]]
+
+
+def _cut(words: np.ndarray, counts: np.ndarray, text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each place in a text the 4-byte words that follow, and those before in reverse, big-endian; 0 stands beyond the text."""
+    small = ((words >> np.uint64(32)).astype(np.uint32) | np.uint32(1)).astype(">u4").view(np.uint32)
+    firsts = np.cumsum(counts) - counts
+    wide = np.zeros(len(words) + (BEFORE + LEAST) * len(counts), np.uint32)
+    gap = np.arange(len(counts)) * (BEFORE + LEAST) + BEFORE
+    wide[np.arange(len(words)) + np.repeat(gap, counts)] = small
+    lines = np.lib.stride_tricks.sliding_window_view(wide, BEFORE + LEAST)[(firsts + gap)[text] + at - BEFORE]
+    return lines[:, BEFORE:], lines[:, BEFORE - 1::-1]
 
 
 def _binary(rows: np.ndarray) -> pa.Array:
-    """Rows of 4-byte words as binary, big-endian, so that bytes sort as the words do."""
+    """Rows of big-endian 4-byte words as binary, so that bytes sort as the words do."""
     width = rows.shape[1] * 4
-    data = np.ascontiguousarray(rows.astype(">u4"))
+    data = np.ascontiguousarray(rows)
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(np.arange(0, (len(rows) + 1) * width, width, dtype=np.int32)), pa.py_buffer(data)])
 
 
+def _rows(column: pa.Array, width: int) -> np.ndarray:
+    """The 4-byte words of ``_binary`` as they lie in memory: good for comparing, not for counting."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0]:ends[-1]].view(np.uint32).reshape(len(column), width)
+
+
 def _entries(batches: Iterator[pa.RecordBatch], keys_only: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, len(batch), PIECE):
             part = batch.slice(start, PIECE)
-            texts = [t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()]
-            ids = part.column("id").to_pylist()
-            words, counts = shingles.words(texts)
-            out: dict[str, list] = {"id": [], "at": [], "key": [], "right": [], "left": []}
-            first = 0
-            for doc, n in zip(ids, counts.tolist()):
-                own = words[first:first + n]
-                first += n
-                if n < LEAST:
-                    continue
-                grams, _ = shingles.runs(own, np.array([n]), GRAM)
-                at = minimisers(grams)
-                out["id"].append(np.full(len(at), doc))
-                out["at"].append(at)
-                out["key"].append(grams[at].view(np.int64))
-                if not keys_only:
-                    right, left = _cut(own, at)
-                    out["right"].append(right)
-                    out["left"].append(left)
-            if out["id"]:
-                columns = [pa.array(np.concatenate(out["key"]), pa.int64())]
-                if not keys_only:
-                    columns = [pa.array(np.concatenate(out["id"]), pa.int64()), pa.array(np.concatenate(out["at"]), pa.int32()), *columns,
-                               _binary(np.concatenate(out["right"])), _binary(np.concatenate(out["left"]))]
-                yield pa.RecordBatch.from_arrays(columns, ["key"] if keys_only else ["id", "at", "key", "right", "left"])
+            words, counts = shingles.words([t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()])
+            long = counts >= LEAST
+            if not long.any():
+                continue
+            words, counts, ids = words[np.repeat(long, counts)], counts[long], part.column("id").to_numpy()[long]
+            grams, sizes = _grams(words, counts), counts - GRAM + 1
+            place = minimisers(grams, sizes)
+            key = pa.array(grams[place].view(np.int64))
+            if keys_only:
+                yield pa.RecordBatch.from_arrays([key], ["key"])
+                continue
+            ends = np.cumsum(sizes)
+            text = np.searchsorted(ends, place, "right")
+            at = place - (ends - sizes)[text]
+            right, left = _cut(words, counts, text, at)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[text], pa.int64()), pa.array(at, pa.int32()), key, _binary(right), _binary(left)], ["id", "at", "key", "right", "left"])
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -113,8 +139,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         if held is not None:
             batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        words = lambda name, n: np.frombuffer(b"".join(batch.column(name).to_pylist()), ">u4").reshape(len(batch), n)
-        right, left, key = words("right", LEAST), words("left", BEFORE), batch.column("key").to_numpy()
+        right, left, key = _rows(batch.column("right"), LEAST), _rows(batch.column("left"), BEFORE), batch.column("key").to_numpy()
         same = key[1:] == key[:-1]
         r = np.where(same, _common(right[1:], right[:-1]), 0)
         l = np.where(same, _common(left[1:], left[:-1]), 0)
@@ -153,22 +178,27 @@ def _matches(entries: DataFrame, order: str) -> DataFrame:
 
 
 def _window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each window of ``LEAST`` words around an entry that lies within its text."""
+    """A row for each window of ``LEAST`` words around an entry that lies within its text.
+
+    Sums of mixed words by powers of an odd number are carried along, so that a window is the difference of two.
+    """
+    with np.errstate(over="ignore"):
+        drop = np.uint64(pow(int(shingles.ODD), LEAST, 1 << 64))
     for batch in batches:
         for start in range(0, len(batch), 512):
             part = batch.slice(start, 512)
-            right = np.frombuffer(b"".join(part.column("right").to_pylist()), ">u4").reshape(len(part), LEAST).astype(np.uint64)
-            left = np.frombuffer(b"".join(part.column("left").to_pylist()), ">u4").reshape(len(part), BEFORE).astype(np.uint64)
-            line = np.concatenate([left[:, ::-1], right], axis=1)
-            ids, at, key = (part.column(c).to_numpy() for c in ("id", "at", "key"))
-            for l in range(BEFORE + 1):
-                window = line[:, BEFORE - l:BEFORE - l + LEAST]
-                h = np.zeros(len(part), np.uint64)
-                with np.errstate(over="ignore"):
-                    for j in range(LEAST):
-                        h = shingles.mix(h * shingles.ODD + window[:, j])
-                full = (window != 0).all(1)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[full]), pa.array(at[full]), pa.array(key[full]), pa.array(np.full(int(full.sum()), l), pa.int32()), pa.array(h[full].view(np.int64))], ["id", "at", "key", "l", "h"])
+            n = len(part)
+            line = np.concatenate([_rows(part.column("left"), BEFORE)[:, ::-1], _rows(part.column("right"), LEAST)], axis=1).T.astype(np.uint64)
+            sums, gone = np.zeros((len(line) + 1, n), np.uint64), np.zeros((len(line) + 1, n), np.int32)
+            np.cumsum(line == 0, axis=0, out=gone[1:])
+            with np.errstate(over="ignore"):
+                mixed = shingles.mix(line + shingles.ODD)
+                for j in range(len(line)):
+                    sums[j + 1] = sums[j] * shingles.ODD + mixed[j]
+                h = shingles.mix(sums[LEAST:] - sums[:-LEAST] * drop)[::-1]  # by the number of words before the entry
+            before, entry = np.nonzero((gone[LEAST:] == gone[:-LEAST])[::-1])
+            ids, at, key = (part.column(c).to_numpy()[entry] for c in ("id", "at", "key"))
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(at), pa.array(key), pa.array(before, pa.int32()), pa.array(h[before, entry].view(np.int64))], ["id", "at", "key", "l", "h"])
 
 
 def repeated_passages(docs: DataFrame, text_col: str = "text", key: str = "doc_id") -> DataFrame:

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,6 +143,38 @@ def test_repeats_equal_all_windows(docs, seed):
     assert {i: sorted(s) for i, s in got.items()} == plain_repeats(texts)
 
 
+def test_minimisers_of_texts_side_by_side():
+    """Of several texts at once, with equal hashes in a window: as a plain search in each text gives them."""
+    rng = np.random.default_rng(3)
+    for window in (1, 2, 5, 41):
+        counts = rng.integers(window, 3 * window + 2, 20)
+        grams = rng.integers(0, 9, int(counts.sum())).astype(np.uint64)
+        want, first = set(), 0
+        for n in counts.tolist():
+            want |= {first + i + int(grams[first + i:first + i + window].argmin()) for i in range(n - window + 1)}
+            first += n
+        assert repeats.minimisers(grams, counts, window).tolist() == sorted(want)
+
+
+def test_windows_of_entries_are_hashed_in_one_go(monkeypatch):
+    """All windows of an entry share their sums; equal windows and only these have equal hashes."""
+    rng, calls, mix = np.random.default_rng(5), [], shingles.mix
+    texts = [" ".join(map(str, rng.integers(0, 3, n))) for n in (49, 50, 120, 300)]
+    texts += [texts[3][:400], texts[2] + " and more"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["id", "text"])
+    entries = list(repeats._entries(iter([batch]), False))
+    monkeypatch.setattr(shingles, "mix", lambda x: calls.append(1) or mix(x))
+    rows = pa.Table.from_batches(repeats._window_hashes(iter(entries))).to_pylist()
+    assert len(calls) == 2 * len(entries) and len({(r["id"], r["at"], r["l"]) for r in rows}) == len(rows)
+    words, named = [t.split() for t in texts], {}
+    for r in rows:
+        start = r["at"] - r["l"]
+        window = tuple(words[r["id"]][start:start + repeats.LEAST])
+        assert start >= 0 and len(window) == repeats.LEAST and named.setdefault(window, r["h"]) == r["h"]
+    assert len(set(named.values())) == len(named)
+    assert {(r["id"], r["at"] - r["l"]) for r in rows} == {(i, a) for i, w in enumerate(words) for a in range(len(w) - repeats.LEAST + 1)}
+
+
 def test_repeats_bear_rough_rows(docs, rough):
     assert {r["doc_id"] for r in repeats.repeated_passages(docs(rough)).collect()} == {5}
     assert repeats.repeated_passages(docs([])).count() == 0
