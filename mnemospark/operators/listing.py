@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mnemospark.functions.paths import (basename, first_segment, folder_prefix, matches_glob, relative, under)
 from mnemospark.functions.text import contains_ignore_case
 from mnemospark.operators.hybrid import fused_scores
-from mnemospark.operators.ranking import first_per_key, top_k
-from mnemospark.operators.text_search import TextIndex, bm25_topk
+from mnemospark.operators.ranking import SCORE_DIGITS, first_per_key, top_k
+from mnemospark.operators.text_search import TextIndex, bm25_topk, first_in_scope
 from mnemospark.operators.vector_search import vector_topk
-from mnemospark.session import few
+from mnemospark.session import durable, few
+
+DEPTHS = (16, 128)  # text hits per line asked for that are ranked first; queries that need more are searched whole
+TEXT_WEIGHT, PENALTY = 0.5, 60  # of the fusion of both legs
 
 
 def _first(ordered: DataFrame, limit: int | None) -> DataFrame:
@@ -92,13 +97,40 @@ def grep_hybrid(queries: DataFrame, chunks: DataFrame, path: str = "", glob_patt
     scope = _in_scope(path, glob_pattern)
     narrowed = bool(path or glob_pattern)
     keep = chunks.filter(scope).select("id") if narrowed else None
-    text_leg = bm25_topk(queries, chunks.select("id", "content") if index is None else index, None,
-                         fields=["content"], keep_ids=keep)
-    legs, weights = {"fulltext": text_leg}, {"fulltext": 0.5}
+    near = None
     if "vector" in queries.columns:
-        legs["vector"], weights["vector"] = vector_topk(queries, chunks, 2 * limit, pre_filter=scope if narrowed else None), 0.5
-    fused = few(fused_scores(legs, weights).select("query_id", "id", "score"))
-    placed = fused.join(chunks.select("id", "source_path", "line_start", "content"), "id")
-    best_first = [F.desc("score"), F.asc("id")]
-    once = dedupe_matches(placed, best_first, ("query_id", "source_path", "line_start"))
-    return top_k(once, limit).select("query_id", "rank", "source_path", "line_start", "content", "score")
+        near = few(vector_topk(queries, chunks, 2 * limit, pre_filter=scope if narrowed else None))
+
+    def best(text_leg: DataFrame, asked: DataFrame) -> DataFrame:
+        """The first lines of some of the queries."""
+        legs, weights = {"fulltext": text_leg}, {"fulltext": TEXT_WEIGHT}
+        if near is not None:
+            legs["vector"], weights["vector"] = _of(near, asked, "left_semi"), 1 - TEXT_WEIGHT
+        fused = few(fused_scores(legs, weights).select("query_id", "id", "score"))
+        placed = fused.join(chunks.select("id", "source_path", "line_start", "content"), "id")
+        once = dedupe_matches(placed, [F.desc("score"), F.asc("id")], ("query_id", "source_path", "line_start"))
+        return top_k(once, limit).select("query_id", "rank", "source_path", "line_start", "content", "score")
+
+    done, left = [], queries  # queries whose lines are not certain yet
+    for depth in [n * max(1, limit) for n in DEPTHS] if index is None else []:
+        leg = first_in_scope(left, chunks, depth, scope, near, fields=["content"])
+        if leg is None:  # too many query terms
+            break
+        leg = durable(leg)
+        found = durable(best(leg, left.select("query_id")))
+        # A text hit that was not seen stands behind place ``depth``: none can matter where the last line has a higher score.
+        unseen = TEXT_WEIGHT / (depth + 1 + PENALTY) + 10.0 ** -SCORE_DIGITS
+        certain = found.filter((F.col("rank") == limit) & (F.col("score") > unseen))
+        uncertain = few(_of(leg.filter(F.col("rank") == depth).select("query_id").distinct(), certain, "left_anti"))
+        done.append(_of(found, uncertain, "left_anti"))
+        if uncertain.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        left = _of(left, uncertain, "left_semi")
+    rest = bm25_topk(left, chunks.select("id", "content") if index is None else index, None, fields=["content"], keep_ids=keep)
+    return reduce(DataFrame.unionByName, [*done, best(rest, left.select("query_id"))])
+
+
+def _of(rows: DataFrame, queries: DataFrame, how: str) -> DataFrame:
+    """Rows whose query is among others, or is not; a null id is one like any other."""
+    names = queries.select(F.col("query_id").alias("_of")).distinct()
+    return rows.join(names, F.col("query_id").eqNullSafe(F.col("_of")), how)

@@ -13,8 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from mnemospark.functions.text import distinct_tokens, tokens
 from mnemospark.operators.ranking import SCORE_DIGITS, top_k
@@ -22,7 +22,7 @@ from mnemospark.session import durable
 
 BLOCK_DOCS = 4096  # documents of a block
 CELLS = 8_000_000  # most scores, or gains, that are held at once
-LISTS = {"ids": None, "lens": pa.int32(), "codes": pa.int32(), "held": pa.int32(), "docs": pa.int32(), "tf": pa.int32(), "n_docs": pa.int64(), "n_words": pa.int64()}
+LISTS = {"ids": None, "kept": None, "lens": pa.int32(), "codes": pa.int32(), "held": pa.int32(), "docs": pa.int32(), "tf": pa.int32(), "n_docs": pa.int64(), "n_words": pa.int64()}
 
 
 def asked_terms(queries: DataFrame, bound: int, query_id: str = "query_id", text: str = "text") -> list[tuple] | None:
@@ -31,11 +31,15 @@ def asked_terms(queries: DataFrame, bound: int, query_id: str = "query_id", text
     return None if len(rows) > bound else [tuple(r) for r in rows]
 
 
-def _blocks(corpus: DataFrame, fields: Sequence[str], id_col: str, terms: pa.Array) -> DataFrame:
-    """Blocks of postings; ``codes`` are ``field * number of terms + term``, in order, with ``held`` postings each."""
+def _blocks(corpus: DataFrame, fields: Sequence[str], id_col: str, terms: pa.Array, within: Column | None) -> DataFrame:
+    """Blocks of postings; ``codes`` are ``field * number of terms + term``, in order, with ``held`` postings each.
+
+    Rows that are not ``kept`` count in the statistics only.
+    """
     n, width = len(fields), len(terms)
-    rows = corpus.select(F.col(id_col).alias("id"), *[tokens(F.col(f"`{f}`").cast("string")).alias(f"_{i}") for i, f in enumerate(fields)])
-    kinds = {"ids": rows.schema["id"].dataType, "n_docs": LongType(), "n_words": LongType()}
+    rows = corpus.select(F.col(id_col).alias("id"), *[tokens(F.col(f"`{f}`").cast("string")).alias(f"_{i}") for i, f in enumerate(fields)],
+                         F.coalesce(F.lit(True) if within is None else within, F.lit(False)).alias("_kept"))
+    kinds = {"ids": rows.schema["id"].dataType, "kept": BooleanType(), "n_docs": LongType(), "n_words": LongType()}
     schema = StructType([StructField(c, ArrayType(kinds.get(c, IntegerType()))) for c in LISTS])
     given = corpus.sparkSession.sparkContext.broadcast(terms)
 
@@ -54,7 +58,7 @@ def _blocks(corpus: DataFrame, fields: Sequence[str], id_col: str, terms: pa.Arr
             n_docs.append(int((each > 0).sum()))
         pairs, tf = np.unique(np.concatenate(codes) * size + np.concatenate(docs), return_counts=True)
         distinct, held = np.unique(pairs // size, return_counts=True)
-        values = {"ids": batch.column(0), "lens": np.concatenate(lens), "codes": distinct, "held": held, "docs": pairs % size, "tf": tf, "n_docs": n_docs, "n_words": n_words}
+        values = {"ids": batch.column(0), "kept": batch.column(1 + n), "lens": np.concatenate(lens), "codes": distinct, "held": held, "docs": pairs % size, "tf": tf, "n_docs": n_docs, "n_words": n_words}
         lists = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v if kind is None else pa.array(np.asarray(v), kind)) for (c, kind), v in zip(LISTS.items(), values.values())]
         return pa.record_batch(lists, list(LISTS))
 
@@ -89,16 +93,17 @@ class Ranked:
 
 
 def scan_topk(asked: list[tuple], queries: DataFrame, corpus: DataFrame, k: int, fields: Sequence[str], id_col: str, query_id: str,
-              idf, part) -> DataFrame:
+              idf, part, within: Column | None = None, also: list[tuple] | None = None) -> DataFrame:
     """``(query_id, id, rank, score)`` of the first ``k`` for the ``asked`` (query, term) pairs.
 
-    ``idf(n_docs, df)`` and ``part(tf, doc_len, avg_len)`` work on numpy arrays.
+    ``idf(n_docs, df)`` and ``part(tf, doc_len, avg_len)`` work on numpy arrays. Only documents ``within`` are ranked; the
+    statistics are those of all. Of ``also``, pairs of query and id, those that match come with their rank, whatever it is.
     """
     spark = corpus.sparkSession
     names = list(dict.fromkeys(q for q, _ in asked))
     terms = sorted({t for _, t in asked})
     number, place = {q: i for i, q in enumerate(names)}, {t: i for i, t in enumerate(terms)}
-    blocks = _blocks(corpus, fields, id_col, pa.array(terms, pa.string()))
+    blocks = _blocks(corpus, fields, id_col, pa.array(terms, pa.string()), within)
     width, n = len(terms), len(fields)
     sums = blocks.agg(*[F.sum(F.col(c)[i]).alias(f"{c}_{i}") for c in ("n_docs", "n_words") for i in range(n)]).first()
     n_docs, n_words = (np.array([sums[f"{c}_{i}"] or 0 for i in range(n)], float) for c in ("n_docs", "n_words"))
@@ -111,11 +116,18 @@ def scan_topk(asked: list[tuple], queries: DataFrame, corpus: DataFrame, k: int,
     count = np.bincount([t for t, _ in pairs], minlength=width)
     given = spark.sparkContext.broadcast((rarity, average, of_term, count))
     kind = corpus.select(F.col(id_col)).schema[0].dataType
-    schema = StructType([StructField("_q", IntegerType()), StructField("id", kind), StructField("score", DoubleType())])
+    schema = StructType([StructField("_q", IntegerType()), StructField("id", kind), StructField("score", DoubleType()), StructField("also", BooleanType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    wanted: dict = {}  # queries that ask for the place of a document
+    for q, i in also or []:
+        if q in number and i is not None:
+            wanted.setdefault(i, []).append(number[q])
+    sought = spark.sparkContext.broadcast(wanted)
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.DataType, list, np.ndarray]]:
+        """Some documents at a time: the type of their ids, the ids, and their scores, a row per query."""
         rarity, average, of_term, count = given.value
-        firsts, best, arrow = np.cumsum(count) - count, Ranked(len(names), k), None
+        firsts = np.cumsum(count) - count
         for batch in batches:
             arrow = batch.schema.field("ids").type.value_type
             for r in range(batch.num_rows):
@@ -123,6 +135,8 @@ def scan_topk(asked: list[tuple], queries: DataFrame, corpus: DataFrame, k: int,
                 ids = of["ids"].to_pylist()
                 codes, held, docs, tf, lens = (of[c].to_numpy() for c in ("codes", "held", "docs", "tf", "lens"))
                 codes, size = np.repeat(codes, held), len(ids)
+                kept = of["kept"].to_numpy(zero_copy_only=False)[docs]
+                codes, docs, tf = codes[kept], docs[kept], tf[kept]
                 field = codes // width if width else codes
                 gain = rarity[codes] * part(tf, lens[field * size + docs], average[field])
                 term = codes - field * width
@@ -139,15 +153,52 @@ def scan_topk(asked: list[tuple], queries: DataFrame, corpus: DataFrame, k: int,
                     at = np.repeat(firsts[term[here]] - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))
                     cell = of_term[at] * (stop - start) + np.repeat(docs[here] - start, times)
                     scores = np.bincount(cell, np.repeat(gain[here], times), minlength=len(names) * (stop - start))
-                    best.add(scores.reshape(len(names), stop - start), ids[start:stop])
+                    yield arrow, ids[start:stop], scores.reshape(len(names), stop - start)
                     start = stop
-        rows = [(q, i, -s) for q, hits in enumerate(best.hits) for s, _, i in hits]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, arrow, rows = Ranked(len(names), k), None, []
+        for arrow, ids, scores in scored(batches):
+            best.add(scores, ids)
+            if sought.value:
+                rows += [(q, i, float(np.round(scores[q, d], SCORE_DIGITS)), True) for d, i in enumerate(ids) for q in sought.value.get(i, ()) if scores[q, d] > 0]
+        rows += [(*row, False) for row in _rows(best)]
         if rows:
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(map(list, zip(*rows)), (pa.int32(), arrow, pa.float64()))], schema.names)
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(map(list, zip(*rows)), (pa.int32(), arrow, pa.float64(), pa.bool_()))], schema.names)
 
     named = spark.createDataFrame(list(enumerate(names)), StructType([StructField("_q", IntegerType()), StructField("query_id", queries.select(F.col(query_id)).schema[0].dataType)]))
     hits = blocks.mapInArrow(run, schema)
-    return top_k(hits, k, by="_q").join(F.broadcast(named), "_q").select("query_id", "id", "rank", "score")
+    if not wanted:
+        return top_k(hits.drop("also"), k, by="_q").join(F.broadcast(named), "_q").select("query_id", "id", "rank", "score")
+    hits = durable(hits)
+    first = top_k(hits.filter("NOT also").drop("also"), k, by="_q")
+    later = hits.filter("also").drop("also").join(first.select("_q", "id"), ["_q", "id"], "left_anti")
+    places: dict[int, list] = {}
+    for q, i, score in later.select("_q", "id", "score").collect():  # at most a row per pair asked for
+        places.setdefault(q, []).append((score, i))
+    limits = spark.sparkContext.broadcast({q: sorted(some) for q, some in places.items()})
+
+    def count_better(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        better = {q: np.zeros(len(some), np.int64) for q, some in limits.value.items()}
+        least = {q: np.array([score for score, _ in some]) for q, some in limits.value.items()}
+        arrow = None
+        for arrow, ids, scores in scored(batches):
+            for q, some in limits.value.items():
+                matched = np.flatnonzero(scores[q] > 0)
+                found = np.round(scores[q][matched], SCORE_DIGITS)
+                low, high = np.searchsorted(least[q], found, "left"), np.searchsorted(least[q], found, "right")
+                # A document is better than all places with a lower score, and than those of its score with a larger id.
+                better[q] += np.append(np.cumsum(np.bincount(low, minlength=len(some) + 1)[::-1])[::-1], 0)[1:len(some) + 1]
+                for n in np.flatnonzero(low < high).tolist():
+                    for at in range(low[n], high[n]):
+                        better[q][at] += ids[matched[n]] is None or ids[matched[n]] < some[at][1]
+        rows = [(q, i, score, int(n)) for q, some in limits.value.items() for (score, i), n in zip(some, better[q])] if arrow is not None else []
+        if rows:
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(map(list, zip(*rows)), (pa.int32(), arrow, pa.float64(), pa.int64()))], ["_q", "id", "score", "n"])
+
+    counts = blocks.mapInArrow(count_better, StructType([*schema.fields[:3], StructField("n", LongType())]))
+    placed = counts.groupBy("_q", "id", "score").agg((F.sum("n") + 1).cast(first.schema["rank"].dataType).alias("rank"))
+    return first.select("_q", "id", "rank", "score").unionByName(placed).join(F.broadcast(named), "_q").select("query_id", "id", "rank", "score")
 
 
 ROWS_AT_ONCE = 1024  # rows that are counted together

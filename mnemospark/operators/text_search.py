@@ -302,6 +302,18 @@ def bm25_topk(queries: DataFrame, corpus: DataFrame | TextIndex | BlockIndex, k:
     return hits if post_filter is None else hits.transform(post_filter)
 
 
+def first_in_scope(queries: DataFrame, corpus: DataFrame, k: int, scope: Column, also: DataFrame | None, *, fields: Sequence[str] = ("text",)) -> DataFrame | None:
+    """``bm25_topk`` of the documents in scope, with the statistics of all, and the ranks of the ``also(query_id, id)`` that match.
+
+    One scan; no pair of query and document moves. ``None`` if there are more query terms than travel to every task.
+    """
+    asked = asked_terms(queries, TERM_BOUND)
+    if asked is None:
+        return None
+    pairs = [] if also is None else [tuple(r) for r in also.select("query_id", "id").collect()]
+    return scan_topk(asked, queries, corpus, k, fields, "id", "query_id", _idf, bm25_part, scope, pairs)
+
+
 def matching_ids(corpus: DataFrame, predicate: Column, id_col: str = "id") -> DataFrame:
     """Ids of the rows that satisfy a filter, for ``keep_ids``."""
     return corpus.filter(predicate).select(F.col(id_col).alias("id"))

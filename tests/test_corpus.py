@@ -173,3 +173,38 @@ def test_errors_of_the_embedder_are_kept_apart(spark):
     calls = embedding.embed(spark.createDataFrame([("ok",), ("bad",), (None,)], "t string").coalesce(1), "t", lambda ts: [[1 / (t != "bad")] for t in ts], 1, error="why").collect()
     assert [(r.embedding, bool(r.why)) for r in calls] == [([1.0], False), (None, True), ([1.0], False)] and "ZeroDivisionError" in calls[1].why
     assert embedding.embed(spark.createDataFrame([("a",)], "t string"), "t", error="why").first().why is None
+
+
+def test_grep_hybrid_ranks_in_the_scan_and_equals_all_pairs(spark, monkeypatch):
+    """Shallow ranks go deeper until the lines are certain; lines repeat, scores tie, most chunks are out of scope."""
+    import random
+
+    from mnemospark.operators.hybrid import fused_scores
+    from mnemospark.operators.text_search import bm25_topk
+    from mnemospark.operators.vector_search import vector_topk
+    rng = random.Random(8)
+    words = ["tea", "ship", "sun", "oak", "ink", "fog"]
+    rows = [(f"{i:03}", f"{rng.choice(['docs', 'docs', 'else'])}/{rng.randint(0, 9)}.txt", rng.randint(0, 3), " ".join(rng.choices(words, k=rng.randint(0, 6))),
+             [rng.random() for _ in range(3)]) for i in range(300)]
+    chunks = spark.createDataFrame(rows, "id string, source_path string, line_start int, content string, embedding array<double>").repartition(3)
+    asked = spark.createDataFrame([(1, "tea", [1.0, 0.0, 0.0]), (2, "oak fog tea", [0.0, 1.0, 0.2]), (3, "ink sun", [0.3, 0.3, 0.3]), (4, "nowhere", [1.0, 1.0, 0.0]), (5, "ship", None)],
+                                  "query_id int, text string, vector array<double>")
+
+    def plain(queries, limit):
+        scope = F.col("source_path").startswith("docs/")
+        legs = {"fulltext": bm25_topk(queries, chunks.select("id", "content"), None, fields=["content"], keep_ids=chunks.filter(scope).select("id"))}
+        if "vector" in queries.columns:
+            legs["vector"] = vector_topk(queries, chunks, 2 * limit, pre_filter=scope)
+        place, best = {r[0]: r for r in rows}, {}
+        for r in sorted(fused_scores(legs, dict.fromkeys(legs, 0.5)).collect(), key=lambda r: (-r["score"], r["id"])):
+            best.setdefault(r["query_id"], {}).setdefault(place[r["id"]][1:3], (place[r["id"]][3], r["score"]))
+        return {(q, n + 1, *line, *found) for q, lines in best.items() for n, (line, found) in enumerate([*lines.items()][:limit])}
+
+    for depths in ((1, 2), (3,), (16, 128)):
+        monkeypatch.setattr(listing, "DEPTHS", depths)
+        for queries, limit in ((asked, 3), (asked.drop("vector"), 8)):
+            got = listing.grep_hybrid(queries, chunks, "docs", limit=limit).select("query_id", "rank", "source_path", "line_start", "content", "score").collect()
+            assert len(got) == len(set(map(tuple, got))) and {tuple(r) for r in got} == plain(queries, limit), depths
+    # Where the first ranks suffice, no pair of query and chunk is made.
+    monkeypatch.setattr(listing, "bm25_topk", None)
+    assert listing.grep_hybrid(asked, chunks, "docs", limit=3).count() == 15
