@@ -44,6 +44,42 @@ def test_bpe_merges_only_what_fails():
         bpe.SHORT = exact
 
 
+def test_bpe_merges_failing_words_together(monkeypatch):
+    """Short words are not merged one by one, and ids are those of plain merging."""
+    random.seed(11)
+    words = list({"".join(random.choices("theaionrsxé日😀", k=random.randint(1, 30))) for _ in range(3000)} | {"z" * 90})
+    model, one_by_one = bpe.WordBpe(PATH), []
+    plain = {w: model.merge(model.symbols(w)) for w in words}
+    merge = model.merge
+    monkeypatch.setattr(model, "merge", lambda ids: one_by_one.append(len(ids)) or merge(ids))
+    model.learn(words)
+    assert {w: np.frombuffer(model.words[w], np.int32).tolist() for w in words} == plain
+    assert all(n > bpe.SHORT for n in one_by_one)
+
+
+def test_bpe_keeps_frequent_words_when_its_cache_is_full(monkeypatch):
+    monkeypatch.setattr(bpe, "WORD_CACHE", 50)
+    model, learnt = bpe.WordBpe(PATH), Counter()
+    learn = model.learn
+    monkeypatch.setattr(model, "learn", lambda words: learnt.update(words) or learn(words))
+    for k in range(100):
+        (ids,) = model.encode(["frequent, " + " ".join("ab" + chr(97 + k % 26) + chr(97 + k // 26) + chr(97 + i) for i in range(20))])
+    assert learnt["frequent"] == 1 and len(model.words) + len(model.older) < 200
+    assert np.frombuffer(ids, np.int32).tolist() == Tokenizer.from_file(PATH).encode("frequent, " + " ".join("abvd" + chr(97 + i) for i in range(20))).ids
+
+
+def test_texts_are_decoded_by_piece(monkeypatch):
+    """No task holds the tokens of a whole batch; slices and null arrays are taken as they are."""
+    runs = []
+    monkeypatch.setattr(bpe.F, "arrow_udf", lambda run, *rest: lambda ids: runs.append(run))
+    bpe.decoded("ids", PATH)
+    model, rows = bpe.WordBpe(PATH), [[1, 2, 49407], [], None, [3]] * bpe.ROWS_PER_PIECE
+    want = ["" if r is None else " ".join(model.tokens[i] for i in r) for r in rows]
+    out = list(runs[0](iter([pa.array(rows, pa.list_(pa.int32())), pa.array(rows, pa.list_(pa.int32())).slice(3, 5)])))
+    assert [len(a) for a in out] == [bpe.ROWS_PER_PIECE] * 4 + [5]
+    assert [t for a in out for t in a.to_pylist()] == want + want[3:8]
+
+
 def test_bpe_of_an_empty_table(docs):
     assert bpe.decode(bpe.encode(docs([]), PATH), PATH).count() == 0
 
